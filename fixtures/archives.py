@@ -11,35 +11,42 @@ def write_archives(df: DataFrame, folder: str, prefix: str, sep: str = ";",
     """One archive (or plain file) per partition, written by its task; returns the folder.
 
     File names follow the partition, so a repeated task writes the same file again; rows in
-    a single partition may go without the number. Each archive holds ``members`` files, each with its own header line when there is one.
+    a single partition may go without the number. Each archive holds ``members`` files, each
+    with its own header line when there is one. Blank texts are quoted, NULLs are not.
     """
-    names = df.columns
-
-    def line(values) -> str:
-        cells = ('"' + v.replace('"', '""') + '"' if v is not None else "" for v in values)
-        return sep.join(cells) + newline
+    top = sep.join(df.columns) + newline if header else ""
 
     def write(batches):
+        import io
         import os
         import zipfile
 
         import pyarrow as pa
+        from pyarrow import csv
         from pyspark import TaskContext
 
-        rows = [line(r.values()) for b in batches for r in b.to_pylist()]
+        batches = list(batches)
+        rows = sum(b.num_rows for b in batches)
         if rows:
             os.makedirs(folder, exist_ok=True)
+            table = pa.Table.from_batches(batches)
             number = TaskContext.get().partitionId() if numbered else ""
-            top = sep.join(names) + newline if header else ""
-            texts = [top + "".join(rows[i::members]) for i in range(members)]
+            options = csv.WriteOptions(include_header=False, delimiter=sep, quoting_style="all_valid")
+            size = -(-rows // members)
+            files = []
+            for i in range(members):
+                out = io.BytesIO()
+                csv.write_csv(table.slice(i * size, size), out, options)
+                text = out.getvalue().decode("utf8")
+                files.append((top + (text if newline == "\n" else text.replace("\n", newline))).encode(charset))
             if zipped:
                 with zipfile.ZipFile(f"{folder}/{prefix}{number}.zip", "w", zipfile.ZIP_DEFLATED) as z:
-                    for i, text in enumerate(texts):
-                        z.writestr(f"part{i}.csv", text.encode(charset))
+                    for i, data in enumerate(files):
+                        z.writestr(f"part{i}.csv", data)
             else:
                 with open(f"{folder}/{prefix}{number}.csv", "wb") as f:
-                    f.write("".join(texts).encode(charset))
-        yield pa.RecordBatch.from_pydict({"rows": pa.array([len(rows)], pa.int64())})
+                    f.write(b"".join(files))
+        yield pa.RecordBatch.from_pydict({"rows": pa.array([rows], pa.int64())})
 
     df.mapInArrow(write, "rows long").write.format("noop").mode("overwrite").save()
     return folder

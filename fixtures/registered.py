@@ -1013,8 +1013,15 @@ def all_text_feeds(spark, sf):
     return reduce(DataFrame.unionByName, counts)
 
 
+_SNAPSHOTS: dict[tuple[str, str], str] = {}
+
+
 def _snapshot(spark, sf) -> str:
-    """A snapshot folder with archives of every feed there is data for."""
+    """A snapshot folder with archives of every feed there is data for; made once per
+    application."""
+    made = (spark.sparkContext.applicationId, sf)
+    if made in _SNAPSHOTS:
+        return _SNAPSHOTS[made]
     folder = work_path(spark, "snapshot")
     for feed, rows in star.staging(spark, sf, *_FEEDS).items():
         # Archives follow the order of the rows, as arrival decides between copies of a key.
@@ -1025,6 +1032,7 @@ def _snapshot(spark, sf) -> str:
             write_archives(text, folder, name, sep=",", charset="utf8", header=True, members=2)
         else:
             write_archives(text, folder, name, numbered=many)
+    _SNAPSHOTS[made] = folder
     return folder
 
 
@@ -1059,7 +1067,8 @@ def concatenated_archives(spark, sf):
 
 def _publish(spark, sf, root, *names, **options):
     for name, df in star.typed(spark, sf, *names).items():
-        publish.publish(df, root, name, load.PARTITIONED.get(name), load.SORTED.get(name, ()), **options)
+        publish.publish(df, root, name, load.PARTITIONED.get(name), load.CLUSTERED.get(name, ()),
+                        load.BLOOM.get(name, ()), **options)
 
 
 @query("b1_full_replace", _sql("empresa") + """
@@ -1185,7 +1194,7 @@ def marts_after_load(spark, sf):
 
     def load_month(session, path, found):
         regime = feeds.read_feed(session, path, "regime")
-        paths = load.write_tables(session, root, {
+        paths = load.write_tables(root, {
             "estabelecimento": session.read.parquet(path), "empresa": t["empresa"],
             "regime_tributario": transform.transform_regime(regime),
         })

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from regiscope.functions.ids import split_registry_id
 from regiscope.operators.branches import decode_branches
 from regiscope.operators.dedup import with_surrogate_id
-from regiscope.operators.lookup import decode
+from regiscope.operators.lookup import decode, key_list
 from regiscope.session import checkpointed
 
 KEY = "cnpj_basico"
@@ -59,12 +59,22 @@ class Child:
         return checkpointed(with_surrogate_id(self.rows, self.row_id[0]))
 
 
-def hot_companies(children: list[Child], page_size: int) -> DataFrame:
-    """``(cnpj_basico, child, pages)`` of companies that need more than one page."""
+# Child array of each table.
+CHILD_TABLES = {
+    "estabelecimentos": "estabelecimento", "qsa": "socio", "regime_tributario": "regime_tributario",
+}
+HOT_TABLE = "hot_companies"
+
+
+def hot_companies(tables: dict[str, DataFrame], page_size: int = PAGE_SIZE) -> DataFrame:
+    """``(cnpj_basico, child, n)`` of companies with more than ``page_size`` rows of a child.
+
+    Counts are combined per task before the shuffle, so a hot company is no burden here.
+    """
     counts = [
-        c.rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > page_size)
-        .select(KEY, F.lit(c.name).alias("child"), F.ceil(F.col("n") / page_size).cast("int").alias("pages"))
-        for c in children
+        tables[table].groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > page_size)
+        .select(KEY, F.lit(child).alias("child"), "n")
+        for child, table in CHILD_TABLES.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
@@ -74,45 +84,59 @@ def _last_null(c: str) -> list[Column]:
 
 
 def _nested(child: Child, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One sorted array per key: order columns lead the struct and are dropped after the sort."""
+    """One sorted array per key: order columns lead the struct and are dropped after the sort.
+
+    The rows are brought together first. Collecting before the shuffle would build arrays
+    per task that are as large as the rows and are only merged again.
+    """
     lead = [c.alias(f"_o{i}") for i, c in enumerate(child.order)]
     element = F.struct(*lead, *child.fields)
-    arrays = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(element)).alias("_sorted"))
+    arrays = rows.select(*keys, element.alias("_e")).repartition(*keys).groupBy(*keys).agg(
+        F.sort_array(F.collect_list("_e")).alias("_sorted")
+    )
     return arrays.select(
         *keys,
         F.transform("_sorted", lambda e: F.struct(*[e[f].alias(f) for f in child.fields])).alias(child.name),
     )
 
 
-def _children(tables: dict[str, DataFrame], only: DataFrame | None) -> list[Child]:
-    def wanted(df: DataFrame) -> DataFrame:
-        return df if only is None else df.join(only, KEY, "left_semi")
-
-    branches = decode_branches(tables, wanted(tables["estabelecimento"]))
-    partners = decode(wanted(tables["socio"]), tables["dim_qualificacao"],
-                      "qualificacao_socio_cod", "qualificacao")
+def _children(tables: dict[str, DataFrame]) -> list[Child]:
+    branches = decode_branches(tables, tables["estabelecimento"])
+    partners = decode(tables["socio"], tables["dim_qualificacao"], "qualificacao_socio_cod", "qualificacao")
     return [
         Child("estabelecimentos", branches, _last_null("matriz_filial_cod") + [F.col("cnpj")],
               BRANCH_FIELDS, ("cnpj", "uf")),
         Child("qsa", partners, _last_null("nome_socio"), PARTNER_FIELDS, ("id",)),
-        Child("regime_tributario", wanted(tables["regime_tributario"]), [-F.col("ano"), F.col("cnpj")],
+        Child("regime_tributario", tables["regime_tributario"], [-F.col("ano"), F.col("cnpj")],
               REGIME_FIELDS, ("id",)),
     ]
 
 
 def _documents(tables: dict[str, DataFrame], keys: DataFrame | None, page_size: int,
                hot: DataFrame | None) -> DataFrame:
-    only = None if keys is None else keys.select(KEY).distinct()
-    empresa = tables["empresa"] if only is None else tables["empresa"].join(only, KEY, "left_semi")
-    root = decode(empresa, tables["dim_natureza_juridica"], "natureza_juridica_cod", "natureza_juridica")
+    own = tables
+    if keys is not None:
+        only, few = key_list(keys, KEY)
+        if hot is None and not few:
+            # Counting before the join keeps a hot company from meeting it in one task.
+            hot = checkpointed(hot_companies(tables, page_size))
+        side = F.broadcast(only) if few else only
+        own = {
+            name: df.join(side, KEY, "left_semi") if KEY in df.columns else df
+            for name, df in tables.items()
+        }
+    if hot is None:
+        hot = checkpointed(hot_companies(own, page_size))
+    root = decode(own["empresa"], tables["dim_natureza_juridica"], "natureza_juridica_cod", "natureza_juridica")
     root = decode(root, tables["dim_porte"], "porte_cod", "porte")
     root = root.select(KEY, "razao_social", "natureza_juridica", "capital_social", "porte")
-    flags = tables["simples"].select(KEY, F.struct(*SIMPLES_FIELDS).alias("simples"))
+    flags = own["simples"].select(KEY, F.struct(*SIMPLES_FIELDS).alias("simples"))
     root = root.join(flags, KEY, "left")
 
-    children = _children(tables, only)
-    if hot is None:
-        hot = checkpointed(hot_companies(children, page_size))
+    children = _children(own)
+    hot = hot.filter(F.col("n") > page_size).withColumn(
+        "pages", F.ceil(F.col("n") / page_size).cast("int")
+    )
     found = hot.count()
     if found == 0:
         keyed = [KEY]
@@ -128,9 +152,9 @@ def _documents(tables: dict[str, DataFrame], keys: DataFrame | None, page_size:
         root = root.select("*", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("page"))
         parts = []
         for c in children:
-            own = hot.filter(F.col("child") == c.name).select(KEY, F.col("pages").alias("_pages"))
+            mine = hot.filter(F.col("child") == c.name).select(KEY, F.col("pages").alias("_pages"))
             spread = F.pmod(F.xxhash64(*c.row_id), F.col("_pages")).cast("int")
-            paged = c.spreadable().join(small(own), KEY, "left")
+            paged = c.spreadable().join(small(mine), KEY, "left")
             parts.append(_nested(c, paged.withColumn("page", F.coalesce(spread, F.lit(0))), keyed))
 
     for child, part in zip(children, parts):
@@ -140,17 +164,23 @@ def _documents(tables: dict[str, DataFrame], keys: DataFrame | None, page_size:
     return root
 
 
+def _hot_list(tables: dict[str, DataFrame], page_size: int, hot: DataFrame | None) -> DataFrame | None:
+    if hot is None and page_size >= PAGE_SIZE:
+        return tables.get(HOT_TABLE)
+    return hot
+
+
 def company_documents(tables: dict[str, DataFrame], keys: DataFrame | None = None,
                       highlight: str | None = None, page_size: int = PAGE_SIZE,
                       hot: DataFrame | None = None) -> DataFrame:
     """One row per company and page, for all companies or those of ``keys`` (``cnpj_basico``).
 
-    ``highlight`` is a 14-character branch id to mark. ``hot`` is a list made earlier by
-    ``hot_companies`` for the same data; without it one counting pass finds the companies
-    that need pages.
+    ``highlight`` is a 14-character branch id to mark. ``hot`` is a list made by
+    ``hot_companies`` for the same data with at most this page size; a published registry
+    carries one, otherwise one counting pass finds the companies that need pages.
     """
     asked = F.lit(highlight).cast("string")
-    documents = _documents(tables, keys, page_size, hot).withColumn("cnpj_consultado", asked)
+    documents = _documents(tables, keys, page_size, _hot_list(tables, page_size, hot)).withColumn("cnpj_consultado", asked)
     return mark_branch(documents, F.col("cnpj_consultado"))
 
 
@@ -192,7 +222,7 @@ def enrich(requests: DataFrame, tables: dict[str, DataFrame], id_col: str = "reg
         F.col("_id.consultado").alias("cnpj_consultado"), F.col("_id.valid").alias("valid"),
     )
     known = asked.filter("valid").select(KEY)
-    documents = _documents(tables, known, page_size, None)
+    documents = _documents(tables, known, page_size, _hot_list(tables, page_size, None))
     out = asked.join(documents.withColumn("found", F.lit(True)), KEY, "left")
     out = out.withColumn("found", F.coalesce("found", F.lit(False)))
     return mark_branch(out, F.col("cnpj_consultado"))

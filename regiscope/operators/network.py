@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from regiscope.functions.ids import clamp_limit
 from regiscope.operators.dedup import top_per_key
-from regiscope.operators.lookup import decode
+from regiscope.operators.lookup import decode, key_list
 
 # Default and largest number of rows per document.
 DEFAULT_LIMIT, MAX_LIMIT = 50, 500
@@ -49,13 +49,18 @@ def partner_network(tables: dict[str, DataFrame], doc: str, limit: object = None
 def partner_network_batch(tables: dict[str, DataFrame], docs: DataFrame, limit: object = None) -> DataFrame:
     """The same for every document of a DataFrame with ``cnpj_cpf_socio``.
 
-    Each task keeps at most ``limit`` rows per document before anything is shuffled, so a
-    document with most of the links ships little.
+    A document may have most of the links. The cut to ``limit`` rows runs in every task before
+    the shuffle; a list of documents too long to broadcast is therefore applied after the cut,
+    since a shuffled join before it would bring a hot document to one task whole.
     """
     n = clamp_limit(limit, DEFAULT_LIMIT, MAX_LIMIT)
-    wanted = docs.select("cnpj_cpf_socio").distinct()
-    links = _links(tables["socio"]).join(wanted, "cnpj_cpf_socio", "left_semi")
+    wanted, few = key_list(docs, "cnpj_cpf_socio")
+    links = _links(tables["socio"])
+    if few:
+        links = links.join(F.broadcast(wanted), "cnpj_cpf_socio", "left_semi")
     top = top_per_key(links, ["cnpj_cpf_socio"], _order(), n)
+    if not few:
+        top = top.join(wanted, "cnpj_cpf_socio")
     named = top.join(tables["empresa"].select("cnpj_basico", "razao_social"), "cnpj_basico", "left")
     out = decode(named, tables["dim_qualificacao"], "qualificacao_socio_cod", "qualificacao")
     return out.select("cnpj_cpf_socio", *_COLUMNS)

@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regiscope.operators.lookup import MAX_BROADCAST_KEYS
 from regiscope.schemas import ARRIVAL, FILE, LINE, LOOKUPS
 
-# An anchor of this many short keys fits any executor; beyond it Spark chooses the join.
-_BROADCAST_KEYS = 200_000
-
 
 def sample_anchor(df: DataFrame, n: int, order_cols: Sequence[Column | str] = ARRIVAL) -> DataFrame:
     """The first ``n`` rows in the given order."""
@@ -32,7 +30,7 @@ def first_archive_anchor(estabelecimentos: DataFrame, n: int) -> DataFrame:
 def keep_anchored(df: DataFrame, anchor: DataFrame, n: int, key: str = "cnpj_basico") -> DataFrame:
     """Rows whose key occurs in an anchor of at most ``n`` rows."""
     keys = anchor.select(key).distinct()
-    if n <= _BROADCAST_KEYS:
+    if n <= MAX_BROADCAST_KEYS:
         keys = F.broadcast(keys)
     return df.join(keys, key, "left_semi")
 

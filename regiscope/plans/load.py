@@ -2,28 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
+
 from pyspark.sql import DataFrame, SparkSession
 
 from regiscope.operators import aggregates
 from regiscope.operators.dedup import with_surrogate_id
+from regiscope.operators.documents import HOT_TABLE, hot_companies
 from regiscope.operators.sample import coherent_sample
 from regiscope.operators.transform import transform_all, transform_regime
 from regiscope.plans.marts import write_marts
-from regiscope.plans.publish import MAX_FILE_ROWS, commit, read_table, write_version
+from regiscope.plans.publish import MAX_FILE_ROWS, commit, tables, write_version
 from regiscope.schemas import DOMAINS, STAGING_COLUMNS
 from regiscope.session import remove, work_path
 from regiscope.sources.domains import domain_dim
 from regiscope.sources.feeds import read_feed
 
+T = TypeVar("T")
+JOBS_AT_ONCE = 4
 # Tables with a surrogate id, renewed at each load.
 WITH_ID = ("socio", "regime_tributario")
 PARTITIONED = {"estabelecimento": "uf"}
-# Lookups by company or branch skip files by these.
-SORTED = {
+# Unique keys by which rows are ranged over files; lookups by them read few files.
+CLUSTERED = {
     "empresa": ("cnpj_basico",),
     "estabelecimento": ("cnpj_basico", "cnpj"),
     "simples": ("cnpj_basico",),
 }
+# Lookup columns of tables that stay in arrival order.
+BLOOM = {
+    "socio": ("cnpj_cpf_socio", "cnpj_basico"),
+    "regime_tributario": ("cnpj_basico",),
+    "estabelecimento_cnae_secundario": ("cnae_cod",),
+}
 
 
 def land(staging: DataFrame, feed: str, folder: str) -> DataFrame:
@@ -42,13 +55,20 @@ def read_staging(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {feed: read_feed(spark, folder, feed) for feed in STAGING_COLUMNS}
 
 
-def write_tables(spark: SparkSession, root: str, typed: dict[str, DataFrame]) -> dict[str, str]:
-    """Write new versions of typed tables and return their paths."""
-    paths = {}
-    for name, df in typed.items():
+def write_tables(root: str, typed: dict[str, DataFrame]) -> dict[str, str]:
+    """Write new versions of typed tables, a few at a time, and return their paths."""
+    def write(name: str, df: DataFrame) -> str:
         rows = with_surrogate_id(df) if name in WITH_ID else df
-        paths[name] = write_version(rows, root, name, PARTITIONED.get(name), SORTED.get(name, ()))
-    return paths
+        return write_version(rows, root, name, PARTITIONED.get(name), CLUSTERED.get(name, ()),
+                             BLOOM.get(name, ()))
+
+    return _side_by_side(write, typed)
+
+
+def _side_by_side(job: Callable[[str, DataFrame], T], frames: dict[str, DataFrame]) -> dict[str, T]:
+    """Run a job per table; small tables fill the gaps that a large one leaves."""
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        return dict(zip(frames, pool.map(job, frames.keys(), frames.values())))
 
 
 def load_registry(spark: SparkSession, folder: str, root: str, month: str | None = None,
@@ -58,24 +78,29 @@ def load_registry(spark: SparkSession, folder: str, root: str, month: str | None
     Everything is written first and committed together.
     """
     landing = work_path(spark, "staging")
-    staging = {feed: land(df, feed, landing) for feed, df in read_staging(spark, folder).items()}
+    staging = _side_by_side(lambda feed, df: land(df, feed, landing), read_staging(spark, folder))
     if sample > 0:
         staging = coherent_sample(staging, sample)
         staging["estabelecimentos"] = land(staging["estabelecimentos"], "sample", landing)
     typed = transform_all(staging, **options)
     typed |= {name: domain_dim(spark, name) for name in DOMAINS}
-    paths = write_tables(spark, root, typed)
-    empresa, estab = (spark.read.parquet(paths[t]) for t in ("empresa", "estabelecimento"))
-    paths |= write_marts(spark, root, empresa, estab)
+    paths = write_tables(root, typed)
+    written = {name: spark.read.parquet(path) for name, path in paths.items()}
+    paths |= write_marts(spark, root, written["empresa"], written["estabelecimento"])
+    paths[HOT_TABLE] = write_version(hot_companies(written), root, HOT_TABLE)
     commit(spark, root, paths, month)
     if not keep_staging:
         remove(spark, landing)
-    return aggregates.load_audit({name: spark.read.parquet(p) for name, p in paths.items()})
+    return aggregates.load_audit(written)
 
 
 def load_regime(spark: SparkSession, folder: str, root: str, **options) -> DataFrame:
     """Replace the tax-regime table alone and report its summary."""
     staging = read_feed(spark, folder, "regime")
-    paths = write_tables(spark, root, {"regime_tributario": transform_regime(staging, **options)})
+    paths = write_tables(root, {"regime_tributario": transform_regime(staging, **options)})
+    regime = spark.read.parquet(paths["regime_tributario"])
+    now = tables(spark, root) | {"regime_tributario": regime}
+    if HOT_TABLE in now:
+        paths[HOT_TABLE] = write_version(hot_companies(now), root, HOT_TABLE)
     commit(spark, root, paths)
-    return aggregates.regime_summary(read_table(spark, root, "regime_tributario"))
+    return aggregates.regime_summary(regime)

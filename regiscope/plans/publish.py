@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -54,23 +54,23 @@ def published_month(spark: SparkSession, root: str) -> str | None:
 
 
 def write_version(df: DataFrame, root: str, table: str, partition_by: str | None = None,
-                  sort_by: Iterable[str] = ()) -> str:
+                  cluster_by: Sequence[str] = (), bloom: Sequence[str] = ()) -> str:
     """Write a new version and return its path; readers do not see it before the commit.
 
-    With ``partition_by`` the rows are first gathered by that column through the rebalance
-    hint: adaptive execution merges small states and splits a state that holds a third of the
-    rows, so no task writes it alone. Sorting inside the tasks gives the files tight min/max
-    ranges on the sort columns, which point lookups skip by.
+    ``cluster_by`` range-partitions and sorts the rows, so that each file holds a narrow range
+    of the keys and point lookups skip the others. With ``partition_by`` the range begins with
+    that column: a state that holds a third of the rows is cut by the further keys into as many
+    ranges as it needs, and no task writes it alone. ``bloom`` columns get Parquet bloom
+    filters, for lookups by a column the rows are not ordered by.
     """
     path = f"{root.rstrip('/')}/{table}/{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-    rows = df
-    order = list(sort_by)
-    if partition_by:
-        rows = rows.hint("rebalance", F.col(partition_by))
-        order = [partition_by, *order]
-    if order:
-        rows = rows.sortWithinPartitions(*order)
+    order = [*([partition_by] if partition_by else []), *cluster_by]
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
     writer = rows.write.option("maxRecordsPerFile", MAX_FILE_ROWS)
+    for column in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    if bloom:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
@@ -85,9 +85,9 @@ def commit(spark: SparkSession, root: str, paths: dict[str, str], month: str | N
 
 
 def publish(df: DataFrame, root: str, table: str, partition_by: str | None = None,
-            sort_by: Iterable[str] = (), month: str | None = None) -> str:
+            cluster_by: Sequence[str] = (), bloom: Sequence[str] = (), month: str | None = None) -> str:
     """Replace one table by a full snapshot; running it again gives the same content."""
-    path = write_version(df, root, table, partition_by, sort_by)
+    path = write_version(df, root, table, partition_by, cluster_by, bloom)
     commit(df.sparkSession, root, {table: path}, month)
     return path
 
