@@ -113,7 +113,9 @@ def _children(tables: dict[str, DataFrame]) -> list[Child]:
 
 
 def _documents(tables: dict[str, DataFrame], keys: DataFrame | None, page_size: int,
-               hot: DataFrame | None) -> DataFrame:
+               hot: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """Documents without the branch mark, and ``(cnpj_basico, pages)`` of the companies with
+    several pages, if there are any."""
     own = tables
     if keys is not None:
         only, few = key_list(keys, KEY)
@@ -138,6 +140,7 @@ def _documents(tables: dict[str, DataFrame], keys: DataFrame | None, page_size:
         "pages", F.ceil(F.col("n") / page_size).cast("int")
     )
     found = hot.count()
+    pages = None
     if found == 0:
         keyed = [KEY]
         root = root.select("*", F.lit(0).alias("page"), F.lit(1).alias("pages"))
@@ -147,21 +150,26 @@ def _documents(tables: dict[str, DataFrame], keys: DataFrame | None, page_size:
             return F.broadcast(df) if found <= _BROADCAST_HOT else df
 
         keyed = [KEY, "page"]
-        pages = hot.groupBy(KEY).agg(F.max("pages").alias("pages"))
-        root = root.join(small(pages), KEY, "left").withColumn("pages", F.coalesce("pages", F.lit(1)))
-        root = root.select("*", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("page"))
+        pages = small(hot.groupBy(KEY).agg(F.max("pages").alias("pages")))
+        root = _per_page(root, pages)
         parts = []
         for c in children:
-            mine = hot.filter(F.col("child") == c.name).select(KEY, F.col("pages").alias("_pages"))
+            mine = small(hot.filter(F.col("child") == c.name).select(KEY, F.col("pages").alias("_pages")))
             spread = F.pmod(F.xxhash64(*c.row_id), F.col("_pages")).cast("int")
-            paged = c.spreadable().join(small(mine), KEY, "left")
+            paged = c.spreadable().join(mine, KEY, "left")
             parts.append(_nested(c, paged.withColumn("page", F.coalesce(spread, F.lit(0))), keyed))
 
     for child, part in zip(children, parts):
         root = root.join(part, keyed, "left").withColumn(
             child.name, F.coalesce(child.name, F.array().cast(part.schema[child.name].dataType))
         )
-    return root
+    return root, pages
+
+
+def _per_page(df: DataFrame, pages: DataFrame) -> DataFrame:
+    """Each row once per page of its company, with ``page`` and ``pages``."""
+    counted = df.join(pages, KEY, "left").withColumn("pages", F.coalesce("pages", F.lit(1)))
+    return counted.select("*", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("page"))
 
 
 def _hot_list(tables: dict[str, DataFrame], page_size: int, hot: DataFrame | None) -> DataFrame | None:
@@ -180,8 +188,8 @@ def company_documents(tables: dict[str, DataFrame], keys: DataFrame | None = Non
     carries one, otherwise one counting pass finds the companies that need pages.
     """
     asked = F.lit(highlight).cast("string")
-    documents = _documents(tables, keys, page_size, _hot_list(tables, page_size, hot)).withColumn("cnpj_consultado", asked)
-    return mark_branch(documents, F.col("cnpj_consultado"))
+    documents, _ = _documents(tables, keys, page_size, _hot_list(tables, page_size, hot))
+    return mark_branch(documents.withColumn("cnpj_consultado", asked), F.col("cnpj_consultado"))
 
 
 def company_document(tables: dict[str, DataFrame], registry_id: str, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -214,7 +222,8 @@ def enrich(requests: DataFrame, tables: dict[str, DataFrame], id_col: str = "reg
     """Documents for many requested ids at once.
 
     ``valid`` tells ids of 8 or 14 characters from the rest, ``found`` whether the company
-    exists. Each request keeps its row (and one more per further page).
+    exists. Each request keeps its row, and has one more per further page; it meets each page
+    on its own, so the pages of a hot company stay apart here too.
     """
     shaped = split_registry_id(F.col(id_col))
     asked = requests.withColumn("_id", shaped).select(
@@ -222,8 +231,12 @@ def enrich(requests: DataFrame, tables: dict[str, DataFrame], id_col: str = "reg
         F.col("_id.consultado").alias("cnpj_consultado"), F.col("_id.valid").alias("valid"),
     )
     known = asked.filter("valid").select(KEY)
-    documents = _documents(tables, known, page_size, _hot_list(tables, page_size, None))
-    out = asked.join(documents.withColumn("found", F.lit(True)), KEY, "left")
+    documents, pages = _documents(tables, known, page_size, _hot_list(tables, page_size, None))
+    documents = documents.withColumn("found", F.lit(True))
+    if pages is None:
+        out = asked.join(documents, KEY, "left")
+    else:
+        out = _per_page(asked, pages).join(documents.drop("pages"), [KEY, "page"], "left")
     out = out.withColumn("found", F.coalesce("found", F.lit(False)))
     return mark_branch(out, F.col("cnpj_consultado"))
 

@@ -17,14 +17,16 @@ def sample_anchor(df: DataFrame, n: int, order_cols: Sequence[Column | str] = AR
 
 
 def first_archive_anchor(estabelecimentos: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` records of the first archive.
+    """The first ``n`` records of the first archive, over its members in order.
 
-    Record numbers come with the scan, so this is a filter and needs no sort. An archive is
-    one input partition, read by one task in any case.
+    Record numbers come with the scan, so every member is cut to ``n`` records by a filter
+    before anything is ordered.
     """
-    first = estabelecimentos.agg(F.min(FILE).alias("_first"))
+    archive = F.substring_index(FILE, "!", 1)
+    first = estabelecimentos.agg(F.min(archive).alias("_first"))
     head = estabelecimentos.filter(F.col(LINE) <= n)
-    return head.join(F.broadcast(first), F.col(FILE) == F.col("_first"), "left_semi")
+    in_first = head.join(F.broadcast(first), archive == F.col("_first"), "left_semi")
+    return sample_anchor(in_first, n)
 
 
 def keep_anchored(df: DataFrame, anchor: DataFrame, n: int, key: str = "cnpj_basico") -> DataFrame:

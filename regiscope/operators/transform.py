@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from regiscope.functions import clean
 from regiscope.operators.dedup import keep_first
-from regiscope.operators.quality import guard_not_null
+from regiscope.operators.quality import guard_not_null, split_not_null
 from regiscope.schemas import (
     ARRIVAL, FACT_FEEDS, FACT_KEYS, LOOKUPS, REQUIRED, TYPED_COLUMNS,
 )
@@ -81,32 +81,38 @@ def typed(staging: DataFrame, table: str, strict: bool = True,
 
 
 def rejects(staging: DataFrame, table: str, id_pattern: str = clean.BASE_ID_PATTERN) -> DataFrame:
-    """Wanted rows with at least one unreadable value, and the names of those columns."""
-    failures = [
-        F.when(
-            _present(kind, F.col(sources[0]))
-            & _value(kind, [F.col(s) for s in sources], strict=False).isNull(),
-            F.lit(name),
-        )
-        for name, kind, sources in TYPED_COLUMNS[table]
-        if kind in _PARSED
-    ]
-    reasons = F.array_compact(F.array(*failures)) if failures else F.array().cast("array<string>")
-    marked = staging.filter(_wanted(table, id_pattern)).withColumn("_rejects", reasons)
+    """Wanted rows with an unreadable value or without a required one, and in ``_rejects`` the
+    names of those columns."""
+    failures = []
+    for name, kind, sources in TYPED_COLUMNS[table]:
+        nothing = _value(kind, [F.col(s) for s in sources], strict=False).isNull()
+        if name in REQUIRED[table]:
+            failures.append(F.when(nothing, F.lit(name)))
+        elif kind in _PARSED:
+            failures.append(F.when(_present(kind, F.col(sources[0])) & nothing, F.lit(name)))
+    marked = staging.filter(_wanted(table, id_pattern)).withColumn(
+        "_rejects", F.array_compact(F.array(*failures))
+    )
     return marked.filter(F.size("_rejects") > 0)
 
 
 def transform_fact(staging: DataFrame, table: str, strict: bool = True,
                    id_pattern: str = clean.BASE_ID_PATTERN) -> DataFrame:
     """A typed table: one row per key in arrival order, whole-row distinct for the regime
-    table, every row for partners; required columns are guarded."""
+    table, every row for partners.
+
+    A required column that is NULL fails the job; with ``strict=False`` its row is left to
+    ``rejects``, and an unreadable value becomes NULL and is listed there.
+    """
     rows = typed(staging, table, strict, id_pattern)
+    if not strict:
+        rows, _ = split_not_null(rows, REQUIRED[table])
     if table in FACT_KEYS:
         rows = keep_first(rows, FACT_KEYS[table], ARRIVAL)
     rows = rows.drop(*ARRIVAL)
     if table == "regime_tributario":
         rows = rows.distinct()
-    return guard_not_null(rows, REQUIRED[table], table)
+    return guard_not_null(rows, REQUIRED[table], table) if strict else rows
 
 
 def transform_empresa(staging: DataFrame, **options) -> DataFrame:
@@ -139,6 +145,8 @@ def explode_codes(staging: DataFrame, strict: bool = True,
     codes = pieces.withColumn("_piece", F.btrim("_piece")).filter(clean.is_code(F.col("_piece")))
     bridge = codes.select("cnpj", clean.to_number(F.col("_piece"), "int", strict).alias("cnae_cod"))
     table = "estabelecimento_cnae_secundario"
+    if not strict:
+        bridge, _ = split_not_null(bridge, REQUIRED[table])
     return guard_not_null(bridge.distinct(), REQUIRED[table], table)
 
 
@@ -150,6 +158,8 @@ def transform_lookup(staging: DataFrame, dim: str, strict: bool = True) -> DataF
         F.col("descricao").alias(text),
         *ARRIVAL,
     )
+    if not strict:
+        rows, _ = split_not_null(rows, ("codigo", text))
     first = keep_first(rows, ("codigo",), ARRIVAL).drop(*ARRIVAL)
     first = guard_not_null(first, ("codigo", text), dim)
     if dim == "dim_municipio":
@@ -162,7 +172,8 @@ def transform_lookup(staging: DataFrame, dim: str, strict: bool = True) -> DataF
 
 def transform_all(staging: dict[str, DataFrame], **options) -> dict[str, DataFrame]:
     """Every typed table of a load, from its staging feeds."""
-    out = {dim: transform_lookup(staging[spec[0]], dim) for dim, spec in LOOKUPS.items()}
+    strict = options.get("strict", True)
+    out = {dim: transform_lookup(staging[spec[0]], dim, strict) for dim, spec in LOOKUPS.items()}
     for table, feed in FACT_FEEDS.items():
         out[table] = transform_fact(staging[feed], table, **options)
     out["estabelecimento_cnae_secundario"] = explode_codes(staging["estabelecimentos"], **options)

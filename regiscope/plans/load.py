@@ -12,10 +12,10 @@ from regiscope.operators import aggregates
 from regiscope.operators.dedup import with_surrogate_id
 from regiscope.operators.documents import HOT_TABLE, hot_companies
 from regiscope.operators.sample import coherent_sample
-from regiscope.operators.transform import transform_all, transform_regime
+from regiscope.operators.transform import rejects, transform_all, transform_regime
 from regiscope.plans.marts import write_marts
 from regiscope.plans.publish import MAX_FILE_ROWS, commit, tables, write_version
-from regiscope.schemas import DOMAINS, STAGING_COLUMNS
+from regiscope.schemas import DOMAINS, FACT_FEEDS, STAGING_COLUMNS
 from regiscope.session import remove, work_path
 from regiscope.sources.domains import domain_dim
 from regiscope.sources.feeds import read_feed
@@ -75,7 +75,8 @@ def load_registry(spark: SparkSession, folder: str, root: str, month: str | None
                   sample: int = 0, keep_staging: bool = False, **options) -> DataFrame:
     """A full load, or a coherent sample of ``sample`` branches, ending with the row counts.
 
-    Everything is written first and committed together.
+    Everything is written first and committed together. With ``strict=False`` values that do
+    not parse become NULL, and the rows they came in are published as ``rejects_<table>``.
     """
     landing = work_path(spark, "staging")
     staging = _side_by_side(lambda feed, df: land(df, feed, landing), read_staging(spark, folder))
@@ -84,6 +85,8 @@ def load_registry(spark: SparkSession, folder: str, root: str, month: str | None
         staging["estabelecimentos"] = land(staging["estabelecimentos"], "sample", landing)
     typed = transform_all(staging, **options)
     typed |= {name: domain_dim(spark, name) for name in DOMAINS}
+    if not options.get("strict", True):
+        typed |= {f"rejects_{t}": rejects(staging[feed], t) for t, feed in FACT_FEEDS.items()}
     paths = write_tables(root, typed)
     written = {name: spark.read.parquet(path) for name, path in paths.items()}
     paths |= write_marts(spark, root, written["empresa"], written["estabelecimento"])

@@ -130,9 +130,11 @@ class ZipCsvReader(DataSourceReader):
             yield self._shape(pa, len(broken), {_CORRUPT: pa.array(broken, pa.string())}, source, line)
 
     def _shape(self, pa, rows: int, columns: dict, source: str, line: int):
+        import numpy as np
+
         columns = columns | {
             _FILE: pa.array([source], pa.string()).take(pa.array([0] * rows, pa.int32())),
-            _LINE: pa.array(range(line + 1, line + rows + 1), pa.int64()),
+            _LINE: pa.array(np.arange(line + 1, line + rows + 1, dtype="int64")),
         }
         empty = pa.nulls(rows, pa.string())
         arrays = [columns.get(name, empty) for name in self.output]

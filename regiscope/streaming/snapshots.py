@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,9 @@ from pyspark.sql.types import (
 )
 
 from regiscope.functions.clean import month_label
+from regiscope.plans.load import load_registry
 from regiscope.plans.publish import published_month
+from regiscope.schemas import FEED_GLOBS
 
 _FILE_SCHEMA = StructType([
     StructField("path", StringType()),
@@ -81,3 +84,18 @@ def ingest_new_months(spark: SparkSession, root: str, target: str, checkpoint: s
         .option("checkpointLocation", checkpoint).foreachBatch(on_batch).start()
     )
     query.awaitTermination()
+
+
+def required_archives() -> list[str]:
+    """File name patterns a month must have: every feed but the tax regimes, which come from
+    another source and never hold up a load."""
+    return ["^" + fnmatch.translate(g) for feed, g in FEED_GLOBS.items() if feed != "regime"]
+
+
+def ingest_registry(spark: SparkSession, root: str, target: str, checkpoint: str, **options) -> None:
+    """Load and publish the newest complete month of archives below ``root``, aggregates
+    included, if it is newer than the published one."""
+    def load_month(session: SparkSession, folder: str, month: str) -> None:
+        load_registry(session, folder, target, month=month, **options)
+
+    ingest_new_months(spark, root, target, checkpoint, load_month, required_archives(), "*.zip")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from regiscope.operators import aggregates, documents
 from regiscope.plans import load, marts, publish
 from regiscope.schemas import DOMAINS, LOOKUPS, STAGING_COLUMNS
+from regiscope.streaming.snapshots import ingest_registry
 from tests.conftest import plan_of
 
 
@@ -192,6 +193,23 @@ def test_failed_load_leaves_the_old_tables(spark, tmp_path):
     assert publish.published_month(spark, root) == "2026-01"
     audit = load.load_registry(spark, str(bad), root, month="2026-02", strict=False)
     assert {r.t: r["count"] for r in audit.collect()}["simples"] == 1
+    held = publish.read_table(spark, root, "rejects_simples").collect()
+    assert [(r.cnpj_basico, r._rejects) for r in held] == [("00000001", ["data_opcao_simples"])]
+    assert publish.read_table(spark, root, "rejects_empresa").count() == 0
+
+
+def test_monthly_ingest_of_archives(spark, tmp_path):
+    root, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    snapshot(tmp_path / "in" / "2026-01", companies=6, without=("entidades",))
+    snapshot(tmp_path / "in" / "2026-02", companies=4, without=("Paises", "entidades"))
+    ingest_registry(spark, root, target, state)
+    assert publish.published_month(spark, target) is None, "the newest month lacks a feed"
+    with zipfile.ZipFile(tmp_path / "in" / "2026-02" / "Paises.zip", "w") as z:
+        z.writestr("p.csv", '"105";"BRASIL"\n')
+    ingest_registry(spark, root, target, state)
+    assert publish.published_month(spark, target) == "2026-02"
+    t = publish.tables(spark, target)
+    assert t["empresa"].count() == 4 and t["regime_tributario"].count() == 0 and t[marts.ACTIVE].count() > 0
 
 
 def test_profile(spark):

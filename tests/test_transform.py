@@ -114,6 +114,16 @@ def test_strict_and_rejects(spark):
     assert [(r.cnpj_basico, sorted(r._rejects)) for r in bad] == [("00000001", ["capital_social", "porte_cod"])]
 
 
+def test_missing_required_values_go_to_rejects(spark):
+    rows = feed(spark, "estabelecimentos", BRANCH, BRANCH | {"cnpj_basico": "00000002", "cnpj_dv": None})
+    kept = transform.transform_estabelecimento(rows, strict=False)
+    assert [r.cnpj for r in kept.collect()] == ["12345678000195"]
+    assert [r._rejects for r in transform.rejects(rows, "estabelecimento").collect()] == [["cnpj"]]
+    blank = transform.transform_lookup(
+        feed(spark, "paises", {"codigo": "1", "descricao": None}, {"codigo": "1", "descricao": "x"}), "dim_pais", False)
+    assert [r.nome for r in blank.collect()] == ["x"]
+
+
 def test_dense_ids_with_ties_and_copies(spark):
     df = spark.range(5000).select((F.col("id") % 3).alias("k"), F.lit("same").alias("v")).repartition(7)
     numbered = dedup.with_dense_id(df, ["k"]).collect()
