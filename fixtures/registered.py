@@ -19,7 +19,9 @@ from regiscope.operators import (
     aggregates, branches, dedup, documents, lookup, network, quality, sample, search, transform,
 )
 from regiscope.plans import load, marts, publish
-from regiscope.schemas import ARRIVAL, FEED_GLOBS, STAGING_SCHEMAS
+from regiscope.schemas import (
+    ARRIVAL, FACT_FEEDS, FACT_KEYS, FEED_GLOBS, STAGING_SCHEMAS, TYPED_COLUMNS,
+)
 from regiscope.session import work_path
 from regiscope.sources import feeds
 from regiscope.streaming import snapshots
@@ -46,29 +48,29 @@ def _sql(*tables: str) -> str:
     return star.with_sql(*tables)
 
 
+def _text(dim: str, code: str, text: str = "descricao") -> str:
+    """The text of a code, as a scalar subquery."""
+    return f"(SELECT {text} FROM {dim} WHERE codigo = {code})"
+
+
 # --- aggregates and rankings -------------------------------------------------------------
 
 _MART_SQL = """SELECT natureza_juridica_cod, count(*) AS empresas,
        CAST(sum(capital_social) AS DOUBLE) AS capital_total FROM empresa GROUP BY 1"""
 
 
-@query("e8_capital_ranking", _sql("empresa", "dim_natureza_juridica") + """
-SELECT d.descricao AS natureza_juridica, m.empresas, CAST(m.capital_total AS DOUBLE) AS capital_total
-FROM (SELECT natureza_juridica_cod, count(*) AS empresas, sum(capital_social) AS capital_total
-      FROM empresa GROUP BY 1) m
-LEFT JOIN dim_natureza_juridica d ON d.codigo = m.natureza_juridica_cod
-ORDER BY m.capital_total DESC NULLS LAST, m.natureza_juridica_cod NULLS LAST LIMIT 10""")
+_RANKING_SQL = _sql("empresa", "dim_natureza_juridica") + f"""
+SELECT {_text('dim_natureza_juridica', 'natureza_juridica_cod')} AS natureza_juridica, empresas, capital_total
+FROM ({_MART_SQL}) ORDER BY capital_total DESC NULLS LAST, natureza_juridica_cod LIMIT """
+
+
+@query("e8_capital_ranking", _RANKING_SQL + "10")
 def capital_ranking(spark, sf):
     return _doubles(marts.capital_ranking(star.typed(spark, sf, "empresa", "dim_natureza_juridica")),
                     "capital_total")
 
 
-@query("g1_top_categories", _sql("empresa", "dim_natureza_juridica") + """
-SELECT d.descricao AS natureza_juridica, m.empresas, CAST(m.capital_total AS DOUBLE) AS capital_total
-FROM (SELECT natureza_juridica_cod, count(*) AS empresas, sum(capital_social) AS capital_total
-      FROM empresa GROUP BY 1) m
-LEFT JOIN dim_natureza_juridica d ON d.codigo = m.natureza_juridica_cod
-ORDER BY m.capital_total DESC NULLS LAST, m.natureza_juridica_cod NULLS LAST LIMIT 3""")
+@query("g1_top_categories", _RANKING_SQL + "3")
 def top_categories(spark, sf):
     tables = star.typed(spark, sf, "empresa", "dim_natureza_juridica")
     return _doubles(marts.capital_ranking(tables, limit="3"), "capital_total")
@@ -201,8 +203,8 @@ def domain_decode(spark, sf):
 
 
 @query("d2_branch_company", _sql("estabelecimento", "empresa") + """
-SELECT est.cnpj, e.razao_social, CAST(e.capital_social AS DOUBLE) AS capital_social
-FROM estabelecimento est LEFT JOIN empresa e USING (cnpj_basico)""")
+SELECT cnpj, razao_social, CAST(capital_social AS DOUBLE) AS capital_social
+FROM estabelecimento LEFT JOIN empresa USING (cnpj_basico)""")
 def branch_company(spark, sf):
     t = star.typed(spark, sf, *_BRANCH_TABLES)
     return _doubles(branches.branch_view(t).select("cnpj", "razao_social", "capital_social"),
@@ -213,21 +215,20 @@ _BRANCH_TABLES = (
     "estabelecimento", "empresa", "dim_matriz_filial", "dim_situacao_cadastral", "dim_cnae",
     "dim_municipio", "dim_natureza_juridica",
 )
-_BRANCH_SQL = _sql(*_BRANCH_TABLES) + """
-SELECT est.cnpj, est.cnpj_basico, e.razao_social, est.nome_fantasia,
-       mf.descricao AS matriz_filial, s.descricao AS situacao, est.data_situacao_cadastral,
-       est.data_inicio_atividade, c.descricao AS cnae_principal, est.tipo_logradouro,
-       est.logradouro, est.numero, est.complemento, est.bairro, est.cep, m.nome AS municipio,
-       est.uf, est.ddd_telefone_1, est.email, CAST(e.capital_social AS DOUBLE) AS capital_social,
-       n.descricao AS natureza_juridica
-FROM estabelecimento est
-LEFT JOIN empresa e ON e.cnpj_basico = est.cnpj_basico
-LEFT JOIN dim_municipio m ON m.codigo = est.municipio_cod
-LEFT JOIN dim_situacao_cadastral s ON s.codigo = est.situacao_cadastral
-LEFT JOIN dim_matriz_filial mf ON mf.codigo = est.matriz_filial
-LEFT JOIN dim_cnae c ON c.codigo = est.cnae_fiscal_principal
-LEFT JOIN dim_natureza_juridica n ON n.codigo = e.natureza_juridica_cod
-"""
+_BRANCH_TEXTS = {
+    "matriz_filial": _text("dim_matriz_filial", "b.matriz_filial"),
+    "situacao": _text("dim_situacao_cadastral", "b.situacao_cadastral"),
+    "cnae_principal": _text("dim_cnae", "b.cnae_fiscal_principal"),
+    "municipio": _text("dim_municipio", "b.municipio_cod", "nome"),
+}
+_COMPANY_FIELDS = {
+    "razao_social": "empresa.razao_social",
+    "capital_social": "CAST(empresa.capital_social AS DOUBLE)",
+    "natureza_juridica": _text("dim_natureza_juridica", "empresa.natureza_juridica_cod"),
+}
+_BRANCH_SQL = _sql(*_BRANCH_TABLES) + "SELECT " + ", ".join(
+    f"{(_BRANCH_TEXTS | _COMPANY_FIELDS).get(c, 'b.' + c)} AS {c}" for c in branches.COLUMNS
+) + " FROM estabelecimento b LEFT JOIN empresa USING (cnpj_basico) "
 
 
 @query("d4_branch_view", _BRANCH_SQL)
@@ -235,7 +236,7 @@ def branch_view(spark, sf):
     return _doubles(branches.branch_view(star.typed(spark, sf, *_BRANCH_TABLES)), "capital_social")
 
 
-@query("d4_branch_view_state", _BRANCH_SQL + "WHERE est.uf = 'SP'")
+@query("d4_branch_view_state", _BRANCH_SQL + "WHERE b.uf = 'SP'")
 def branch_view_state(spark, sf):
     rows = branches.branch_view(star.typed(spark, sf, *_BRANCH_TABLES), uf="SP")
     return _doubles(rows, "capital_social")
@@ -244,7 +245,7 @@ def branch_view_state(spark, sf):
 _ONE_BRANCH = "00000899000000"  # order 0 of customer 899
 
 
-@query("c6_branch_by_id", _BRANCH_SQL + f"WHERE est.cnpj = '{_ONE_BRANCH}'")
+@query("c6_branch_by_id", _BRANCH_SQL + f"WHERE b.cnpj = '{_ONE_BRANCH}'")
 def branch_by_id(spark, sf):
     rows = branches.branch_view(star.typed(spark, sf, *_BRANCH_TABLES), cnpj=_ONE_BRANCH)
     return _doubles(rows, "capital_social")
@@ -259,28 +260,29 @@ def first_branch_row(spark, sf):
 
 
 _NETWORK_TABLES = ("socio", "empresa", "dim_qualificacao")
-_LINKS_SQL = _sql(*_NETWORK_TABLES) + """
-SELECT {doc} s.cnpj_basico, e.razao_social, s.nome_socio, q.descricao AS qualificacao
-FROM socio s LEFT JOIN empresa e ON e.cnpj_basico = s.cnpj_basico
-LEFT JOIN dim_qualificacao q ON q.codigo = s.qualificacao_socio_cod
-"""
-_LINK_ORDER = "s.cnpj_basico, s.nome_socio, s.qualificacao_socio_cod"
-
-
-@query("d5_partner_network", _LINKS_SQL.replace("{doc}", "") +
-       f"WHERE s.cnpj_cpf_socio = '***000007**' ORDER BY {_LINK_ORDER} LIMIT 50")
+_LINK_ORDER = "cnpj_basico, nome_socio, qualificacao_socio_cod"
+_LINKS_SQL = _sql(*_NETWORK_TABLES) + f"""
+SELECT {{columns}} cnpj_basico, nome_socio,
+       (SELECT razao_social FROM empresa WHERE empresa.cnpj_basico = socio.cnpj_basico) AS razao_social,
+       {_text('dim_qualificacao', 'qualificacao_socio_cod')} AS qualificacao
+FROM socio """
+_ONE_PARTNER = "***000007**"
+_ONE_PARTNER_SQL = _LINKS_SQL.replace("{columns}", "") + f"""
+WHERE cnpj_cpf_socio = '{_ONE_PARTNER}' ORDER BY {_LINK_ORDER} LIMIT """
+
+
+@query("d5_partner_network", _ONE_PARTNER_SQL + "50")
 def partner_network(spark, sf):
-    return network.partner_network(star.typed(spark, sf, *_NETWORK_TABLES), "***000007**")
+    return network.partner_network(star.typed(spark, sf, *_NETWORK_TABLES), _ONE_PARTNER)
 
 
-@query("g5_partner_network_limit", _LINKS_SQL.replace("{doc}", "") +
-       f"WHERE s.cnpj_cpf_socio = '***000007**' ORDER BY {_LINK_ORDER} LIMIT 500")
+@query("g5_partner_network_limit", _ONE_PARTNER_SQL + "500")
 def partner_network_limit(spark, sf):
-    return network.partner_network(star.typed(spark, sf, *_NETWORK_TABLES), "***000007**", "99999")
+    return network.partner_network(star.typed(spark, sf, *_NETWORK_TABLES), _ONE_PARTNER, "99999")
 
 
-@query("d3_partner_company", _LINKS_SQL.replace("{doc}", "s.cnpj_cpf_socio,") + f"""
-QUALIFY row_number() OVER (PARTITION BY s.cnpj_cpf_socio ORDER BY {_LINK_ORDER}) <= 50""")
+@query("d3_partner_company", _LINKS_SQL.replace("{columns}", "cnpj_cpf_socio,") + f"""
+QUALIFY row_number() OVER (PARTITION BY cnpj_cpf_socio ORDER BY {_LINK_ORDER}) <= 50""")
 def partner_company(spark, sf):
     t = star.typed(spark, sf, *_NETWORK_TABLES)
     return network.partner_network_batch(t, t["socio"].select("cnpj_cpf_socio"))
@@ -291,58 +293,42 @@ _DOCUMENT_TABLES = (
     "dim_porte", "dim_matriz_filial", "dim_situacao_cadastral", "dim_cnae", "dim_municipio",
     "dim_qualificacao",
 )
-_DOCUMENT_CTES = _sql(*_DOCUMENT_TABLES) + """,
-est AS (
-  SELECT b.cnpj_basico, list({{
-      'cnpj': b.cnpj, 'consultado': {highlight}, 'matriz_filial': mf.descricao,
-      'nome_fantasia': b.nome_fantasia, 'situacao': s.descricao,
-      'data_situacao_cadastral': b.data_situacao_cadastral, 'cnae_principal': c.descricao,
-      'data_inicio_atividade': b.data_inicio_atividade, 'tipo_logradouro': b.tipo_logradouro,
-      'logradouro': b.logradouro, 'numero': b.numero, 'complemento': b.complemento,
-      'bairro': b.bairro, 'cep': b.cep, 'municipio': m.nome, 'uf': b.uf,
-      'ddd_telefone_1': b.ddd_telefone_1, 'email': b.email}}
-      ORDER BY b.matriz_filial NULLS LAST, b.cnpj) AS estabelecimentos
-  FROM estabelecimento b
-  LEFT JOIN dim_municipio m ON m.codigo = b.municipio_cod
-  LEFT JOIN dim_situacao_cadastral s ON s.codigo = b.situacao_cadastral
-  LEFT JOIN dim_matriz_filial mf ON mf.codigo = b.matriz_filial
-  LEFT JOIN dim_cnae c ON c.codigo = b.cnae_fiscal_principal
-  GROUP BY 1),
-partners AS (
-  SELECT p.cnpj_basico, list({{
-      'nome_socio': p.nome_socio, 'cnpj_cpf_socio': p.cnpj_cpf_socio, 'qualificacao': q.descricao,
-      'data_entrada_sociedade': p.data_entrada_sociedade}}
-      ORDER BY p.nome_socio NULLS LAST, p.cnpj_cpf_socio NULLS FIRST, q.descricao NULLS FIRST,
-               p.data_entrada_sociedade NULLS FIRST) AS qsa
-  FROM socio p LEFT JOIN dim_qualificacao q ON q.codigo = p.qualificacao_socio_cod GROUP BY 1),
-regimes AS (
-  SELECT r.cnpj_basico, list({{
-      'cnpj': r.cnpj, 'ano': r.ano, 'forma_de_tributacao': r.forma_de_tributacao,
-      'qtd_escrituracoes': r.qtd_escrituracoes, 'cnpj_da_scp': r.cnpj_da_scp}}
-      ORDER BY r.ano DESC, r.cnpj, r.forma_de_tributacao, r.qtd_escrituracoes) AS regime_tributario
-  FROM regime_tributario r GROUP BY 1),
-documents AS (
-  SELECT e.cnpj_basico, e.razao_social, n.descricao AS natureza_juridica,
-         CAST(e.capital_social AS DOUBLE) AS capital_social, p.descricao AS porte,
-         CASE WHEN f.cnpj_basico IS NOT NULL THEN {{
-             'opcao_simples': f.opcao_simples, 'data_opcao_simples': f.data_opcao_simples,
-             'data_exclusao_simples': f.data_exclusao_simples, 'opcao_mei': f.opcao_mei,
-             'data_opcao_mei': f.data_opcao_mei, 'data_exclusao_mei': f.data_exclusao_mei}} END AS simples,
-         coalesce(est.estabelecimentos, []) AS estabelecimentos, coalesce(partners.qsa, []) AS qsa,
-         coalesce(regimes.regime_tributario, []) AS regime_tributario
-  FROM empresa e
-  LEFT JOIN dim_natureza_juridica n ON n.codigo = e.natureza_juridica_cod
-  LEFT JOIN dim_porte p ON p.codigo = e.porte_cod
-  LEFT JOIN simples f ON f.cnpj_basico = e.cnpj_basico
-  LEFT JOIN est ON est.cnpj_basico = e.cnpj_basico
-  LEFT JOIN partners ON partners.cnpj_basico = e.cnpj_basico
-  LEFT JOIN regimes ON regimes.cnpj_basico = e.cnpj_basico)
-"""
+
+
+def _struct(fields, values: dict[str, str]) -> str:
+    return "{" + ", ".join(f"'{f}': {values.get(f, 'b.' + f)}" for f in fields) + "}"
+
+
+def _array(table: str, fields, order: str, values: dict[str, str]) -> str:
+    return (f"SELECT cnpj_basico, list({_struct(fields, values)} ORDER BY {order}) AS children "
+            f"FROM {table} b GROUP BY cnpj_basico")
 
 
 def _document_sql(highlight: str = "false") -> str:
-    text = _DOCUMENT_CTES.split(",\nest AS (", 1)
-    return text[0] + ",\nest AS (" + text[1].format(highlight=highlight)
+    """``WITH`` clause whose ``documents`` holds a nested row per company."""
+    role = _text("dim_qualificacao", "b.qualificacao_socio_cod")
+    nested = {
+        "estabelecimentos": _array(
+            "estabelecimento", ("cnpj", "consultado", *documents.BRANCH_FIELDS[1:]),
+            "b.matriz_filial NULLS LAST, b.cnpj", _BRANCH_TEXTS | {"consultado": highlight}),
+        "qsa": _array(
+            "socio", documents.PARTNER_FIELDS,
+            f"b.nome_socio NULLS LAST, b.cnpj_cpf_socio NULLS FIRST, {role} NULLS FIRST, "
+            "b.data_entrada_sociedade NULLS FIRST", {"qualificacao": role}),
+        "regime_tributario": _array(
+            "regime_tributario", documents.REGIME_FIELDS,
+            "b.ano DESC, b.cnpj, b.forma_de_tributacao, b.qtd_escrituracoes", {}),
+    }
+    arrays = ", ".join(f"array_{n} AS ({sql})" for n, sql in nested.items())
+    columns = ", ".join(f"coalesce(array_{n}.children, []) AS {n}" for n in nested)
+    joins = " ".join(f"LEFT JOIN array_{n} USING (cnpj_basico)" for n in nested)
+    flags = _struct(documents.SIMPLES_FIELDS, {})
+    return _sql(*_DOCUMENT_TABLES) + f""", {arrays}, documents AS (
+        SELECT cnpj_basico, {', '.join(f'{v} AS {c}' for c, v in _COMPANY_FIELDS.items())},
+               {_text('dim_porte', 'empresa.porte_cod')} AS porte,
+               CASE WHEN b.data_opcao_simples IS NOT NULL THEN {flags} END AS simples, {columns}
+        FROM empresa LEFT JOIN simples b USING (cnpj_basico) {joins})
+    """
 
 
 def _as_json(df: DataFrame) -> DataFrame:
@@ -529,81 +515,67 @@ def quarantine(spark, sf):
 
 # --- typed transforms --------------------------------------------------------------------
 
-def _d(c: str) -> str:
-    return f"""CASE WHEN trim({c}) IN ('', '0', '00000000') THEN NULL
-        ELSE CAST(strptime(trim({c}), '%Y%m%d') AS DATE) END"""
+def _value_sql(kind: str, sources: tuple[str, ...]) -> str:
+    """What a kind of column means, in DuckDB's terms."""
+    c = sources[0]
+    digits = f"regexp_replace({c}, '[^0-9]', '', 'g')"
+    return {
+        "as is": c,
+        "text": f"nullif({c}, '')",
+        "smallint": f"CAST(nullif({c}, '') AS SMALLINT)",
+        "int": f"CAST(nullif({c}, '') AS INT)",
+        "money": f"CAST(CAST(nullif(replace({c}, ',', '.'), '') AS DECIMAL(18, 2)) AS DOUBLE)",
+        "date": f"CAST(strptime(nullif(ltrim(trim({c}), '0'), ''), '%Y%m%d') AS DATE)",
+        "flag": f"CASE WHEN {c} ILIKE 's' THEN true WHEN {c} ILIKE 'n' THEN false END",
+        "state": f"CASE WHEN trim(coalesce({c}, '')) = '' THEN '??' ELSE trim({c}) END",
+        "phone": f"nullif(trim({' || '.join(sources)}), '')",
+        "joined": " || ".join(sources),
+        "digits": digits,
+        "base of digits": f"left({digits}, 8)",
+        "partnership": f"CASE WHEN {c} NOT IN ('', '0') THEN left({c}, 14) END",
+    }[kind]
+
+
+def _typed_sql(table: str) -> str:
+    """Typed rows of a feed, one per key where the table has one."""
+    feed = FACT_FEEDS[table]
+    values = ", ".join(f"{_value_sql(kind, sources)} AS {name}" for name, kind, sources in TYPED_COLUMNS[table])
+    if table == "regime_tributario":
+        return (f"SELECT DISTINCT {values} FROM stg_{feed} "
+                f"WHERE length({_value_sql('digits', ('cnpj',))}) = 14 AND ano <> '' AND forma_de_tributacao <> ''")
+    rows = f"SELECT {values}, {', '.join(ARRIVAL)} FROM stg_{feed} WHERE {_IS_BASE}"
+    first = ""
+    if table in FACT_KEYS:
+        keys = ", ".join(FACT_KEYS[table])
+        first = f"QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {', '.join(ARRIVAL)}) = 1"
+    return f"SELECT * EXCLUDE ({', '.join(ARRIVAL)}) FROM ({rows}) {first}"
 
 
-def _n(c: str, kind: str = "SMALLINT") -> str:
-    return f"CAST(nullif({c}, '') AS {kind})"
-
-
-_FIRST = f"QUALIFY row_number() OVER (PARTITION BY {{keys}} ORDER BY {', '.join(ARRIVAL)}) = 1"
 _IS_BASE = "regexp_full_match(cnpj_basico, '[0-9]{8}')"
 
 
-@query("c1_empresa", _sql("stg_empresas") + f"""
-SELECT cnpj_basico, nullif(razao_social, '') AS razao_social,
-       {_n('natureza_juridica')} AS natureza_juridica_cod, {_n('qualificacao_resp')} AS qualificacao_resp_cod,
-       CAST(CAST(nullif(replace(capital_social, ',', '.'), '') AS DECIMAL(18, 2)) AS DOUBLE) AS capital_social,
-       {_n('porte')} AS porte_cod, nullif(ente_federativo, '') AS ente_federativo
-FROM stg_empresas WHERE {_IS_BASE} {_FIRST.format(keys='cnpj_basico')}""")
+@query("c1_empresa", _sql("stg_empresas") + _typed_sql("empresa"))
 def typed_empresa(spark, sf):
     rows = transform.transform_empresa(star.staging(spark, sf, "empresas")["empresas"])
     return _doubles(rows, "capital_social")
 
 
-@query("c1_estabelecimento", _sql("stg_estabelecimentos") + f"""
-SELECT * FROM (
-SELECT cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj, cnpj_basico,
-       {_n('identificador_matriz_filial')} AS matriz_filial, nullif(nome_fantasia, '') AS nome_fantasia,
-       {_n('situacao_cadastral')} AS situacao_cadastral, {_d('data_situacao_cadastral')} AS data_situacao_cadastral,
-       {_n('motivo_situacao')} AS motivo_situacao_cod, nullif(nome_cidade_exterior, '') AS nome_cidade_exterior,
-       {_n('pais')} AS pais_cod, {_d('data_inicio_atividade')} AS data_inicio_atividade,
-       {_n('cnae_principal', 'INT')} AS cnae_fiscal_principal, nullif(tipo_logradouro, '') AS tipo_logradouro,
-       nullif(logradouro, '') AS logradouro, nullif(numero, '') AS numero, nullif(complemento, '') AS complemento,
-       nullif(bairro, '') AS bairro, nullif(cep, '') AS cep, coalesce(nullif(trim(uf), ''), '??') AS uf,
-       {_n('municipio', 'INT')} AS municipio_cod, nullif(trim(ddd_1 || telefone_1), '') AS ddd_telefone_1,
-       nullif(trim(ddd_2 || telefone_2), '') AS ddd_telefone_2, nullif(trim(ddd_fax || fax), '') AS ddd_fax,
-       nullif(correio_eletronico, '') AS email, nullif(situacao_especial, '') AS situacao_especial,
-       {_d('data_situacao_especial')} AS data_situacao_especial, {', '.join(ARRIVAL)}
-FROM stg_estabelecimentos WHERE {_IS_BASE}) {_FIRST.format(keys='cnpj, uf')}""".replace(
-    "SELECT * FROM (", f"SELECT * EXCLUDE ({', '.join(ARRIVAL)}) FROM (", 1))
+@query("c1_estabelecimento", _sql("stg_estabelecimentos") + _typed_sql("estabelecimento"))
 def typed_estabelecimento(spark, sf):
     return transform.transform_estabelecimento(star.staging(spark, sf, "estabelecimentos")["estabelecimentos"])
 
 
-@query("c1_socio", _sql("stg_socios") + f"""
-SELECT cnpj_basico, {_n('identificador_socio')} AS identificador_socio, nullif(nome_socio, '') AS nome_socio,
-       nullif(cnpj_cpf_socio, '') AS cnpj_cpf_socio, {_n('qualificacao_socio')} AS qualificacao_socio_cod,
-       {_d('data_entrada_sociedade')} AS data_entrada_sociedade, {_n('pais')} AS pais_cod,
-       nullif(cpf_representante, '') AS cpf_representante, nullif(nome_representante, '') AS nome_representante,
-       {_n('qualificacao_repr')} AS qualificacao_repr_cod, {_n('faixa_etaria')} AS faixa_etaria_cod
-FROM stg_socios WHERE {_IS_BASE}""")
+@query("c1_socio", _sql("stg_socios") + _typed_sql("socio"))
 def typed_socio(spark, sf):
     return transform.transform_socio(star.staging(spark, sf, "socios")["socios"])
 
 
-def _flag(c: str) -> str:
-    return f"CASE upper(nullif({c}, '')) WHEN 'S' THEN true WHEN 'N' THEN false END"
-
-
-@query("c1_simples", _sql("stg_simples") + f"""
-SELECT cnpj_basico, {_flag('opcao_simples')} AS opcao_simples, {_d('data_opcao_simples')} AS data_opcao_simples,
-       {_d('data_exclusao_simples')} AS data_exclusao_simples, {_flag('opcao_mei')} AS opcao_mei,
-       {_d('data_opcao_mei')} AS data_opcao_mei, {_d('data_exclusao_mei')} AS data_exclusao_mei
-FROM stg_simples WHERE {_IS_BASE} {_FIRST.format(keys='cnpj_basico')}""")
+@query("c1_simples", _sql("stg_simples") + _typed_sql("simples"))
 def typed_simples(spark, sf):
     return transform.transform_simples(star.staging(spark, sf, "simples")["simples"])
 
 
-_REGIME_SQL = _sql("stg_regime") + f""", regime AS (
-SELECT DISTINCT cnpj14 AS cnpj, substring(cnpj14, 1, 8) AS cnpj_basico, CAST(ano AS SMALLINT) AS ano,
-       forma_de_tributacao, {_n('quantidade_de_escrituracoes', 'INT')} AS qtd_escrituracoes,
-       substring(nullif(nullif(cnpj_da_scp, ''), '0'), 1, 14) AS cnpj_da_scp
-FROM (SELECT *, regexp_replace(cnpj, '[^0-9]', '', 'g') AS cnpj14 FROM stg_regime)
-WHERE length(cnpj14) = 14 AND nullif(ano, '') IS NOT NULL AND nullif(forma_de_tributacao, '') IS NOT NULL)
-"""
+_REGIME_SQL = _sql("stg_regime") + f", regime AS ({_typed_sql('regime_tributario')}) "
 
 
 @query("c1_regime", _REGIME_SQL + "SELECT * FROM regime")
@@ -629,10 +601,10 @@ def typed_activity(spark, sf):
 
 
 @query("i12_explode_codes", _sql("stg_estabelecimentos") + f"""
-SELECT DISTINCT cnpj, CAST(piece AS INT) AS cnae_cod FROM (
-  SELECT cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj, trim(unnest(string_split(cnae_secundaria, ','))) AS piece
-  FROM stg_estabelecimentos WHERE {_IS_BASE} AND nullif(cnae_secundaria, '') IS NOT NULL)
-WHERE regexp_full_match(piece, '[0-9]+')""")
+SELECT DISTINCT cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj,
+       unnest([CAST(c AS INT) FOR c IN regexp_split_to_array(cnae_secundaria, ' *, *')
+               IF regexp_full_match(c, '[0-9]+')]) AS cnae_cod
+FROM stg_estabelecimentos WHERE {_IS_BASE}""")
 def explode_codes(spark, sf):
     return transform.explode_codes(star.staging(spark, sf, "estabelecimentos")["estabelecimentos"])
 
@@ -731,8 +703,8 @@ def text_scalars(spark, sf):
 
 
 @query("i13_flags", _sql("stg_simples") + f"""
-SELECT {_flag('opcao_simples')} AS simples, {_flag('opcao_mei')} AS mei, count(*) AS linhas
-FROM stg_simples GROUP BY ALL""")
+SELECT {_value_sql('flag', ('opcao_simples',))} AS simples, {_value_sql('flag', ('opcao_mei',))} AS mei,
+       count(*) AS linhas FROM stg_simples GROUP BY ALL""")
 def flags(spark, sf):
     rows = star.staging(spark, sf, "simples")["simples"]
     return rows.groupBy(
@@ -740,10 +712,10 @@ def flags(spark, sf):
     ).agg(F.count(F.lit(1)).alias("linhas"))
 
 
-@query("i14_partnership_ids", _sql("stg_regime") + """
-SELECT substring(nullif(nullif(cnpj_da_scp, ''), '0'), 1, 14) AS cortado,
-       substring(regexp_replace(nullif(nullif(cnpj_da_scp, ''), '0'), '[^0-9]', '', 'g'), 1, 14) AS digitos,
-       count(*) AS linhas FROM stg_regime GROUP BY ALL""")
+@query("i14_partnership_ids", _sql("stg_regime") + f"""
+SELECT {_value_sql('partnership', ('cnpj_da_scp',))} AS cortado,
+       left(regexp_replace({_value_sql('partnership', ('cnpj_da_scp',)).replace('14', '99')}, '[^0-9]', '', 'g'), 14)
+         AS digitos, count(*) AS linhas FROM stg_regime GROUP BY ALL""")
 def partnership_ids(spark, sf):
     rows, c = star.staging(spark, sf, "regime")["regime"], F.col("cnpj_da_scp")
     return rows.groupBy(
@@ -1137,7 +1109,7 @@ def refresh_marts(spark, sf):
 WITH {_sql(*(f'stg_{f}' for f in _FEEDS if f != 'regime'))[5:]}, {_REGIME_SQL[5:]}
 SELECT 'empresa' AS t, count(DISTINCT cnpj_basico) AS count FROM stg_empresas WHERE {_IS_BASE}
 UNION ALL SELECT 'estabelecimento', count(DISTINCT (cnpj_basico, cnpj_ordem, cnpj_dv,
-     coalesce(nullif(trim(uf), ''), '??'))) FROM stg_estabelecimentos WHERE {_IS_BASE}
+     {_value_sql('state', ('uf',))})) FROM stg_estabelecimentos WHERE {_IS_BASE}
 UNION ALL SELECT 'socio', count(*) FROM stg_socios WHERE {_IS_BASE}
 UNION ALL SELECT 'simples', count(DISTINCT cnpj_basico) FROM stg_simples WHERE {_IS_BASE}
 UNION ALL SELECT 'regime_tributario', count(*) FROM regime""")

@@ -9,7 +9,7 @@ from regiscope.functions.clean import base_id
 from regiscope.operators.dedup import keep_first
 from regiscope.operators.lookup import decode
 
-_COLUMNS = (
+COLUMNS = (
     "cnpj", "cnpj_basico", "razao_social", "nome_fantasia", "matriz_filial", "situacao",
     "data_situacao_cadastral", "data_inicio_atividade", "cnae_principal", "tipo_logradouro",
     "logradouro", "numero", "complemento", "bairro", "cep", "municipio", "uf",
@@ -46,4 +46,4 @@ def branch_view(tables: dict[str, DataFrame], cnpj: str | None = None, uf: str |
     rows = estab.join(company, "cnpj_basico", "left")
     rows = decode_branches(tables, rows)
     rows = decode(rows, tables["dim_natureza_juridica"], "natureza_juridica_cod", "natureza_juridica")
-    return rows.select(*_COLUMNS)
+    return rows.select(*COLUMNS)
