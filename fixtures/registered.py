@@ -309,7 +309,7 @@ def _document_sql(highlight: str = "false") -> str:
     role = _text("dim_qualificacao", "b.qualificacao_socio_cod")
     nested = {
         "estabelecimentos": _array(
-            "estabelecimento", ("cnpj", "consultado", *documents.BRANCH_FIELDS[1:]),
+            "estabelecimento", documents.BRANCH_FIELDS,
             "b.matriz_filial NULLS LAST, b.cnpj", _BRANCH_TEXTS | {"consultado": highlight}),
         "qsa": _array(
             "socio", documents.PARTNER_FIELDS,

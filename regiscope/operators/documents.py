@@ -26,7 +26,7 @@ PAGE_SIZE = 50_000
 _BROADCAST_HOT = 500_000
 
 BRANCH_FIELDS = (
-    "cnpj", "matriz_filial", "nome_fantasia", "situacao", "data_situacao_cadastral",
+    "cnpj", "consultado", "matriz_filial", "nome_fantasia", "situacao", "data_situacao_cadastral",
     "cnae_principal", "data_inicio_atividade", "tipo_logradouro", "logradouro", "numero",
     "complemento", "bairro", "cep", "municipio", "uf", "ddd_telefone_1", "email",
 )
@@ -84,24 +84,23 @@ def _last_null(c: str) -> list[Column]:
 
 
 def _nested(child: Child, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One sorted array per key: order columns lead the struct and are dropped after the sort.
+    """One sorted array per key. Order columns lead the struct; the fields are a struct of
+    their own inside it, so that dropping the order copies nothing.
 
     The rows are brought together first. Collecting before the shuffle would build arrays
     per task that are as large as the rows and are only merged again.
     """
     lead = [c.alias(f"_o{i}") for i, c in enumerate(child.order)]
-    element = F.struct(*lead, *child.fields)
+    element = F.struct(*lead, F.struct(*child.fields).alias("fields"))
     arrays = rows.select(*keys, element.alias("_e")).repartition(*keys).groupBy(*keys).agg(
         F.sort_array(F.collect_list("_e")).alias("_sorted")
     )
-    return arrays.select(
-        *keys,
-        F.transform("_sorted", lambda e: F.struct(*[e[f].alias(f) for f in child.fields])).alias(child.name),
-    )
+    return arrays.select(*keys, F.col("_sorted")["fields"].alias(child.name))
 
 
-def _children(tables: dict[str, DataFrame]) -> list[Child]:
-    branches = decode_branches(tables, tables["estabelecimento"])
+def _children(tables: dict[str, DataFrame], highlight: str | None) -> list[Child]:
+    asked = F.coalesce(F.col("cnpj") == F.lit(highlight), F.lit(False))
+    branches = decode_branches(tables, tables["estabelecimento"]).withColumn("consultado", asked)
     partners = decode(tables["socio"], tables["dim_qualificacao"], "qualificacao_socio_cod", "qualificacao")
     return [
         Child("estabelecimentos", branches, _last_null("matriz_filial_cod") + [F.col("cnpj")],
@@ -113,9 +112,8 @@ def _children(tables: dict[str, DataFrame]) -> list[Child]:
 
 
 def _documents(tables: dict[str, DataFrame], keys: DataFrame | None, page_size: int,
-               hot: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-    """Documents without the branch mark, and ``(cnpj_basico, pages)`` of the companies with
-    several pages, if there are any."""
+               hot: DataFrame | None, highlight: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Documents, and ``(cnpj_basico, pages)`` of the companies with several pages, if any."""
     own = tables
     if keys is not None:
         only, few = key_list(keys, KEY)
@@ -135,7 +133,7 @@ def _documents(tables: dict[str, DataFrame], keys: DataFrame | None, page_size:
     flags = own["simples"].select(KEY, F.struct(*SIMPLES_FIELDS).alias("simples"))
     root = root.join(flags, KEY, "left")
 
-    children = _children(own)
+    children = _children(own, highlight)
     hot = hot.filter(F.col("n") > page_size).withColumn(
         "pages", F.ceil(F.col("n") / page_size).cast("int")
     )
@@ -187,9 +185,8 @@ def company_documents(tables: dict[str, DataFrame], keys: DataFrame | None = Non
     ``hot_companies`` for the same data with at most this page size; a published registry
     carries one, otherwise one counting pass finds the companies that need pages.
     """
-    asked = F.lit(highlight).cast("string")
-    documents, _ = _documents(tables, keys, page_size, _hot_list(tables, page_size, hot))
-    return mark_branch(documents.withColumn("cnpj_consultado", asked), F.col("cnpj_consultado"))
+    documents, _ = _documents(tables, keys, page_size, _hot_list(tables, page_size, hot), highlight)
+    return documents.withColumn("cnpj_consultado", F.lit(highlight).cast("string"))
 
 
 def company_document(tables: dict[str, DataFrame], registry_id: str, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -207,14 +204,16 @@ def company_document(tables: dict[str, DataFrame], registry_id: str, page_size:
                              page_size=page_size)
 
 
-def mark_branch(documents: DataFrame, branch: Column) -> DataFrame:
-    """Put ``consultado`` into every branch element: whether it is the one asked for."""
+def _mark_branch(documents: DataFrame) -> DataFrame:
+    """Set ``consultado`` of the branch that each row's own ``cnpj_consultado`` names."""
     def element(e: Column) -> Column:
-        is_it = F.coalesce(e["cnpj"] == branch, F.lit(False))
-        rest = [e[f].alias(f) for f in BRANCH_FIELDS[1:]]
-        return F.struct(e["cnpj"].alias("cnpj"), is_it.alias("consultado"), *rest)
+        is_it = e["cnpj"] == F.col("cnpj_consultado")
+        return F.struct(*[(is_it if f == "consultado" else e[f]).alias(f) for f in BRANCH_FIELDS])
 
-    return documents.withColumn("estabelecimentos", F.transform("estabelecimentos", element))
+    marked = F.when(F.col("cnpj_consultado").isNull(), F.col("estabelecimentos")).otherwise(
+        F.transform("estabelecimentos", element)
+    )
+    return documents.withColumn("estabelecimentos", marked)
 
 
 def enrich(requests: DataFrame, tables: dict[str, DataFrame], id_col: str = "registry_id",
@@ -238,7 +237,7 @@ def enrich(requests: DataFrame, tables: dict[str, DataFrame], id_col: str = "reg
     else:
         out = _per_page(asked, pages).join(documents.drop("pages"), [KEY, "page"], "left")
     out = out.withColumn("found", F.coalesce("found", F.lit(False)))
-    return mark_branch(out, F.col("cnpj_consultado"))
+    return _mark_branch(out)
 
 
 def to_documents(df: DataFrame, name: str = "document") -> DataFrame:
