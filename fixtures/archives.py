@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+from regiscope.sources import zipcsv
+
 
 def write_archives(df: DataFrame, folder: str, prefix: str, sep: str = ";",
                    charset: str = "iso8859-15", header: bool = False, members: int = 1,
@@ -14,11 +17,12 @@ def write_archives(df: DataFrame, folder: str, prefix: str, sep: str = ";",
     a single partition may go without the number. Each archive holds ``members`` files, each
     with its own header line when there is one. Blank texts are quoted, NULLs are not.
     """
+    cloudpickle.register_pickle_by_value(zipcsv)
+    open_fs = zipcsv.open_fs
     top = sep.join(df.columns) + newline if header else ""
 
     def write(batches):
         import io
-        import os
         import zipfile
 
         import pyarrow as pa
@@ -28,24 +32,25 @@ def write_archives(df: DataFrame, folder: str, prefix: str, sep: str = ";",
         batches = list(batches)
         rows = sum(b.num_rows for b in batches)
         if rows:
-            os.makedirs(folder, exist_ok=True)
+            files, path = open_fs(folder)
+            files.create_dir(path, recursive=True)
             table = pa.Table.from_batches(batches)
             number = TaskContext.get().partitionId() if numbered else ""
             options = csv.WriteOptions(include_header=False, delimiter=sep, quoting_style="all_valid")
             size = -(-rows // members)
-            files = []
+            parts = []
             for i in range(members):
                 out = io.BytesIO()
                 csv.write_csv(table.slice(i * size, size), out, options)
                 text = out.getvalue().decode("utf8")
-                files.append((top + (text if newline == "\n" else text.replace("\n", newline))).encode(charset))
-            if zipped:
-                with zipfile.ZipFile(f"{folder}/{prefix}{number}.zip", "w", zipfile.ZIP_DEFLATED) as z:
-                    for i, data in enumerate(files):
-                        z.writestr(f"part{i}.csv", data)
-            else:
-                with open(f"{folder}/{prefix}{number}.csv", "wb") as f:
-                    f.write(b"".join(files))
+                parts.append((top + (text if newline == "\n" else text.replace("\n", newline))).encode(charset))
+            with files.open_output_stream(f"{path}/{prefix}{number}.{'zip' if zipped else 'csv'}") as f:
+                if zipped:
+                    with zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
+                        for i, data in enumerate(parts):
+                            z.writestr(f"part{i}.csv", data)
+                else:
+                    f.write(b"".join(parts))
         yield pa.RecordBatch.from_pydict({"rows": pa.array([rows], pa.int64())})
 
     df.mapInArrow(write, "rows long").write.format("noop").mode("overwrite").save()

@@ -242,12 +242,17 @@ def branch_view_state(spark, sf):
     return _doubles(rows, "capital_social")
 
 
-_ONE_BRANCH = "00000899000000"  # order 0 of customer 899
+_ONE_BRANCH_SQL = "(SELECT min(cnpj) FROM estabelecimento)"
 
 
-@query("c6_branch_by_id", _BRANCH_SQL + f"WHERE b.cnpj = '{_ONE_BRANCH}'")
+def _one_branch(spark, sf) -> str:
+    """Some branch to ask for."""
+    return star.typed(spark, sf, "estabelecimento")["estabelecimento"].agg(F.min("cnpj")).first()[0]
+
+
+@query("c6_branch_by_id", _BRANCH_SQL + f"WHERE b.cnpj = {_ONE_BRANCH_SQL}")
 def branch_by_id(spark, sf):
-    rows = branches.branch_view(star.typed(spark, sf, *_BRANCH_TABLES), cnpj=_ONE_BRANCH)
+    rows = branches.branch_view(star.typed(spark, sf, *_BRANCH_TABLES), cnpj=_one_branch(spark, sf))
     return _doubles(rows, "capital_social")
 
 
@@ -372,11 +377,11 @@ def regime_order(spark, sf):
     )
 
 
-@query("c11_highlighted_branch", _document_sql(f"b.cnpj = '{_ONE_BRANCH}'") + f"""
-SELECT cnpj_basico, '{_ONE_BRANCH}' AS cnpj_consultado, razao_social, {_JSON_COLUMNS}
-FROM documents WHERE cnpj_basico = '{_ONE_BRANCH[:8]}'""")
+@query("c11_highlighted_branch", _document_sql(f"b.cnpj = {_ONE_BRANCH_SQL}") + f"""
+SELECT cnpj_basico, {_ONE_BRANCH_SQL} AS cnpj_consultado, razao_social, {_JSON_COLUMNS}
+FROM documents WHERE cnpj_basico = left({_ONE_BRANCH_SQL}, 8)""")
 def highlighted_branch(spark, sf):
-    docs = documents.company_document(star.typed(spark, sf, *_DOCUMENT_TABLES), _ONE_BRANCH)
+    docs = documents.company_document(star.typed(spark, sf, *_DOCUMENT_TABLES), _one_branch(spark, sf))
     return _as_json(docs).select(
         "cnpj_basico", "cnpj_consultado", "razao_social", "estabelecimentos", "qsa",
         "regime_tributario", "simples",

@@ -11,18 +11,17 @@ _CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local master may go without the setting; it then gets a folder of its own.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or the checkpoint folder the
+    application set. Only a local master may go without; it then gets a folder of its own.
     """
-    base = spark.conf.get(_CONF, None)
+    context = spark.sparkContext
+    base = spark.conf.get(_CONF, None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {_CONF} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="regiscope-")
-        spark.conf.set(_CONF, base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(base)
     return base.rstrip("/")
 
 

@@ -25,7 +25,8 @@ from pyspark.sql.types import StructType
 _FILE, _LINE, _CORRUPT = "_file", "_line", "_corrupt_record"
 
 
-def _open_fs(path: str):
+def open_fs(path: str):
+    """File system of a path or URI, and the path on it."""
     from pyarrow import fs
 
     if path.startswith("file:"):
@@ -40,7 +41,7 @@ def list_archives(pattern: str) -> list[str]:
     from pyarrow import fs
 
     folder, _, name = pattern.rpartition("/")
-    files, root = _open_fs(folder or ".")
+    files, root = open_fs(folder or ".")
     found = files.get_file_info(fs.FileSelector(root, allow_not_found=True))
     names = sorted(i.base_name for i in found if i.is_file and fnmatch.fnmatchcase(i.base_name, name))
     return [f"{folder or '.'}/{n}" for n in names]
@@ -84,13 +85,13 @@ class ZipCsvReader(DataSourceReader):
     def partitions(self):
         members = []
         for archive in list_archives(self.path):
-            files, path = _open_fs(archive)
+            files, path = open_fs(archive)
             with files.open_input_file(path) as handle, zipfile.ZipFile(handle) as zipped:
                 members += [Member(archive, i.filename) for i in zipped.infolist() if not i.is_dir()]
         return members
 
     def read(self, partition: Member):
-        files, path = _open_fs(partition.archive)
+        files, path = open_fs(partition.archive)
         with files.open_input_file(path) as handle, zipfile.ZipFile(handle) as zipped:
             with zipped.open(partition.name) as raw:
                 text = io.BufferedReader(_Without(raw, self.unwanted), 1 << 20)

@@ -5,7 +5,8 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from regiscope.operators import aggregates, documents
+from regiscope.operators import aggregates, documents, network
+from regiscope.operators import branches as branches_
 from regiscope.plans import load, marts, publish
 from regiscope.schemas import DOMAINS, LOOKUPS, STAGING_COLUMNS
 from regiscope.streaming.snapshots import ingest_registry
@@ -154,6 +155,12 @@ def test_full_load(spark, tmp_path):
     assert [p.qualificacao for p in doc.qsa] == ["Sócio", "Sócio"] and doc.simples.opcao_simples is True
     assert [r.ano for r in doc.regime_tributario] == [2024, 2023] and doc.porte == "Micro empresa"
     assert doc.estabelecimentos[0].data_inicio_atividade == datetime.date(2020, 1, 2)
+    lookup = plan_of(branches_.branch_view(t, cnpj="00000003000201", uf="SP"))
+    assert "EqualTo(cnpj,00000003000201)" in lookup and "EqualTo(cnpj_basico,00000003)" in lookup
+    assert re.search(r"PartitionFilters: \[isnotnull\(uf#\d+\), \(uf#\d+ = SP\)\]", lookup)
+    one = plan_of(documents.company_document(t, "00000003"))
+    assert one.count("EqualTo(cnpj_basico,00000003)") >= 5, "the key reaches every scan"
+    assert "EqualTo(cnpj_cpf_socio,***000001**)" in plan_of(network.partner_network(t, "***000001**"))
     again = {r.t: r["count"] for r in load.load_registry(spark, str(folder), root, month="2026-01").collect()}
     assert again == audit
 
@@ -212,6 +219,14 @@ def test_monthly_ingest_of_archives(spark, tmp_path):
     assert t["empresa"].count() == 4 and t["regime_tributario"].count() == 0 and t[marts.ACTIVE].count() > 0
 
 
+def test_approximate_distribution(spark):
+    regime = spark.range(20_000).selectExpr("'x' as forma_de_tributacao", "cast(id % 4000 as string) as cnpj_basico", "1 as ano")
+    rough = aggregates.regime_distribution(regime, approximate=True).first()
+    assert rough.registros == 20_000 and abs(rough.empresas_distintas - 4000) < 400
+    assert aggregates.regime_distribution(regime, "nonsense").first().empresas_distintas == 4000
+    assert aggregates.regime_distribution(regime, 2).count() == 0
+
+
 def test_profile(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("b", 2), (None, 3)], "x string, y int")
     row = aggregates.profile_pairs(df, "x", "y").first()
