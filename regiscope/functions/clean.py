@@ -115,8 +115,9 @@ def not_blank(c: Column) -> Column:
     return blank_to_null(c).isNotNull()
 
 
-def without_nul(c: Column) -> Column:
-    return F.translate(c, "\u0000", "")
+def without(c: Column, characters: str = "\u0000") -> Column:
+    """The text without some characters, NUL unless told otherwise."""
+    return F.translate(c, characters, "")
 
 
 def latin1_to_latin9(c: Column) -> Column:

@@ -37,7 +37,7 @@ def read_zip_csv(spark: SparkSession, path_glob: str, schema: StructType, sep: s
 
 
 def read_registry_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ";",
-                      charset: str = "iso8859-15", header: bool = False,
+                      charset: str = "iso8859-15", header: bool = False, strip_cr: bool = False,
                       multiline: bool = True) -> DataFrame:
     """Plain files of the same dialect.
 
@@ -55,7 +55,8 @@ def read_registry_csv(spark: SparkSession, path: str, schema: StructType, sep: s
         .csv(path)
     )
     repair = clean.latin1_to_latin9 if latin9 else (lambda c: c)
-    text = [repair(clean.without_nul(F.col(f.name))).alias(f.name) for f in schema]
+    unwanted = "\u0000\r" if strip_cr else "\u0000"
+    text = [repair(clean.without(F.col(f.name), unwanted)).alias(f.name) for f in schema]
     # The split's offset orders the splits of a file, the running id the rows of a split.
     split = F.shiftright("_metadata.file_block_start", 20)
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
@@ -86,11 +87,18 @@ def read_lookup(spark: SparkSession, path_glob: str) -> DataFrame:
 
 
 def read_feed(spark: SparkSession, folder: str, feed: str, **options) -> DataFrame:
-    """A feed of a snapshot folder; a feed without files is an empty table."""
-    pattern = f"{folder.rstrip('/')}/{FEED_GLOBS[feed]}"
+    """A feed of a snapshot folder: its archives, else its plain files, else an empty table."""
+    schema = STAGING_SCHEMAS[feed]
+    archives = f"{folder.rstrip('/')}/{FEED_GLOBS[feed]}"
+    plain = archives.removesuffix(".zip") + ".csv"
+    if zipcsv.list_archives(plain) and not zipcsv.list_archives(archives):
+        if feed == "regime":
+            rows = read_registry_csv(spark, plain, schema, sep=",", charset="UTF-8", strip_cr=True)
+            return drop_repeated_headers(rows)
+        return read_registry_csv(spark, plain, schema)
     if feed == "regime":
-        return read_optional(spark, pattern, STAGING_SCHEMAS[feed], read_regime_csv, **options)
-    return read_optional(spark, pattern, STAGING_SCHEMAS[feed], **options)
+        return read_optional(spark, archives, schema, read_regime_csv, **options)
+    return read_optional(spark, archives, schema, **options)
 
 
 def read_optional(spark: SparkSession, path_glob: str, schema: StructType, reader=None,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from regiscope.operators import aggregates, documents, network
 from regiscope.operators import branches as branches_
 from regiscope.plans import load, marts, publish
-from regiscope.schemas import DOMAINS, LOOKUPS, STAGING_COLUMNS
+from regiscope.schemas import DOMAINS, FACT_FEEDS, LOOKUPS, STAGING_COLUMNS
 from regiscope.streaming.snapshots import ingest_registry
 from tests.conftest import plan_of
 
@@ -165,6 +165,25 @@ def test_full_load(spark, tmp_path):
     assert again == audit
 
 
+def test_plain_files_load_like_archives(spark, tmp_path):
+    zipped = snapshot(tmp_path / "zipped", companies=8)
+    plain = tmp_path / "plain"
+    for path in zipped.iterdir():
+        with zipfile.ZipFile(path) as z:
+            for name in z.namelist():
+                z.extract(name, plain)
+                if path.name.startswith("entidades"):
+                    (plain / name).write_bytes((plain / name).read_bytes().replace(b"\n", b"\r\n"))
+                    (plain / name).rename(plain / f"entidades-{name}")
+    got = {}
+    for folder in (zipped, plain):
+        root = str(tmp_path / f"out-{folder.name}")
+        load.load_registry(spark, str(folder), root)
+        t = publish.tables(spark, root)
+        got[folder.name] = {n: sorted(map(str, t[n].drop("id").collect())) for n in (*FACT_FEEDS, *LOOKUPS)}
+    assert got["zipped"] == got["plain"] and len(got["plain"]["regime_tributario"]) == 16
+
+
 def test_regime_alone(spark, tmp_path):
     root = str(tmp_path / "out")
     load.load_registry(spark, str(snapshot(tmp_path / "a", without=("entidades",))), root)
