@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from regiscope.operators import aggregates
 from regiscope.operators.dedup import with_surrogate_id
 from regiscope.operators.documents import HOT_TABLE, hot_companies
-from regiscope.operators.sample import coherent_sample
+from regiscope.operators.sample import coherent_sample, first_archive_anchor
 from regiscope.operators.transform import rejects, transform_all, transform_regime
 from regiscope.plans.marts import write_marts
 from regiscope.plans.publish import MAX_FILE_ROWS, commit, tables, write_version
@@ -82,8 +82,8 @@ def load_registry(spark: SparkSession, folder: str, root: str, month: str | None
     try:
         staging = _side_by_side(lambda feed, df: land(df, feed, landing), read_staging(spark, folder))
         if sample > 0:
-            staging = coherent_sample(staging, sample)
-            staging["estabelecimentos"] = land(staging["estabelecimentos"], "sample", landing)
+            anchor = land(first_archive_anchor(staging["estabelecimentos"], sample), "sample", landing)
+            staging = coherent_sample(staging, sample, anchor)
         typed = transform_all(staging, **options)
         typed |= {name: domain_dim(spark, name) for name in DOMAINS}
         if not options.get("strict", True):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 import decimal
-import math
 import sys
 import time
 
@@ -24,8 +23,6 @@ def connect(sf_dir: str):
 def _plain(v):
     if isinstance(v, decimal.Decimal):
         return float(v)
-    if isinstance(v, float) and not math.isnan(v):
-        return float(f"{v:.12g}")
     if isinstance(v, datetime.datetime):
         return v.isoformat()
     return v
