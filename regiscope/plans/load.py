@@ -13,8 +13,10 @@ from regiscope.operators.dedup import with_surrogate_id
 from regiscope.operators.documents import HOT_TABLE, hot_companies
 from regiscope.operators.sample import coherent_sample, first_archive_anchor
 from regiscope.operators.transform import rejects, transform_all, transform_regime
-from regiscope.plans.marts import write_marts
-from regiscope.plans.publish import MAX_FILE_ROWS, commit, tables, write_version
+from regiscope.plans.marts import MART_KEYS, write_marts
+from regiscope.plans.publish import (
+    MAX_FILE_ROWS, commit, new_version, tables, version_path, write_version,
+)
 from regiscope.schemas import DOMAINS, FACT_FEEDS, STAGING_COLUMNS
 from regiscope.session import remove, work_path
 from regiscope.sources.domains import domain_dim
@@ -55,12 +57,12 @@ def read_staging(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {feed: read_feed(spark, folder, feed) for feed in STAGING_COLUMNS}
 
 
-def write_tables(root: str, typed: dict[str, DataFrame]) -> dict[str, str]:
+def write_tables(root: str, typed: dict[str, DataFrame], version: str | None = None) -> dict[str, str]:
     """Write new versions of typed tables, a few at a time, and return their paths."""
     def write(name: str, df: DataFrame) -> str:
         rows = with_surrogate_id(df) if name in WITH_ID else df
         return write_version(rows, root, name, PARTITIONED.get(name), CLUSTERED.get(name, ()),
-                             BLOOM.get(name, ()))
+                             BLOOM.get(name, ()), version)
 
     return _side_by_side(write, typed)
 
@@ -75,10 +77,12 @@ def load_registry(spark: SparkSession, folder: str, root: str, month: str | None
                   sample: int = 0, keep_staging: bool = False, **options) -> DataFrame:
     """A full load, or a coherent sample of ``sample`` branches, ending with the row counts.
 
-    Everything is written first and committed together. With ``strict=False`` values that do
-    not parse become NULL, and the rows they came in are published as ``rejects_<table>``.
+    Everything is written first and committed together; what a failed load wrote is removed.
+    With ``strict=False`` values that do not parse become NULL, and the rows they came in are
+    published as ``rejects_<table>``.
     """
-    landing = work_path(spark, "staging")
+    landing, version = work_path(spark, "staging"), new_version()
+    names = [*MART_KEYS, HOT_TABLE]
     try:
         staging = _side_by_side(lambda feed, df: land(df, feed, landing), read_staging(spark, folder))
         if sample > 0:
@@ -88,13 +92,18 @@ def load_registry(spark: SparkSession, folder: str, root: str, month: str | None
         typed |= {name: domain_dim(spark, name) for name in DOMAINS}
         if not options.get("strict", True):
             typed |= {f"rejects_{t}": rejects(staging[feed], t) for t, feed in FACT_FEEDS.items()}
-        paths = write_tables(root, typed)
+        names += typed
+        paths = write_tables(root, typed, version)
+        written = {name: spark.read.parquet(path) for name, path in paths.items()}
+        paths |= write_marts(spark, root, written["empresa"], written["estabelecimento"], version)
+        paths[HOT_TABLE] = write_version(hot_companies(written), root, HOT_TABLE, version=version)
+    except Exception:
+        for name in names:
+            remove(spark, version_path(root, name, version))
+        raise
     finally:
         if not keep_staging:
             remove(spark, landing)
-    written = {name: spark.read.parquet(path) for name, path in paths.items()}
-    paths |= write_marts(spark, root, written["empresa"], written["estabelecimento"])
-    paths[HOT_TABLE] = write_version(hot_companies(written), root, HOT_TABLE)
     commit(spark, root, paths, month)
     return aggregates.load_audit(written)
 

@@ -21,13 +21,14 @@ MART_KEYS = {
 DEFAULT_LIMIT, MAX_LIMIT = 10, 200
 
 
-def write_marts(spark: SparkSession, root: str, empresa: DataFrame, estab: DataFrame) -> dict[str, str]:
+def write_marts(spark: SparkSession, root: str, empresa: DataFrame, estab: DataFrame,
+                version: str | None = None) -> dict[str, str]:
     """Write new versions of both aggregates, check their keys, and return the paths."""
     made = {
         CAPITAL: mart_capital_by_category(empresa),
         ACTIVE: mart_active_by_place_activity(estab),
     }
-    paths = {name: write_version(df, root, name) for name, df in made.items()}
+    paths = {name: write_version(df, root, name, version=version) for name, df in made.items()}
     for name, path in paths.items():
         assert_unique(spark.read.parquet(path), MART_KEYS[name], name)
     return paths

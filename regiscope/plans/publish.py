@@ -53,8 +53,14 @@ def published_month(spark: SparkSession, root: str) -> str | None:
     return commit_log(spark, root).agg(F.max("month")).first()[0]
 
 
+def new_version() -> str:
+    """A folder name for a version; the tables of one load can share it."""
+    return f"{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+
+
 def write_version(df: DataFrame, root: str, table: str, partition_by: str | None = None,
-                  cluster_by: Sequence[str] = (), bloom: Sequence[str] = ()) -> str:
+                  cluster_by: Sequence[str] = (), bloom: Sequence[str] = (),
+                  version: str | None = None) -> str:
     """Write a new version and return its path; readers do not see it before the commit.
 
     ``cluster_by`` range-partitions and sorts the rows, so that each file holds a narrow range
@@ -63,7 +69,7 @@ def write_version(df: DataFrame, root: str, table: str, partition_by: str | None
     ranges as it needs, and no task writes it alone. ``bloom`` columns get Parquet bloom
     filters, for lookups by a column the rows are not ordered by.
     """
-    path = f"{root.rstrip('/')}/{table}/{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    path = version_path(root, table, version or new_version())
     order = [*([partition_by] if partition_by else []), *cluster_by]
     rows = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
     writer = rows.write.option("maxRecordsPerFile", MAX_FILE_ROWS)
@@ -77,6 +83,10 @@ def write_version(df: DataFrame, root: str, table: str, partition_by: str | None
     return path
 
 
+def version_path(root: str, table: str, version: str) -> str:
+    return f"{root.rstrip('/')}/{table}/{version}"
+
+
 def commit(spark: SparkSession, root: str, paths: dict[str, str], month: str | None = None) -> None:
     """Make written versions current, all at once."""
     seq = time.time_ns()

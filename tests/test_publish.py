@@ -213,8 +213,10 @@ def test_failed_load_leaves_the_old_tables(spark, tmp_path):
     bad = snapshot(tmp_path / "b", companies=5)
     with zipfile.ZipFile(bad / "Simples.zip", "w") as z:
         z.writestr("s.csv", '"00000001";"S";"20230230";"";"";"";""\n')
+    before = sorted(str(p) for p in (tmp_path / "out").glob("*/*"))
     with pytest.raises(Exception, match="cannot read date"):
         load.load_registry(spark, str(bad), root, month="2026-02")
+    assert sorted(str(p) for p in (tmp_path / "out").glob("*/*")) == before, "nothing of it stays"
     assert publish.read_table(spark, root, "empresa").count() == 30
     assert publish.published_month(spark, root) == "2026-01"
     audit = load.load_registry(spark, str(bad), root, month="2026-02", strict=False)
