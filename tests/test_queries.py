@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from fixtures import registered
 from tests.conftest import SF_DIR
 from tests.oracle import compare, connect
 
@@ -12,9 +13,9 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registered.QUERIES))
 def test_query(spark, con, name):
-    fn, sql = entry.queries()[name], entry.oracle_sql().get(name)
+    fn, sql = registered.QUERIES[name], registered.ORACLE.get(name)
     if sql is None:
         assert fn(spark, SF_DIR).count() >= 0
     else:
