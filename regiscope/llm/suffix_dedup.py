@@ -17,7 +17,7 @@ document or another, is removed; matches never cross documents and are judged on
    collision makes the group be sorted on the bytes themselves.
 
 Copies of a whole text are one text from the start. An anchor with more than ``group`` distinct
-hulls is not brought together in a task: its windows are counted by hash in a shuffle.
+hulls is not brought together in a task; its hulls are told apart by longer strings first.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ LENGTH = 200
 GRAM = 40
 # Distinct hulls of one anchor that are sorted in a task.
 GROUP = 8_000
+# Parts of the offsets for anchors with more.
+PARTS = 8
 # Hulls that a task sorts at a time (a group is never cut).
 BATCH = 4_000
 # Windows of a text that are hashed at a time; below 2**20.
@@ -210,65 +212,85 @@ def covered(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int
                         names=["anchor", "hull", "t", "at"])
 
     found = rows.filter(F.length("_text") >= length).mapInArrow(find, "anchor long, hull long, t long, at int")
-    many = (F.min("t") != F.max("t")) | (F.min("at") != F.max("at"))  # copies of a text count once
-    shared = found.groupBy("anchor").agg(many.alias("many")).filter("many").select("anchor")
-    shared = written(found.join(shared, "anchor"), "anchors")
+    # Copies of a text count once.
+    many = (F.min("t") != F.max("t")) | (F.min("at") != F.max("at"))
+    twice = written(found.groupBy("anchor").agg(many.alias("many")).filter("many").select("anchor"), "anchor-keys")
+    shared = written(found.join(twice, "anchor"), "anchors")
     hulls = shared.groupBy("anchor", "hull").agg(
         many.alias("whole"), F.min("t").alias("t"), F.min_by("at", "t").alias("at"))
     hulls = written(hulls, "hulls")
-    mixed_ = hulls.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("settled"))
-    mixed_ = mixed_.filter("n > 1 and not settled").select("anchor", "n")
-    open_ = hulls.join(mixed_, "anchor")
+    open_ = hulls.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("settled"))
+    open_ = hulls.join(open_.filter("n > 1 and not settled").select("anchor", "n"), "anchor")
     # A text with copies is removed whole, so its ranges need no listing, once for each copy.
     copied = rows.groupBy("_t").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("_t").alias("t"))
     whole = shared.join(hulls.filter("whole").select("anchor", "hull"), ["anchor", "hull"]).join(
         copied, "t", "left_anti").select("t", (F.col("at") - (length - gram)).alias("low"), (F.col("at") + length).alias("high"))
 
-    wanted = open_.groupBy("t").agg(F.collect_list(F.struct("anchor", "hull", "at", "whole", "n")).alias("spots"))
-    cut = _contexts(texts.join(wanted, F.col("_t") == F.col("t")).select("t", "_text", "spots"), length, gram, group)
+    wanted = open_.groupBy("t").agg(F.collect_list(F.struct("anchor", "at", "whole", "n")).alias("spots"))
+    cut = _contexts(texts.join(wanted, F.col("_t") == F.col("t")).select("t", "_text", "spots"), length, gram)
     cut = written(cut, "contexts")
-    edges = _sorted(cut.filter("data is not null"), length, gram)
-    parts = whole.unionByName(edges).unionByName(_counted(cut.filter("data is null"), length))
+    edges = _sorted(cut.filter(F.col("n") <= group), length, gram)
+    parts = whole.unionByName(edges).unionByName(_crowded(cut.filter(F.col("n") > group), length, gram, group))
     ranges = parts.groupBy("t").agg(F.collect_list(F.struct("low", "high")).alias("_ranges"))
     return texts, ranges.withColumnRenamed("t", "_t")
 
 
-def _contexts(rows: DataFrame, length: int, gram: int, group: int) -> DataFrame:
-    """The hulls wanted of each text, padded to full width; windows of crowded anchors as hashes."""
+def _contexts(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """The hulls wanted of each text, padded to full width."""
     reach = length - gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "t", "at", "whole", "left", "right", "data", "offset", "code", "check"]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         for batch in batches:
             for t, x, spots in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                raw = x.as_py()
-                out: list = []
-                prefix = back = None
+                raw, out = x.as_py(), []
                 for s in spots.as_py():
                     a = s["at"]
                     left, right = min(reach, a), min(length, len(raw) - a)
-                    if s["n"] <= group:
-                        data = bytes(reach - left) + raw[a - left : a + right] + bytes(length - right)
-                        out.append((s["anchor"], t, a, s["whole"], left, right, data, None, None, None))
-                        continue
-                    if prefix is None:
-                        prefix = prefix_hashes(np.frombuffer(raw, np.uint8))
-                        back = powers(_INVERSE, len(raw) + 1)
-                    for r in range(max(0, length - right), left + 1):
-                        low = a - r
-                        code = (int(prefix[low + length]) - int(prefix[low])) * int(back[low]) % (1 << 64)
-                        check = int.from_bytes(hashlib.blake2b(raw[low : low + length], digest_size=8).digest(), "big")
-                        signed = [v - (1 << 64) if v >> 63 else v for v in (code, check)]
-                        out.append((s["anchor"], t, a, s["whole"], left, right, None, r, *signed))
-                if out:
-                    cols = list(zip(*out))
-                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(),
-                             pa.binary(), pa.int32(), pa.int64(), pa.int64()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+                    data = bytes(reach - left) + raw[a - left : a + right] + bytes(length - right)
+                    out.append((s["anchor"], t, a, s["whole"], s["n"], left, right, data))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                    names=["anchor", "t", "at", "whole", "n", "left", "right", "data"])
+
+    return rows.mapInArrow(
+        run, "anchor long, t long, at int, whole boolean, n long, left int, right int, data binary")
 
-    return rows.mapInArrow(run, "anchor long, t long, at int, whole boolean, left int, right int, "
-                                "data binary, offset int, code long, check long")
+
+def _crowded(cut: DataFrame, length: int, gram: int, group: int) -> DataFrame:
+    """Repeated ranges below anchors with very many hulls.
+
+    The offsets of windows are cut into ``PARTS`` parts. All windows of a part share a core, the bytes
+    that lie in each of them, so hulls are told apart by their cores first: most have one of
+    their own and are done. Hulls with equal cores are sorted like others; where even those
+    are too many, their windows are counted by hash, at most ``length / PARTS`` for a hull.
+    """
+    reach = length - gram
+    step = -(-(reach + 1) // PARTS)
+    parts = []
+    for low in range(0, reach + 1, step):
+        high = min(low + step - 1, reach)
+        core = F.substring("data", reach - low + 1, low + length - high)
+        real = F.greatest(F.lit(low), length - F.col("right")) <= F.least(F.lit(high), F.col("left"))
+        parts.append(F.when(real, F.struct(F.lit(low).alias("low"), F.lit(high).alias("high"),
+                                           F.xxhash64("anchor", F.lit(low), core).alias("core"))))
+    keyed = cut.select("anchor", "t", "at", "whole", F.explode(F.filter(F.array(*parts), lambda p: p.isNotNull())).alias("p"))
+    keyed = written(keyed.select("anchor", "t", "at", "p.low", "p.high", "p.core"), "cores")
+    counts = keyed.groupBy("core").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    alive = keyed.join(counts, "core").select(
+        *(F.col(c).alias("_" + c) for c in ("anchor", "t", "at")), "core", "m", F.col("low").alias("first"), F.col("high").alias("last"))
+    same = [F.col(c) == F.col("_" + c) for c in ("anchor", "t", "at")]
+    hulls = cut.drop("n").join(alive, same[0] & same[1] & same[2])
+    hulls = written(hulls.select(F.col("core").alias("anchor"), "t", "at", "whole", "left", "right", "data", "m", "first", "last"),
+                    "core-hulls")
+    few = _sorted(hulls.filter(F.col("m") <= group), length, gram)
+    spots = F.sequence(F.greatest("first", length - F.col("right")), F.least("last", F.col("left")))
+    rows = hulls.filter(F.col("m") > group).withColumn("r", F.explode(spots))
+    window = F.col("data").substr(reach - F.col("r") + 1, F.lit(length))
+    rows = rows.select("t", "at", "r", "whole", F.xxhash64("anchor", "r", window).alias("code"), F.hash(window).alias("check"))
+    twice = rows.groupBy("r", "code", "check").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k")
+    windows = rows.filter("not whole").join(twice, ["r", "code", "check"])
+    return few.unionByName(windows.select("t", (F.col("at") - F.col("r")).alias("low"), (F.col("at") - F.col("r") + length).alias("high")))
 
 
 def _sorted(cut: DataFrame, length: int, gram: int) -> DataFrame:
@@ -307,15 +329,6 @@ def _sorted(cut: DataFrame, length: int, gram: int) -> DataFrame:
     return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "t long, low int, high int")
 
 
-def _counted(cut: DataFrame, length: int) -> DataFrame:
-    """The same for crowded anchors: equal windows are counted by two hashes, not brought together."""
-    many = (F.min("t") != F.max("t")) | (F.min("at") != F.max("at")) | F.max("whole")
-    keys = ["anchor", "offset", "code", "check"]
-    twice = cut.groupBy(*keys).agg(many.alias("many")).filter("many").select(*keys)
-    return cut.filter("not whole").join(twice, keys).select(
-        "t", (F.col("at") - F.col("offset")).alias("low"), (F.col("at") - F.col("offset") + length).alias("high"))
-
-
 def keep(raw: bytes, ranges, copies: int, length: int = LENGTH) -> tuple[bytes, int]:
     """What is left of a text, and the number of maximal removed runs."""
     if copies > 1 and len(raw) >= length:
