@@ -28,11 +28,11 @@ BITS = 64
 WORDS = 4
 SEED = 42
 # Values of one subtree that a task walks at a time; larger subtrees are cut into node pairs.
-SUBTREE = 50_000
+SUBTREE = 20_000
 # Bits by which a large subtree is cut.
 STEP = 6
 # Node pairs held at a time.
-FRONT = 400_000
+FRONT = 200_000
 
 
 def shingle_hashes(text: bytes | None, words: int, seed: int = SEED) -> np.ndarray:

@@ -25,7 +25,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Words remembered by a worker in each of two tables; when the newer is full, it takes the place
 # of the older, which is dropped.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 # Letters whose lower case and composed form depend on nothing but themselves.
 _LATIN = re.compile("[A-Za-zªµºÀ-ÖØ-öø-į]+")
 # Bytes of text that are encoded at a time.
