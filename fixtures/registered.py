@@ -66,14 +66,14 @@ FROM ({_MART_SQL}) ORDER BY capital_total DESC NULLS LAST, natureza_juridica_cod
 
 @query("e8_capital_ranking", _RANKING_SQL + "10")
 def capital_ranking(spark, sf):
-    return _doubles(marts.capital_ranking(star.typed(spark, sf, "empresa", "dim_natureza_juridica")),
-                    "capital_total")
+    return _doubles(marts.capital_ranking(star.typed(spark, sf, "empresa", "dim_natureza_juridica"),
+                                          ids.clamp_limit(None, marts.DEFAULT_LIMIT, marts.MAX_LIMIT)), "capital_total")
 
 
 @query("g1_top_categories", _RANKING_SQL + "3")
 def top_categories(spark, sf):
     tables = star.typed(spark, sf, "empresa", "dim_natureza_juridica")
-    return _doubles(marts.capital_ranking(tables, limit="3"), "capital_total")
+    return _doubles(marts.capital_ranking(tables, ids.clamp_limit("3", marts.DEFAULT_LIMIT, marts.MAX_LIMIT)), "capital_total")
 
 
 @query("e2_capital_by_category", _sql("empresa") + _MART_SQL)
@@ -278,21 +278,29 @@ WHERE cnpj_cpf_socio = '{_ONE_PARTNER}' ORDER BY {_LINK_ORDER} LIMIT """
 
 @query("d5_partner_network", _ONE_PARTNER_SQL + "50")
 def partner_network(spark, sf):
-    return network.partner_network(star.typed(spark, sf, *_NETWORK_TABLES), _ONE_PARTNER)
+    limit = ids.clamp_limit(None, network.DEFAULT_LIMIT, network.MAX_LIMIT)
+    return network.partner_network(star.typed(spark, sf, *_NETWORK_TABLES), _ONE_PARTNER, limit)
 
 
 @query("g5_partner_network_limit", _ONE_PARTNER_SQL + "500")
 def partner_network_limit(spark, sf):
-    return network.partner_network(star.typed(spark, sf, *_NETWORK_TABLES), _ONE_PARTNER, "99999")
+    limit = ids.clamp_limit("99999", network.DEFAULT_LIMIT, network.MAX_LIMIT)
+    return network.partner_network(star.typed(spark, sf, *_NETWORK_TABLES), _ONE_PARTNER, limit)
 
 
-@query("d3_partner_company", _LINKS_SQL.replace("{columns}", "cnpj_cpf_socio,") + f"""
-QUALIFY row_number() OVER (PARTITION BY cnpj_cpf_socio ORDER BY {_LINK_ORDER}) <= 50""")
+@query("d3_partner_company", _LINKS_SQL.replace("{columns}", "cnpj_cpf_socio,") + "WHERE cnpj_cpf_socio IS NOT NULL")
 def partner_company(spark, sf):
     t = star.typed(spark, sf, *_NETWORK_TABLES)
     return network.partner_network_batch(t, t["socio"].select("cnpj_cpf_socio"))
 
 
+@query("d3_partner_company_top", _LINKS_SQL.replace("{columns}", "cnpj_cpf_socio,") + f"""
+QUALIFY cnpj_cpf_socio IS NOT NULL AND row_number() OVER (PARTITION BY cnpj_cpf_socio ORDER BY {_LINK_ORDER}) <= 50""")
+def partner_company_top(spark, sf):
+    t = star.typed(spark, sf, *_NETWORK_TABLES)
+    return network.partner_network_batch(t, t["socio"].select("cnpj_cpf_socio"), 50)
+
+
 _DOCUMENT_TABLES = (
     "empresa", "estabelecimento", "socio", "simples", "regime_tributario", "dim_natureza_juridica",
     "dim_porte", "dim_matriz_filial", "dim_situacao_cadastral", "dim_cnae", "dim_municipio",
@@ -736,6 +744,14 @@ def month_labels(spark, sf):
         F.count(F.lit(1)).alias("linhas"))
 
 
+@query("i18_dated_parent_folder", """
+SELECT strftime(o_orderdate, '%Y-%m') AS mes, count(*) AS linhas FROM orders GROUP BY 1""")
+def month_labels_below_dated_parent(spark, sf):
+    path = F.concat(F.lit("/backfill/2020-01/feeds/"), F.date_format("o_orderdate", "yyyy-MM"), F.lit("/Empresas0.zip"))
+    return star.source(spark, sf, "orders").groupBy(clean.month_label(path).alias("mes")).agg(
+        F.count(F.lit(1)).alias("linhas"))
+
+
 @query("k1_sql_function", _BAD_CTE + f"SELECT {_BAD_DATE} AS dia, count(*) AS linhas FROM bad GROUP BY 1")
 def sql_function(spark, sf):
     from regiscope.functions.sql import register_functions
@@ -865,10 +881,20 @@ def profile_activity(spark, sf):
     return aggregates.profile_pairs(estab, "cnae_fiscal_principal", "situacao_cadastral")
 
 
-@query("l6_profile_approximate")
+@query("l6_profile_approximate", f"""
+SELECT linhas, true AS perto_a, true AS perto_b, true AS perto_par
+FROM ({_profile_sql("cnae_fiscal_principal", "situacao_cadastral")})""")
 def profile_approximate(spark, sf):
+    """The sketches' counts, each within a tenth of the exact one."""
     estab = star.typed(spark, sf, "estabelecimento")["estabelecimento"]
-    return aggregates.profile_pairs(estab, "cnae_fiscal_principal", "situacao_cadastral", approximate=True)
+    columns = ("cnae_fiscal_principal", "situacao_cadastral")
+    counts = ["linhas", "distintos_a", "distintos_b", "distintos_par"]
+    both = aggregates.profile_pairs(estab, *columns, approximate=True).select(*counts, F.lit(True).alias("rough")).unionByName(
+        aggregates.profile_pairs(estab, *columns).select(*counts, F.lit(False).alias("rough")))
+    of = {(c, r): F.max(F.when(F.col("rough") == r, F.col(c))) for c in counts for r in (True, False)}
+    near = [(F.abs(of[f"distintos_{c}", True] - of[f"distintos_{c}", False]) <= 0.1 * of[f"distintos_{c}", False]).alias(
+        f"perto_{c}") for c in ("a", "b", "par")]
+    return both.agg(of["linhas", True].alias("linhas"), *near)
 
 
 # --- sampling ----------------------------------------------------------------------------

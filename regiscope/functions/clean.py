@@ -126,5 +126,5 @@ def latin1_to_latin9(c: Column) -> Column:
 
 
 def month_label(path: Column) -> Column:
-    """``AAAA-MM`` of the folder a file lies in, NULL when no folder carries one."""
-    return blank_to_null(F.regexp_extract(path, r"[/=]([0-9]{4}-[0-9]{2})[^/]*/", 1))
+    """``AAAA-MM`` of the innermost folder of a file's path that carries one, or NULL."""
+    return blank_to_null(F.regexp_extract(path, r"^.*[/=]([0-9]{4}-[0-9]{2})[^/]*/", 1))

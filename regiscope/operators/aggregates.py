@@ -120,17 +120,18 @@ def load_audit(tables: dict[str, DataFrame], names: tuple[str, ...] = (
 def profile_pairs(df: DataFrame, first: str, second: str, approximate: bool = False) -> DataFrame:
     """Distinct values of two columns and of their pairs, and how far each decides the other.
 
-    ``a_decide_b`` is the share of rows whose first value occurs with one second value only. The exact form counts pairs first; everything after reads one row per pair.
-    The approximate form is a single pass of sketches and leaves the shares out.
+    Rows with a NULL in either column are left out. ``a_decide_b`` is the share of rows whose first
+    value occurs with one second value only. The exact form counts pairs first; everything after
+    reads one row per pair. The approximate form is a single pass of sketches without the shares.
     """
+    present = df.filter(F.col(first).isNotNull() & F.col(second).isNotNull())
     if approximate:
-        return df.agg(
+        return present.agg(
             _rows().alias("linhas"),
             F.approx_count_distinct(first).alias("distintos_a"),
             F.approx_count_distinct(second).alias("distintos_b"),
             F.approx_count_distinct(F.struct(first, second)).alias("distintos_par"),
         )
-    present = df.filter(F.col(first).isNotNull() & F.col(second).isNotNull())
     pairs = present.groupBy(F.col(first).alias("a"), F.col(second).alias("b")).agg(_rows().alias("n"))
 
     def one_side(key: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiscope.operators.lookup import MAX_BROADCAST_KEYS
-from regiscope.schemas import ARRIVAL, FILE, LINE, LOOKUPS
+from regiscope.schemas import ARRIVAL, FILE, LOOKUPS
 
 
 def sample_anchor(df: DataFrame, n: int, order_cols: Sequence[Column | str] = ARRIVAL) -> DataFrame:
@@ -19,13 +19,12 @@ def sample_anchor(df: DataFrame, n: int, order_cols: Sequence[Column | str] = AR
 def first_archive_anchor(estabelecimentos: DataFrame, n: int) -> DataFrame:
     """The first ``n`` records of the first archive, over its members in order.
 
-    Record numbers come with the scan, so every member is cut to ``n`` records by a filter
-    before anything is ordered.
+    Every task keeps the first ``n`` of its rows in order, so nothing larger is shuffled. Record
+    numbers only order: those of plain files do not begin at 1.
     """
     archive = F.substring_index(FILE, "!", 1)
     first = estabelecimentos.agg(F.min(archive).alias("_first"))
-    head = estabelecimentos.filter(F.col(LINE) <= n)
-    in_first = head.join(F.broadcast(first), archive == F.col("_first"), "left_semi")
+    in_first = estabelecimentos.join(F.broadcast(first), archive == F.col("_first"), "left_semi")
     return sample_anchor(in_first, n)
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiscope.functions.ids import clamp_limit
 from regiscope.operators.aggregates import mart_active_by_place_activity, mart_capital_by_category
 from regiscope.operators.lookup import decode
 from regiscope.operators.quality import assert_unique
@@ -17,7 +16,7 @@ MART_KEYS = {
     CAPITAL: ("natureza_juridica_cod",),
     ACTIVE: ("uf", "municipio_cod", "cnae_fiscal_principal"),
 }
-# Default and largest number of ranks.
+# Default and largest number of ranks of a request; for ``clamp_limit``.
 DEFAULT_LIMIT, MAX_LIMIT = 10, 200
 
 
@@ -41,16 +40,12 @@ def refresh_marts(spark: SparkSession, root: str, month: str | None = None) -> N
     commit(spark, root, write_marts(spark, root, empresa, estab), month)
 
 
-def capital_ranking(tables: dict[str, DataFrame], limit: object = None) -> DataFrame:
-    """Categories by total capital, largest first, at most ``limit`` (10 unless given, never
-    above 200). Reads the published aggregate when there is one."""
-    n = clamp_limit(limit, DEFAULT_LIMIT, MAX_LIMIT)
+def capital_ranking(tables: dict[str, DataFrame], limit: int | None = None) -> DataFrame:
+    """Categories by total capital, largest first, the first ``limit`` or all. Reads the published aggregate when there is one."""
     mart = tables.get(CAPITAL)
     if mart is None:
         mart = mart_capital_by_category(tables["empresa"])
     named = decode(mart, tables["dim_natureza_juridica"], "natureza_juridica_cod", "natureza_juridica")
-    return (
-        named.orderBy(F.desc_nulls_last("capital_total"), F.asc_nulls_last("natureza_juridica_cod"))
-        .select("natureza_juridica", "empresas", "capital_total")
-        .limit(n)
-    )
+    ranked = named.orderBy(F.desc_nulls_last("capital_total"), F.asc_nulls_last("natureza_juridica_cod"))
+    out = ranked.select("natureza_juridica", "empresas", "capital_total")
+    return out if limit is None else out.limit(limit)

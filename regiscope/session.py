@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,7 +14,8 @@ _CONF = "spark.checkpoint.dir"
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, or the checkpoint folder the
-    application set. Only a local master may go without; it then gets a folder of its own.
+    application set. Only a local master may go without; it then gets a folder of its own, which
+    goes when Python ends.
     """
     context = spark.sparkContext
     base = spark.conf.get(_CONF, None) or context.getCheckpointDir()
@@ -20,6 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {_CONF} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="regiscope-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(base)
     return base.rstrip("/")

@@ -50,12 +50,13 @@ def missing_families(spark: SparkSession, folder: str, required: Iterable[str])
 def ingest_new_months(spark: SparkSession, root: str, target: str, checkpoint: str,
                       load: Callable[[SparkSession, str, str], None],
                       required: Iterable[str] = (), files: str = "*") -> None:
-    """Load the newest month below ``root`` if it is newer than the published one.
+    """Load the newest complete month below ``root`` that is newer than the published one.
 
     One pass over what arrived since the last call (``availableNow``). New files are only a
-    signal: the newest month's whole folder is loaded by ``load(spark, folder, month)``, which
-    must publish to ``target`` with that month. A month whose required files are not all there
-    is left for a later call. When ``load`` raises, the checkpoint stays where it was and the
+    signal: the months newer than the published one are tried downwards, and the first whose
+    required files are all there is loaded whole by ``load(spark, folder, month)``, which
+    must publish to ``target`` with that month. An incomplete month
+    waits for a later call. When ``load`` raises, the checkpoint stays where it was and the
     same files are offered again. The published month comes from the commit log, so a lost
     checkpoint does not load a month twice.
     """
@@ -64,16 +65,18 @@ def ingest_new_months(spark: SparkSession, root: str, target: str, checkpoint: s
     def on_batch(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
         found = F.struct(month_label(F.col("path")), F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
-        newest = batch.agg(F.max(F.when(found["col1"].isNotNull(), found))).first()[0]
-        if newest is None:
+        if batch.isEmpty():
             return
-        month, folder = newest
         done = published_month(session, target)
-        if done is not None and month <= done:
-            return
-        if missing_families(session, folder, required):
-            return
-        load(session, folder, month)
+        below = session.read.format("binaryFile").option("pathGlobFilter", files).load(f"{base}/*/")
+        # One row per month folder.
+        folders = below.select(found.alias("f")).select("f.*").filter("col1 is not null").distinct().collect()
+        for month, folder in sorted(folders, reverse=True):
+            if done is not None and month <= done:
+                return
+            if not missing_families(session, folder, required):
+                load(session, folder, month)
+                return
 
     arrivals = (
         spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)

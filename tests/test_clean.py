@@ -119,6 +119,7 @@ def test_ids_and_labels(spark):
     assert one(spark, clean.base_id(text("00000000000191"))) == "00000000"
     assert one(spark, clean.month_label(text("/d/2026-01/Empresas0.zip"))) == "2026-01"
     assert one(spark, clean.month_label(text("/d/month=2026-02/x.parquet"))) == "2026-02"
+    assert one(spark, clean.month_label(text("/d/2020-01/feeds/2026-02/x.zip"))) == "2026-02"
     assert one(spark, clean.month_label(text("/d/other/x.zip"))) is None
     assert one(spark, clean.without(text("a\u0000b"))) == "ab"
 

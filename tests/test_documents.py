@@ -5,9 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import registered, star
+from regiscope.functions import ids
 from regiscope.operators import branches, documents, network
 from regiscope.plans.load import CLUSTERED
 from regiscope.plans.publish import publish, tables as published
+from tests.conftest import plan_of
 
 NAMES = registered._DOCUMENT_TABLES
 
@@ -150,7 +152,14 @@ def test_network_limit_and_unknown_company(spark, sf):
     t = registry(spark, sf)
     doc = t["socio"].groupBy("cnpj_cpf_socio").count().orderBy(F.desc("count")).first()[0]
     assert network.partner_network(t, doc, 3).count() == 3
-    assert network.partner_network(t, doc, "x").count() == 50
+    assert network.partner_network(t, doc, ids.clamp_limit("x", network.DEFAULT_LIMIT, network.MAX_LIMIT)).count() == 50
+    every = t["socio"].filter(F.col("cnpj_cpf_socio") == doc).count()
+    assert network.partner_network(t, doc).count() == every > 50
+    docs = t["socio"].select("cnpj_cpf_socio")
+    whole = network.partner_network_batch(t, docs)
+    assert "Window" not in plan_of(whole) and whole.count() == t["socio"].filter("cnpj_cpf_socio is not null").count()
+    cut = network.partner_network_batch(t, docs, 1000)
+    assert plan_of(cut).count("Window") >= 2 and cut.count() == whole.count()
     only = t | {"empresa": t["empresa"].filter(F.lit(False))}
     assert {r.razao_social for r in network.partner_network(only, doc).collect()} == {None}
 

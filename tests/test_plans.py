@@ -13,7 +13,7 @@ def typed(spark, sf, *names):
 
 
 def test_ranking_broadcasts_the_dimension_and_keeps_only_the_top(spark, sf):
-    plan = plan_of(marts.capital_ranking(typed(spark, sf, "empresa", "dim_natureza_juridica")))
+    plan = plan_of(marts.capital_ranking(typed(spark, sf, "empresa", "dim_natureza_juridica"), 10))
     assert "TakeOrderedAndProject" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
@@ -56,7 +56,7 @@ def test_branch_view_shuffles_only_for_the_company_when_it_is_large(spark, sf):
 
 
 def test_network_does_not_shuffle_the_facts(spark, sf):
-    plan = plan_of(network.partner_network(typed(spark, sf, *registered._NETWORK_TABLES), "***000007**"))
+    plan = plan_of(network.partner_network(typed(spark, sf, *registered._NETWORK_TABLES), "***000007**", 50))
     assert "TakeOrderedAndProject" in plan and "SortMergeJoin" not in plan
 
 

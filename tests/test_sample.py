@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from fixtures import star
 from regiscope.operators import lookup, sample
 from regiscope.schemas import ARRIVAL
@@ -23,6 +25,8 @@ def test_anchor_is_the_head_of_the_first_archive(spark):
     got = [tuple(r) for r in sample.first_archive_anchor(df, 7).orderBy(*ARRIVAL).collect()]
     assert got == [("a.zip!x.csv", i) for i in range(1, 6)] + [("a.zip!y.csv", 1), ("a.zip!y.csv", 2)]
     assert sample.first_archive_anchor(df, 100).count() == 10
+    plain = df.withColumn(ARRIVAL[1], F.col(ARRIVAL[1]) + 600)  # a running number, as plain files have
+    assert sample.first_archive_anchor(plain, 7).count() == 7
 
 
 def test_large_anchor_is_not_broadcast(spark, sf, monkeypatch):

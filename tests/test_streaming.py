@@ -77,6 +77,18 @@ def test_incomplete_month_waits_for_its_files(feed):
     assert feed.loads == ["2026-02"] and feed.count() == 8, "the whole folder is loaded"
 
 
+def test_newest_complete_month_is_loaded(feed):
+    needed = (r"^main\.", r"^lookup\.")
+    for name in ("main", "lookup"):
+        feed.arrive("2026-01", 4, name)
+    feed.arrive("2026-02", 7)
+    feed.run(required=needed)
+    assert feed.loads == ["2026-01"] and feed.count() == 8
+    feed.arrive("2026-02", 1, "lookup")
+    feed.run(required=needed)
+    assert feed.loads == ["2026-01", "2026-02"] and feed.count() == 8
+
+
 def test_failed_load_is_retried(feed):
     feed.arrive("2026-02", 7)
     feed.fail = True
