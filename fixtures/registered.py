@@ -434,35 +434,38 @@ def id_shapes(spark, sf):
     return shaped.select("registry_id", "_id.*")
 
 
-_ASKED_SQL = _document_sql() + f", {_REQUEST_CTE}" + """, asked AS (
+_ANSWERS_SQL = f"WITH {_REQUEST_CTE}, {_sql('empresa')[5:]}" + """, answers AS (
   SELECT registry_id, CASE WHEN length(registry_id) IN (8, 14) THEN substring(registry_id, 1, 8) END AS cnpj_basico,
          CASE length(registry_id) WHEN 14 THEN registry_id END AS cnpj_consultado,
-         length(registry_id) IN (8, 14) AS valid FROM requests)
+         length(registry_id) IN (8, 14) AS valid,
+         length(registry_id) IN (8, 14) AND substring(registry_id, 1, 8) IN (SELECT cnpj_basico FROM empresa) AS found
+  FROM requests)
 """
 
 
-@query("d9_enrich_ids", _ASKED_SQL + """
-SELECT a.registry_id, a.cnpj_basico, a.cnpj_consultado, a.valid, d.cnpj_basico IS NOT NULL AS found,
-       d.razao_social, CAST(len(d.estabelecimentos) AS INT) AS filiais,
-       CAST(len(list_filter(d.estabelecimentos, lambda x: x.cnpj = a.cnpj_consultado)) AS INT) AS marcadas,
-       CAST(len(d.qsa) AS INT) AS socios, CAST(len(d.regime_tributario) AS INT) AS regimes
-FROM asked a LEFT JOIN documents d ON d.cnpj_basico = a.cnpj_basico""")
+def _enriched(spark, sf):
+    return documents.enrich(_requests(spark, sf), star.typed(spark, sf, *_DOCUMENT_TABLES))
+
+
+@query("d9_enrich_ids", f"WITH {_REQUEST_CTE}, {_document_sql('b.cnpj IN (SELECT registry_id FROM requests)')[5:]}" + f"""
+SELECT cnpj_basico, razao_social, natureza_juridica, capital_social, porte, {_JSON_COLUMNS}
+FROM documents WHERE cnpj_basico IN (SELECT substring(registry_id, 1, 8) FROM requests
+                                     WHERE length(registry_id) IN (8, 14))""")
 def enrich_ids(spark, sf):
-    rows = documents.enrich(_requests(spark, sf), star.typed(spark, sf, *_DOCUMENT_TABLES))
-    return rows.select(
-        "registry_id", "cnpj_basico", "cnpj_consultado", "valid", "found", "razao_social",
-        F.size("estabelecimentos").alias("filiais"),
-        F.size(F.filter("estabelecimentos", lambda e: e["consultado"])).alias("marcadas"),
-        F.size("qsa").alias("socios"), F.size("regime_tributario").alias("regimes"),
-    )
+    return _doubles(_as_json(_enriched(spark, sf)[1].drop("page", "pages")), "capital_social")
+
+
+@query("d9_enrich_requests", _ANSWERS_SQL + "SELECT * FROM answers")
+def enrich_requests(spark, sf):
+    return _enriched(spark, sf)[0]
 
 
-@query("c12_not_found", _ASKED_SQL + """
-SELECT valid, d.cnpj_basico IS NOT NULL AS found, count(*) AS pedidos
-FROM asked a LEFT JOIN documents d ON d.cnpj_basico = a.cnpj_basico GROUP BY ALL""")
+@query("c12_not_found", _ANSWERS_SQL + """
+SELECT registry_id, valid, found, CASE WHEN NOT valid THEN 'bad id' WHEN NOT found THEN 'unknown' ELSE 'known' END AS estado
+FROM answers""")
 def not_found(spark, sf):
-    rows = documents.enrich(_requests(spark, sf), star.typed(spark, sf, *_DOCUMENT_TABLES))
-    return rows.groupBy("valid", "found").agg(F.count(F.lit(1)).alias("pedidos"))
+    state = F.when(~F.col("valid"), "bad id").when(~F.col("found"), "unknown").otherwise("known")
+    return _enriched(spark, sf)[0].select("registry_id", "valid", "found", state.alias("estado"))
 
 
 @query("d8_orphan_codes", _sql("estabelecimento", "dim_cnae") + """

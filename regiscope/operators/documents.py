@@ -98,9 +98,14 @@ def _nested(child: Child, rows: DataFrame, keys: list[str]) -> DataFrame:
     return arrays.select(*keys, F.col("_sorted")["fields"].alias(child.name))
 
 
-def _children(tables: dict[str, DataFrame], highlight: str | None) -> list[Child]:
-    asked = F.coalesce(F.col("cnpj") == F.lit(highlight), F.lit(False))
-    branches = decode_branches(tables, tables["estabelecimento"]).withColumn("consultado", asked)
+def _children(tables: dict[str, DataFrame], highlight: str | DataFrame | None) -> list[Child]:
+    branches = decode_branches(tables, tables["estabelecimento"])
+    if isinstance(highlight, DataFrame):
+        branches = branches.join(highlight.withColumn("consultado", F.lit(True)), "cnpj", "left")
+        asked = F.coalesce("consultado", F.lit(False))
+    else:
+        asked = F.coalesce(F.col("cnpj") == F.lit(highlight), F.lit(False))
+    branches = branches.withColumn("consultado", asked)
     partners = decode(tables["socio"], tables["dim_qualificacao"], "qualificacao_socio_cod", "qualificacao")
     return [
         Child("estabelecimentos", branches, _last_null("matriz_filial_cod") + [F.col("cnpj")],
@@ -112,8 +117,8 @@ def _children(tables: dict[str, DataFrame], highlight: str | None) -> list[Child
 
 
 def _documents(tables: dict[str, DataFrame], keys: DataFrame | None, page_size: int,
-               hot: DataFrame | None, highlight: str | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Documents, and ``(cnpj_basico, pages)`` of the companies with several pages, if any."""
+               hot: DataFrame | None, highlight: str | DataFrame | None = None) -> DataFrame:
+    """Documents; ``highlight`` is a branch id to mark or a table of distinct ones (``cnpj``)."""
     own = tables
     if keys is not None:
         only, few = key_list(keys, KEY)
@@ -138,7 +143,6 @@ def _documents(tables: dict[str, DataFrame], keys: DataFrame | None, page_size:
         "pages", F.ceil(F.col("n") / page_size).cast("int")
     )
     found = hot.count()
-    pages = None
     if found == 0:
         keyed = [KEY]
         root = root.select("*", F.lit(0).alias("page"), F.lit(1).alias("pages"))
@@ -161,7 +165,7 @@ def _documents(tables: dict[str, DataFrame], keys: DataFrame | None, page_size:
         root = root.join(part, keyed, "left").withColumn(
             child.name, F.coalesce(child.name, F.array().cast(part.schema[child.name].dataType))
         )
-    return root, pages
+    return root
 
 
 def _per_page(df: DataFrame, pages: DataFrame) -> DataFrame:
@@ -185,12 +189,13 @@ def company_documents(tables: dict[str, DataFrame], keys: DataFrame | None = Non
     ``hot_companies`` for the same data with at most this page size; a published registry
     carries one, otherwise one counting pass finds the companies that need pages.
     """
-    documents, _ = _documents(tables, keys, page_size, _hot_list(tables, page_size, hot), highlight)
+    documents = _documents(tables, keys, page_size, _hot_list(tables, page_size, hot), highlight)
     return documents.withColumn("cnpj_consultado", F.lit(highlight).cast("string"))
 
 
 def company_document(tables: dict[str, DataFrame], registry_id: str, page_size: int = PAGE_SIZE) -> DataFrame:
-    """The document of one company, by its 8-character id or by a branch's 14 characters.
+    """The document of one company, by its 8-character id or by a branch's 14 characters: one row
+    per page, so one row unless the company has more than ``page_size`` rows of some child.
 
     The key is a literal filter on every scan. An unknown company gives no row.
     """
@@ -204,42 +209,29 @@ def company_document(tables: dict[str, DataFrame], registry_id: str, page_size:
                              page_size=page_size)
 
 
-def _mark_branch(documents: DataFrame) -> DataFrame:
-    """Set ``consultado`` of the branch that each row's own ``cnpj_consultado`` names."""
-    def element(e: Column) -> Column:
-        is_it = e["cnpj"] == F.col("cnpj_consultado")
-        return F.struct(*[(is_it if f == "consultado" else e[f]).alias(f) for f in BRANCH_FIELDS])
-
-    marked = F.when(F.col("cnpj_consultado").isNull(), F.col("estabelecimentos")).otherwise(
-        F.transform("estabelecimentos", element)
-    )
-    return documents.withColumn("estabelecimentos", marked)
-
-
 def enrich(requests: DataFrame, tables: dict[str, DataFrame], id_col: str = "registry_id",
-           page_size: int = PAGE_SIZE) -> DataFrame:
-    """Documents for many requested ids at once.
-
-    ``valid`` tells ids of 8 or 14 characters from the rest, ``found`` whether the company
-    exists. Each request keeps its row, and has one more per further page; it meets each page
-    on its own, so the pages of a hot company stay apart here too.
+           page_size: int = PAGE_SIZE) -> tuple[DataFrame, DataFrame]:
+    """``(answers, documents)`` for many requested ids at once; they meet on ``cnpj_basico``.
+
+    ``answers`` has a row per request: its own columns, ``cnpj_basico``, ``cnpj_consultado`` (the
+    id, if it is a branch's), ``valid`` (8 or 14 characters) and ``found`` (the company exists).
+    ``documents`` has a row per company asked for and page, with ``consultado`` set on every branch
+    that some request names. A company is nested once however many of its branches are asked
+    for, so both grow with the requests and the companies, never with their product.
     """
     shaped = split_registry_id(F.col(id_col))
     asked = requests.withColumn("_id", shaped).select(
         *requests.columns, F.col("_id.cnpj_basico").alias(KEY),
         F.col("_id.consultado").alias("cnpj_consultado"), F.col("_id.valid").alias("valid"),
     )
-    known = asked.filter("valid").select(KEY)
-    documents, pages = _documents(tables, known, page_size, _hot_list(tables, page_size, None))
-    documents = documents.withColumn("found", F.lit(True))
-    if pages is None:
-        out = asked.join(documents, KEY, "left")
-    else:
-        out = _per_page(asked, pages).join(documents.drop("pages"), [KEY, "page"], "left")
-    out = out.withColumn("found", F.coalesce("found", F.lit(False)))
-    return _mark_branch(out)
+    known = tables["empresa"].select(KEY, F.lit(True).alias("found"))
+    answers = asked.join(known, KEY, "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    marked = asked.select(F.col("cnpj_consultado").alias("cnpj")).filter("cnpj is not null").distinct()
+    documents = _documents(tables, asked.filter("valid").select(KEY), page_size,
+                           _hot_list(tables, page_size, None), marked)
+    return answers, documents
 
 
 def to_documents(df: DataFrame, name: str = "document") -> DataFrame:
-    """Each row as one JSON text, NULL fields included."""
+    """Each row (of documents: a company and page) as one JSON text, NULL fields included."""
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name))

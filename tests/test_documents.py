@@ -113,15 +113,27 @@ def test_enrich_pages_and_flags(spark, sf):
     t = registry(spark, sf, hot=120)
     asked = spark.createDataFrame(
         [("00000001",), ("00000001900007",), ("00000002",), ("99999999",), ("123",), (None,)], "registry_id string")
-    rows = documents.enrich(asked, t, page_size=100).collect()
-    state = {(r.registry_id, r.valid, r.found) for r in rows}
+    answers, docs = documents.enrich(asked, t, page_size=100)
+    state = {(r.registry_id, r.valid, r.found) for r in answers.collect()}
     assert state == {("00000001", True, True), ("00000001900007", True, True), ("00000002", True, True),
                      ("99999999", True, False), ("123", False, False), (None, False, False)}
-    marked = [e.cnpj for r in rows for e in (r.estabelecimentos or []) if e.consultado]
+    rows = docs.collect()
+    marked = [e.cnpj for r in rows for e in r.estabelecimentos if e.consultado]
     assert marked == ["00000001900007"]
     whole = documents.company_documents(t).filter("cnpj_basico = '00000001'").first()
-    pages = [r for r in rows if r.registry_id == "00000001"]
-    assert len(pages) > 1 and sum(len(r.qsa) for r in pages) == len(whole.qsa)
+    pages = [r for r in rows if r.cnpj_basico == "00000001"]
+    assert len(pages) == pages[0].pages > 1 and sum(len(r.qsa) for r in pages) == len(whole.qsa)
+    assert documents.to_documents(docs).filter("document like '%\"pages\":2%'").count() == 2
+
+
+def test_enrich_grows_with_the_requests(spark, sf):
+    t = registry(spark, sf)
+    company = t["estabelecimento"].groupBy("cnpj_basico").count().orderBy(F.desc("count")).first()[0]
+    ids = t["estabelecimento"].filter(F.col("cnpj_basico") == company).select(F.col("cnpj").alias("registry_id"))
+    answers, docs = documents.enrich(ids, t)
+    one = docs.collect()
+    assert len(one) == 1 and len(one[0].estabelecimentos) == ids.count() == answers.count() > 3
+    assert all(e.consultado for e in one[0].estabelecimentos)
 
 
 def test_key_lists_too_long_to_broadcast(spark, sf, monkeypatch):
