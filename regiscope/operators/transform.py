@@ -17,6 +17,8 @@ from regiscope.schemas import (
     ARRIVAL, FACT_FEEDS, FACT_KEYS, LOOKUPS, REQUIRED, TYPED_COLUMNS,
 )
 
+# Name prefix of the tables of rejected rows.
+REJECTS = "rejects_"
 # Kinds whose text may fail to parse; everything else always yields a value or NULL.
 _PARSED = ("smallint", "int", "money", "date")
 
@@ -135,21 +137,37 @@ def transform_regime(staging: DataFrame, **options) -> DataFrame:
     return transform_fact(staging, "regime_tributario", **options)
 
 
-def explode_codes(staging: DataFrame, strict: bool = True,
-                  id_pattern: str = clean.BASE_ID_PATTERN) -> DataFrame:
-    """One row per branch and distinct secondary activity of its comma list."""
+def _codes(staging: DataFrame, id_pattern: str) -> DataFrame:
+    """``(cnpj, _piece)``: the code texts of each branch's comma list."""
     piece = F.explode(F.split("cnae_secundaria", ",")).alias("_piece")
     pieces = staging.filter(
         clean.is_base_id(F.col("cnpj_basico"), id_pattern) & clean.not_blank(F.col("cnae_secundaria"))
     ).select(F.concat("cnpj_basico", "cnpj_ordem", "cnpj_dv").alias("cnpj"), piece)
-    codes = pieces.withColumn("_piece", F.btrim("_piece")).filter(clean.is_code(F.col("_piece")))
-    bridge = codes.select("cnpj", clean.to_number(F.col("_piece"), "int", strict).alias("cnae_cod"))
+    return pieces.withColumn("_piece", F.btrim("_piece")).filter(clean.is_code(F.col("_piece")))
+
+
+def explode_codes(staging: DataFrame, strict: bool = True,
+                  id_pattern: str = clean.BASE_ID_PATTERN) -> DataFrame:
+    """One row per branch and distinct secondary activity of its comma list."""
+    bridge = _codes(staging, id_pattern).select("cnpj", clean.to_number(F.col("_piece"), "int", strict).alias("cnae_cod"))
     table = "estabelecimento_cnae_secundario"
     if not strict:
         bridge, _ = split_not_null(bridge, REQUIRED[table])
     return guard_not_null(bridge.distinct(), REQUIRED[table], table)
 
 
+def reject_codes(staging: DataFrame, id_pattern: str = clean.BASE_ID_PATTERN) -> DataFrame:
+    """``(cnpj, code)`` of the listed activities that ``explode_codes(strict=False)`` leaves out."""
+    codes = _codes(staging, id_pattern).withColumnRenamed("_piece", "code")
+    return codes.filter(F.col("cnpj").isNull() | clean.to_number(F.col("code"), "int", False).isNull()).distinct()
+
+
+def reject_lookup(staging: DataFrame, dim: str) -> DataFrame:
+    """Lookup rows that ``transform_lookup(strict=False)`` leaves out for their code or text."""
+    value = clean.to_number(F.col("codigo"), LOOKUPS[dim][1], False)
+    return staging.filter(clean.is_code(F.col("codigo")) & (value.isNull() | F.col("descricao").isNull()))
+
+
 def transform_lookup(staging: DataFrame, dim: str, strict: bool = True) -> DataFrame:
     """A code/text dimension; the first text of a code wins."""
     _, code_type, text = LOOKUPS[dim]
@@ -178,3 +196,13 @@ def transform_all(staging: dict[str, DataFrame], **options) -> dict[str, DataFra
         out[table] = transform_fact(staging[feed], table, **options)
     out["estabelecimento_cnae_secundario"] = explode_codes(staging["estabelecimentos"], **options)
     return out
+
+
+def reject_all(staging: dict[str, DataFrame], **options) -> dict[str, DataFrame]:
+    """``rejects_<table>`` of every typed table: what a load with ``strict=False`` leaves out, and
+    rows it takes with an unreadable value as NULL."""
+    ids = {k: v for k, v in options.items() if k == "id_pattern"}
+    out = {table: rejects(staging[feed], table, **ids) for table, feed in FACT_FEEDS.items()}
+    out["estabelecimento_cnae_secundario"] = reject_codes(staging["estabelecimentos"], **ids)
+    out |= {dim: reject_lookup(staging[spec[0]], dim) for dim, spec in LOOKUPS.items()}
+    return {f"{REJECTS}{table}": rows for table, rows in out.items()}

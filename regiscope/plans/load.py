@@ -2,42 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from regiscope.operators import aggregates
-from regiscope.operators.dedup import with_surrogate_id
 from regiscope.operators.documents import HOT_TABLE, hot_companies
 from regiscope.operators.sample import coherent_sample, first_archive_anchor
-from regiscope.operators.transform import rejects, transform_all, transform_regime
+from regiscope.operators.transform import (
+    REJECTS, reject_all, rejects, transform_all, transform_regime,
+)
 from regiscope.plans.marts import MART_KEYS, write_marts
 from regiscope.plans.publish import (
-    MAX_FILE_ROWS, commit, new_version, tables, version_path, write_version,
+    MAX_FILE_ROWS, commit, current_versions, new_version, tables, version_path, write_version,
 )
-from regiscope.schemas import DOMAINS, FACT_FEEDS, STAGING_COLUMNS
+from regiscope.schemas import ARRIVAL, CORRUPT, DOMAINS, STAGING_COLUMNS
 from regiscope.session import remove, work_path
 from regiscope.sources.domains import domain_dim
-from regiscope.sources.feeds import read_feed
+from regiscope.sources.feeds import missing_feeds, read_feed
 
 T = TypeVar("T")
 JOBS_AT_ONCE = 4
 # Tables with a surrogate id, renewed at each load.
 WITH_ID = ("socio", "regime_tributario")
+# Tables of records of the wrong width: of all feeds but the regimes, and of the regimes.
+BROKEN, BROKEN_REGIME = f"{REJECTS}records", f"{REJECTS}records_regime"
 PARTITIONED = {"estabelecimento": "uf"}
-# Unique keys by which rows are ranged over files; lookups by them read few files.
+# Columns by which rows are ranged over files; lookups by the first ones read few files. The
+# further ones cut a hot value into as many ranges as it needs.
 CLUSTERED = {
     "empresa": ("cnpj_basico",),
     "estabelecimento": ("cnpj_basico", "cnpj"),
     "simples": ("cnpj_basico",),
+    "socio": ("cnpj_cpf_socio", "cnpj_basico", "nome_socio"),
+    "regime_tributario": ("cnpj_basico", "cnpj", "ano"),
+    "estabelecimento_cnae_secundario": ("cnae_cod", "cnpj"),
 }
-# Lookup columns of tables that stay in arrival order.
+# Further lookup columns.
 BLOOM = {
-    "socio": ("cnpj_cpf_socio", "cnpj_basico"),
-    "regime_tributario": ("cnpj_basico",),
-    "estabelecimento_cnae_secundario": ("cnae_cod",),
+    "socio": ("cnpj_basico",),
+    "estabelecimento_cnae_secundario": ("cnpj",),
 }
 
 
@@ -52,17 +60,51 @@ def land(staging: DataFrame, feed: str, folder: str) -> DataFrame:
     return staging.sparkSession.read.parquet(path)
 
 
-def read_staging(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All feeds of a snapshot folder; missing ones are empty."""
-    return {feed: read_feed(spark, folder, feed) for feed in STAGING_COLUMNS}
+def land_all(spark: SparkSession, folder: str, landing: str, mode: str = "failfast") -> dict[str, DataFrame]:
+    """All feeds of a snapshot folder, landed; missing ones are empty."""
+    feeds = {feed: read_feed(spark, folder, feed, mode=mode) for feed in STAGING_COLUMNS}
+    return _side_by_side(lambda feed, df: land(df, feed, landing), feeds)
+
+
+def land_sample(spark: SparkSession, folder: str, landing: str, n: int, mode: str = "failfast") -> dict[str, DataFrame]:
+    """The feeds cut to a coherent sample on the way to their landing copies.
+
+    The first establishment file alone gives the anchor; the others and the regimes are not read.
+    """
+    first = read_feed(spark, folder, "estabelecimentos", first_only=True, mode=mode)
+    if mode == "quarantine":
+        first = first.filter(F.col(CORRUPT).isNull())
+    anchor = land(first_archive_anchor(first, n), "estabelecimentos", landing)
+    others = {feed: read_feed(spark, folder, feed, mode=mode)
+              for feed in STAGING_COLUMNS if feed not in ("estabelecimentos", "regime")}
+    cut = coherent_sample(others | {"estabelecimentos": anchor}, n, anchor)
+    staging = _side_by_side(lambda feed, df: land(df, feed, landing), {feed: cut[feed] for feed in others})
+    empty = spark.createDataFrame([], anchor.select(*ARRIVAL).schema)
+    regime = empty.select(*(F.lit(None).cast("string").alias(c) for c in STAGING_COLUMNS["regime"]), *ARRIVAL)
+    return staging | {"estabelecimentos": anchor, "regime": regime}
+
+
+def _broken_records(staging: dict[str, DataFrame]) -> DataFrame:
+    """``(feed, _file, _line, _corrupt_record)`` of the records of the wrong width."""
+    found = [
+        df.filter(F.col(CORRUPT).isNotNull()).select(F.lit(feed).alias("feed"), *ARRIVAL, CORRUPT)
+        for feed, df in staging.items() if CORRUPT in df.columns
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _whole_records(staging: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        feed: df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in df.columns else df
+        for feed, df in staging.items()
+    }
 
 
 def write_tables(root: str, typed: dict[str, DataFrame], version: str | None = None) -> dict[str, str]:
     """Write new versions of typed tables, a few at a time, and return their paths."""
     def write(name: str, df: DataFrame) -> str:
-        rows = with_surrogate_id(df) if name in WITH_ID else df
-        return write_version(rows, root, name, PARTITIONED.get(name), CLUSTERED.get(name, ()),
-                             BLOOM.get(name, ()), version)
+        return write_version(df, root, name, PARTITIONED.get(name), CLUSTERED.get(name, ()),
+                             BLOOM.get(name, ()), version, "id" if name in WITH_ID else None)
 
     return _side_by_side(write, typed)
 
@@ -74,24 +116,38 @@ def _side_by_side(job: Callable[[str, DataFrame], T], frames: dict[str, DataFram
 
 
 def load_registry(spark: SparkSession, folder: str, root: str, month: str | None = None,
-                  sample: int = 0, keep_staging: bool = False, **options) -> DataFrame:
+                  sample: int = 0, keep_staging: str | None = None, required: Sequence[str] = (),
+                  **options) -> DataFrame:
     """A full load, or a coherent sample of ``sample`` branches, ending with the row counts.
 
-    Everything is written first and committed together; what a failed load wrote is removed.
-    With ``strict=False`` values that do not parse become NULL, and the rows they came in are
-    published as ``rejects_<table>``.
+    Feeds that the folder lacks (``missing_feeds`` names them) load as empty tables, unless they are
+    ``required``; a sample requires the establishments. Everything is written first and
+    committed together; what a failed load wrote is removed. ``keep_staging`` is a path to land
+    the feeds at and leave them.
+
+    With ``strict=False`` values that do not parse become NULL, rows without a required value and
+    records of the wrong width stay out, and all of them are published: ``rejects_<table>`` by
+    table, ``rejects_records`` (and ``rejects_records_regime``) by feed. A strict load ends with no
+    such tables.
     """
-    landing, version = work_path(spark, "staging"), new_version()
+    wanted = {*required, *(["estabelecimentos"] if sample > 0 else [])}
+    if lacking := sorted(wanted.intersection(missing_feeds(folder))):
+        raise FileNotFoundError(f"{folder} has no files of {', '.join(lacking)}")
+    strict = options.get("strict", True)
+    mode = "failfast" if strict else "quarantine"
+    landing, version = keep_staging or work_path(spark, "staging"), new_version()
     names = [*MART_KEYS, HOT_TABLE]
     try:
-        staging = _side_by_side(lambda feed, df: land(df, feed, landing), read_staging(spark, folder))
-        if sample > 0:
-            anchor = land(first_archive_anchor(staging["estabelecimentos"], sample), "sample", landing)
-            staging = coherent_sample(staging, sample, anchor)
+        landed = land_sample(spark, folder, landing, sample, mode) if sample > 0 else land_all(
+            spark, folder, landing, mode)
+        staging = _whole_records(landed)
         typed = transform_all(staging, **options)
         typed |= {name: domain_dim(spark, name) for name in DOMAINS}
-        if not options.get("strict", True):
-            typed |= {f"rejects_{t}": rejects(staging[feed], t) for t, feed in FACT_FEEDS.items()}
+        if not strict:
+            typed |= reject_all(staging, **options)
+            typed[BROKEN] = _broken_records({f: df for f, df in landed.items() if f != "regime"})
+            if CORRUPT in landed["regime"].columns:
+                typed[BROKEN_REGIME] = _broken_records({"regime": landed["regime"]})
         names += typed
         paths = write_tables(root, typed, version)
         written = {name: spark.read.parquet(path) for name, path in paths.items()}
@@ -104,17 +160,34 @@ def load_registry(spark: SparkSession, folder: str, root: str, month: str | None
     finally:
         if not keep_staging:
             remove(spark, landing)
-    commit(spark, root, paths, month)
+    commit(spark, root, paths, month, _outdated(spark, root, paths))
     return aggregates.load_audit(written)
 
 
+def _outdated(spark: SparkSession, root: str, paths: dict[str, str], only: Sequence[str] = ()) -> list[str]:
+    """Published tables of rejects, all or some, that a load does not renew."""
+    held = [t for t in current_versions(spark, root) if t.startswith(REJECTS) and t not in paths]
+    return [t for t in held if not only or t in only]
+
+
 def load_regime(spark: SparkSession, folder: str, root: str, **options) -> DataFrame:
-    """Replace the tax-regime table alone and report its summary."""
-    staging = read_feed(spark, folder, "regime")
-    paths = write_tables(root, {"regime_tributario": transform_regime(staging, **options)})
-    regime = spark.read.parquet(paths["regime_tributario"])
-    now = tables(spark, root) | {"regime_tributario": regime}
+    """Replace the tax-regime table alone, with its tables of rejects, and report its summary."""
+    strict = options.get("strict", True)
+    landing, table = work_path(spark, "staging"), "regime_tributario"
+    try:
+        feed = read_feed(spark, folder, "regime", mode="failfast" if strict else "quarantine")
+        landed = {"regime": land(feed, "regime", landing)}
+        staging = _whole_records(landed)["regime"]
+        typed = {table: transform_regime(staging, **options)}
+        if not strict:
+            ids = {k: v for k, v in options.items() if k == "id_pattern"}
+            typed |= {f"{REJECTS}{table}": rejects(staging, table, **ids), BROKEN_REGIME: _broken_records(landed)}
+        paths = write_tables(root, typed)
+    finally:
+        remove(spark, landing)
+    regime = spark.read.parquet(paths[table])
+    now = tables(spark, root) | {table: regime}
     if HOT_TABLE in now:
         paths[HOT_TABLE] = write_version(hot_companies(now), root, HOT_TABLE)
-    commit(spark, root, paths)
+    commit(spark, root, paths, retired=_outdated(spark, root, paths, (f"{REJECTS}{table}", BROKEN_REGIME)))
     return aggregates.regime_summary(regime)

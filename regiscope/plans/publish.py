@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from regiscope.operators.dedup import with_surrogate_id
 from regiscope.session import remove
 
 _LOG_SCHEMA = StructType([
@@ -24,6 +25,8 @@ _LOG_SCHEMA = StructType([
     StructField("table_name", StringType(), False),
     StructField("path", StringType(), False),
 ])
+# In place of a path: the table is no longer published.
+_RETIRED = ""
 # Rows per file: keeps one task's output in several files that later scans can share out.
 MAX_FILE_ROWS = 5_000_000
 
@@ -45,7 +48,7 @@ def commit_log(spark: SparkSession, root: str) -> DataFrame:
 def current_versions(spark: SparkSession, root: str) -> dict[str, str]:
     """Path of the current version of each table: one row per table, so it is collected."""
     newest = commit_log(spark, root).groupBy("table_name").agg(F.max_by("path", "seq").alias("path"))
-    return {row.table_name: row.path for row in newest.collect()}
+    return {row.table_name: row.path for row in newest.collect() if row.path != _RETIRED}
 
 
 def published_month(spark: SparkSession, root: str) -> str | None:
@@ -60,18 +63,21 @@ def new_version() -> str:
 
 def write_version(df: DataFrame, root: str, table: str, partition_by: str | None = None,
                   cluster_by: Sequence[str] = (), bloom: Sequence[str] = (),
-                  version: str | None = None) -> str:
+                  version: str | None = None, surrogate_id: str | None = None) -> str:
     """Write a new version and return its path; readers do not see it before the commit.
 
     ``cluster_by`` range-partitions and sorts the rows, so that each file holds a narrow range
     of the keys and point lookups skip the others. With ``partition_by`` the range begins with
     that column: a state that holds a third of the rows is cut by the further keys into as many
     ranges as it needs, and no task writes it alone. ``bloom`` columns get Parquet bloom
-    filters, for lookups by a column the rows are not ordered by.
+    filters, for lookups by a column the rows are not ordered by. ``surrogate_id`` names an id column
+    to add: it is numbered after the last shuffle, where a task run again replaces its own rows.
     """
     path = version_path(root, table, version or new_version())
     order = [*([partition_by] if partition_by else []), *cluster_by]
     rows = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    if surrogate_id:
+        rows = with_surrogate_id(rows, surrogate_id)
     writer = rows.write.option("maxRecordsPerFile", MAX_FILE_ROWS)
     for column in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
@@ -80,16 +86,31 @@ def write_version(df: DataFrame, root: str, table: str, partition_by: str | None
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
+    if partition_by and _is_bare(df.sparkSession, path):
+        # No rows, no folders: one empty file keeps the columns.
+        df.limit(0).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
+def _is_bare(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return True
+    return False
+
+
 def version_path(root: str, table: str, version: str) -> str:
     return f"{root.rstrip('/')}/{table}/{version}"
 
 
-def commit(spark: SparkSession, root: str, paths: dict[str, str], month: str | None = None) -> None:
-    """Make written versions current, all at once."""
+def commit(spark: SparkSession, root: str, paths: dict[str, str], month: str | None = None,
+           retired: Iterable[str] = ()) -> None:
+    """Make written versions current and tables ``retired`` disappear, all at once."""
     seq = time.time_ns()
+    paths = {table: _RETIRED for table in retired} | paths
     rows = [(seq, month, table, path) for table, path in sorted(paths.items())]
     spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(_log_path(root))
 
@@ -122,6 +143,6 @@ def tables(spark: SparkSession, root: str, views: bool = False) -> dict[str, Dat
 
 def drop_old_versions(spark: SparkSession, root: str) -> int:
     """Delete the folders of superseded versions; returns how many were deleted."""
-    keep = set(current_versions(spark, root).values())
+    keep = {_RETIRED, *current_versions(spark, root).values()}
     old = [r.path for r in commit_log(spark, root).select("path").distinct().collect()]
     return sum(remove(spark, path) for path in old if path not in keep)

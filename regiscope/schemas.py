@@ -58,6 +58,8 @@ FEED_GLOBS = {
 # Where a row came from; these order "first" when a key arrives twice.
 FILE, LINE = "_file", "_line"
 ARRIVAL = (FILE, LINE)
+# Text of a record of the wrong width.
+CORRUPT = "_corrupt_record"
 
 
 def staging_schema(feed: str, arrival: bool = False) -> StructType:

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from regiscope.functions import clean
-from regiscope.schemas import FEED_GLOBS, FILE, LINE, STAGING_SCHEMAS
+from regiscope.schemas import CORRUPT, FEED_GLOBS, FILE, LINE, STAGING_SCHEMAS
 from regiscope.sources import zipcsv
 
 # No real field holds this text, so unquoted blanks (NULL) and quoted blanks stay apart.
 _NO_VALUE = "\u0001"
-_CORRUPT = StructField("_corrupt_record", StringType())
+_CORRUPT = StructField(CORRUPT, StringType())
 
 
 def _with_arrival(schema: StructType) -> StructType:
@@ -38,20 +38,24 @@ def read_zip_csv(spark: SparkSession, path_glob: str, schema: StructType, sep: s
 
 def read_registry_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ";",
                       charset: str = "iso8859-15", header: bool = False, strip_cr: bool = False,
-                      multiline: bool = True) -> DataFrame:
-    """Plain files of the same dialect.
+                      multiline: bool = True, mode: str = "failfast") -> DataFrame:
+    """Plain files of the same dialect, and the same ``mode`` for records of the wrong width.
 
-    ``multiline=False`` lets Spark split large files; use it for feeds known to hold no line
-    break inside quotes. ISO-8859-15 is read as ISO-8859-1, which maps every byte to one
+    ``_line`` orders the records of a file; it is no record number. ``multiline=False`` lets Spark
+    split large files; use it for feeds known to hold no line break inside quotes. ISO-8859-15 is read as ISO-8859-1, which maps every byte to one
     character, and the eight differing characters are put right by an expression.
     """
     latin9 = charset.lower().replace("_", "-") in ("iso8859-15", "iso-8859-15", "latin9")
+    lenient = mode == "quarantine"
+    wanted = StructType(schema.fields + [_CORRUPT]) if lenient else schema
     raw = (
-        spark.read.schema(schema)
+        spark.read.schema(wanted)
         .option("sep", sep).option("quote", '"').option("escape", '"')
         .option("nullValue", _NO_VALUE).option("emptyValue", "")
         .option("encoding", "ISO-8859-1" if latin9 else charset)
-        .option("header", header).option("multiLine", multiline).option("mode", "FAILFAST")
+        .option("header", header).option("multiLine", multiline)
+        .option("mode", "PERMISSIVE" if lenient else "FAILFAST")
+        .option("columnNameOfCorruptRecord", _CORRUPT.name)
         .csv(path)
     )
     repair = clean.latin1_to_latin9 if latin9 else (lambda c: c)
@@ -61,7 +65,10 @@ def read_registry_csv(spark: SparkSession, path: str, schema: StructType, sep: s
     split = F.shiftright("_metadata.file_block_start", 20)
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     position = F.shiftleft(split, 33) + row
-    return raw.select(*text, F.col("_metadata.file_path").alias(FILE), position.alias(LINE))
+    broken = [F.col(_CORRUPT.name)] if lenient else []
+    if lenient:
+        text = [F.when(F.col(_CORRUPT.name).isNull(), t).alias(f.name) for t, f in zip(text, schema)]
+    return raw.select(*text, F.col("_metadata.file_path").alias(FILE), position.alias(LINE), *broken)
 
 
 def read_regime_csv(spark: SparkSession, path_glob: str, mode: str = "failfast") -> DataFrame:
@@ -86,16 +93,33 @@ def read_lookup(spark: SparkSession, path_glob: str) -> DataFrame:
     return read_zip_csv(spark, path_glob, STAGING_SCHEMAS["cnaes"])
 
 
-def read_feed(spark: SparkSession, folder: str, feed: str, **options) -> DataFrame:
-    """A feed of a snapshot folder: its archives, else its plain files, else an empty table."""
-    schema = STAGING_SCHEMAS[feed]
+def _patterns(folder: str, feed: str) -> tuple[str, str]:
+    """Name patterns of a feed's archives and of its plain files."""
     archives = f"{folder.rstrip('/')}/{FEED_GLOBS[feed]}"
-    plain = archives.removesuffix(".zip") + ".csv"
+    return archives, archives.removesuffix(".zip") + ".csv"
+
+
+def missing_feeds(folder: str) -> list[str]:
+    """Feeds of which a snapshot folder holds neither archives nor plain files."""
+    return [feed for feed in FEED_GLOBS if not any(map(zipcsv.list_archives, _patterns(folder, feed)))]
+
+
+def read_feed(spark: SparkSession, folder: str, feed: str, first_only: bool = False, **options) -> DataFrame:
+    """A feed of a snapshot folder: its archives, else its plain files, else an empty table.
+    ``first_only`` reads the first of these files and opens no other.
+
+    ``mode="quarantine"`` adds ``_corrupt_record``, the text of a record of the wrong width, whose
+    other columns are NULL then; without it such a record fails the job.
+    """
+    schema = STAGING_SCHEMAS[feed]
+    archives, plain = _patterns(folder, feed)
+    if first_only:
+        archives, plain = (next(iter(zipcsv.list_archives(p)), p) for p in (archives, plain))
     if zipcsv.list_archives(plain) and not zipcsv.list_archives(archives):
         if feed == "regime":
-            rows = read_registry_csv(spark, plain, schema, sep=",", charset="UTF-8", strip_cr=True)
+            rows = read_registry_csv(spark, plain, schema, sep=",", charset="UTF-8", strip_cr=True, **options)
             return drop_repeated_headers(rows)
-        return read_registry_csv(spark, plain, schema)
+        return read_registry_csv(spark, plain, schema, **options)
     if feed == "regime":
         return read_optional(spark, archives, schema, read_regime_csv, **options)
     return read_optional(spark, archives, schema, **options)
@@ -105,7 +129,9 @@ def read_optional(spark: SparkSession, path_glob: str, schema: StructType, reade
                   **options) -> DataFrame:
     """The files that match, or an empty table of the same columns when none does."""
     if not zipcsv.list_archives(path_glob):
-        return spark.createDataFrame([], _with_arrival(schema))
+        wanted = _with_arrival(schema)
+        lenient = options.get("mode") == "quarantine"
+        return spark.createDataFrame([], StructType(wanted.fields + [_CORRUPT]) if lenient else wanted)
     if reader is None:
         return read_zip_csv(spark, path_glob, schema, **options)
     return reader(spark, path_glob, **options)

@@ -9,6 +9,7 @@ from regiscope.operators import aggregates, documents, network
 from regiscope.operators import branches as branches_
 from regiscope.plans import load, marts, publish
 from regiscope.schemas import DOMAINS, FACT_FEEDS, LOOKUPS, STAGING_COLUMNS
+from regiscope.sources import feeds
 from regiscope.streaming.snapshots import ingest_registry
 from tests.conftest import plan_of
 
@@ -256,3 +257,80 @@ def test_profile(spark):
     assert tuple(rough) == (4, 2, 2, 3)
     empty = aggregates.profile_pairs(df.filter(F.lit(False)), "x", "y").first()
     assert (empty.linhas, empty.distintos_par) == (0, 0)
+
+
+def test_missing_feeds(spark, tmp_path):
+    lacking = ("Estabelecimentos0", "Estabelecimentos1", "Paises")
+    folder, root = str(snapshot(tmp_path / "a", companies=4, without=lacking)), str(tmp_path / "out")
+    assert feeds.missing_feeds(folder) == ["estabelecimentos", "paises"]
+    audit = {r.t: r["count"] for r in load.load_registry(spark, folder, root).collect()}
+    assert audit["estabelecimento"] == 0 and audit["empresa"] == 4
+    t = publish.tables(spark, root)
+    assert t["estabelecimento"].filter("uf = 'SP'").count() == 0 and t["dim_pais"].count() == 0
+    assert documents.company_document(t, "00000001").first().estabelecimentos == []
+    with pytest.raises(FileNotFoundError, match="estabelecimentos"):
+        load.load_registry(spark, folder, root, sample=3)
+    with pytest.raises(FileNotFoundError, match="paises"):
+        load.load_registry(spark, folder, root, required=("paises", "empresas"))
+
+
+def test_sample_reads_the_first_establishment_file_only(spark, tmp_path):
+    folder = snapshot(tmp_path / "a", companies=9)
+    (folder / "Estabelecimentos1.zip").write_bytes(b"no archive")
+    (folder / "entidades-real.zip").write_bytes(b"no archive")
+    kept = str(tmp_path / "kept")
+    load.load_registry(spark, str(folder), str(tmp_path / "out"), sample=4, keep_staging=kept)
+    assert publish.read_table(spark, str(tmp_path / "out"), "estabelecimento").count() == 4
+    assert spark.read.parquet(f"{kept}/socios").count() == 8, "feeds are cut before they are landed"
+
+
+def test_rejects_lose_nothing_and_go_with_a_clean_load(spark, tmp_path):
+    folder, root = snapshot(tmp_path / "a", companies=3), str(tmp_path / "out")
+
+    def rewrite(name, change):
+        with zipfile.ZipFile(folder / name) as z:
+            data = {n: change(z.read(n).decode("iso8859-15")) for n in z.namelist()}
+        with zipfile.ZipFile(folder / name, "w") as z:
+            for n, text in data.items():
+                z.writestr(n, text.encode("iso8859-15"))
+
+    rewrite("Estabelecimentos0.zip", lambda s: s.replace("6201501,123", "6201501,99999999999", 1))
+    rewrite("Naturezas.zip", lambda s: s + '"99999";"Too large"\n')
+    rewrite("Socios0.zip", lambda s: s + '"short";"record"\n')
+    rewrite("entidades-real.zip", lambda s: s + '99999,00.000.001/0001-01,0,LUCRO REAL,1\n2024,x\n')
+    with pytest.raises(Exception):
+        load.load_registry(spark, str(folder), root)
+    load.load_registry(spark, str(folder), root, strict=False)
+    t = publish.tables(spark, root)
+    assert t["estabelecimento_cnae_secundario"].count() == 11
+    assert [r.code for r in t["rejects_estabelecimento_cnae_secundario"].collect()] == ["99999999999"]
+    assert [r.codigo for r in t["rejects_dim_natureza_juridica"].collect()] == ["99999"]
+    assert [(r.feed, r._corrupt_record) for r in t["rejects_records"].collect()] == [("socios", '"short";"record"')]
+    assert t["socio"].count() == 6
+    assert t["regime_tributario"].count() == 6 and t["rejects_regime_tributario"].count() == 2
+    assert t["rejects_records_regime"].count() == 2
+    load.load_regime(spark, str(folder), root, strict=False)
+    t = publish.tables(spark, root)
+    assert t["rejects_regime_tributario"].count() == 2 and t["rejects_records_regime"].count() == 2
+    clean = str(snapshot(tmp_path / "b", companies=3))
+    load.load_regime(spark, clean, root)
+    left = {n for n in publish.current_versions(spark, root) if n.startswith("rejects_")}
+    assert "rejects_socio" in left and not any("regime" in n for n in left)
+    load.load_registry(spark, clean, root)
+    assert not any(n.startswith("rejects_") for n in publish.current_versions(spark, root))
+    assert publish.drop_old_versions(spark, root) > 0
+
+
+def test_partners_are_ranged_by_document(spark, tmp_path):
+    rows = spark.range(6000).selectExpr(
+        "lpad(id % 900, 11, '0') cnpj_cpf_socio", "lpad(id, 8, '0') cnpj_basico", "'Ana' nome_socio")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = load.write_tables(str(tmp_path), {"socio": rows})["socio"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = spark.read.parquet(path)
+    assert got.select("id").distinct().count() == 6000
+    place = got.withColumn("f", F.input_file_name())
+    files = place.filter("cnpj_cpf_socio = '00000000450'").select("f").distinct().count()
+    assert files <= 2 < place.select("f").distinct().count()
