@@ -785,6 +785,24 @@ def name_similarity(spark, sf):
     return search.name_similarity(parts, "p_name", "Red-Rings", 0.3)
 
 
+_GRAMS_SQL = """list_distinct(flatten(list_transform(string_split(
+         trim(regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '),
+         lambda w: list_transform(range(1, length(w) + 2), lambda i: substring('  ' || w || ' ', i, 3)))))"""
+
+
+@query("l1_similarity_batch", f"""
+WITH n AS (SELECT DISTINCT p_name, {_GRAMS_SQL.format('p_name')} AS g FROM part),
+ q AS (SELECT DISTINCT query, {_GRAMS_SQL.format('query')} AS w FROM (
+       SELECT split_part(p_name, ' ', 2) || ' ' || p_type AS query FROM part)),
+ s AS (SELECT p_name, query, len(list_intersect(g, w)) / len(list_distinct(g || w)) AS similaridade FROM n, q)
+SELECT p_partkey, p_name, query, similaridade FROM s JOIN part USING (p_name) WHERE similaridade >= 0.3""")
+def similarity_batch(spark, sf):
+    """Every part's second word and type asked for among all names."""
+    parts = star.source(spark, sf, "part")
+    queries = parts.select(F.concat_ws(" ", F.split_part("p_name", F.lit(" "), F.lit(2)), "p_type").alias("query"))
+    return search.name_similarity_batch(parts.select("p_partkey", "p_name"), "p_name", queries, threshold=0.3)
+
+
 @query("l1_name_search", "SELECT p_partkey, p_name FROM part WHERE lower(p_name) LIKE '%ring%'")
 def name_search(spark, sf):
     parts = star.source(spark, sf, "part").select("p_partkey", "p_name")
@@ -1139,6 +1157,18 @@ def refresh_marts(spark, sf):
         F.lit("ativas").alias("mart"), "chave", "n", F.lit(None).cast("double").alias("total")))
 
 
+@query("e8_published_ranking", _sql("empresa", "dim_natureza_juridica") + f"""
+SELECT descricao AS natureza_juridica, empresas, capital_total FROM ({_MART_SQL})
+LEFT JOIN dim_natureza_juridica ON codigo = natureza_juridica_cod""")
+def published_ranking(spark, sf):
+    """The whole ranking, read from the published aggregate: the company table is not among the tables."""
+    root = work_path(spark, "e8")
+    _publish(spark, sf, root, "empresa", "estabelecimento", "dim_natureza_juridica")
+    marts.refresh_marts(spark, root)
+    t = publish.tables(spark, root)
+    return _doubles(marts.capital_ranking({k: df for k, df in t.items() if k != "empresa"}), "capital_total")
+
+
 @query("b1_full_load", f"""
 WITH {_sql(*(f'stg_{f}' for f in _FEEDS if f != 'regime'))[5:]}, {_REGIME_SQL[5:]}
 SELECT 'empresa' AS t, count(DISTINCT cnpj_basico) AS count FROM stg_empresas WHERE {_IS_BASE}
@@ -1151,6 +1181,85 @@ def full_load(spark, sf):
     return load.load_registry(spark, _snapshot(spark, sf), work_path(spark, "registry"), month="2001-08")
 
 
+def _line_sql(table: str, columns: list[str], rows: str) -> str:
+    """Rows of a table as one text each, next to the table's name."""
+    texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+    return f"SELECT '{table}' AS t, concat_ws('|', {texts}) AS linha FROM ({rows})"
+
+
+def _lines(t: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        t[name].select(F.lit(name).alias("t"), F.concat_ws(
+            "|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in names)).alias("linha"))
+        for name, names in columns.items()
+    ])
+
+
+_LOADED = {t: [name for name, _, _ in TYPED_COLUMNS[t]] for t in FACT_FEEDS} | {
+    "estabelecimento_cnae_secundario": ["cnpj", "cnae_cod"],
+    "dim_natureza_juridica": ["codigo", "descricao"], "dim_cnae": ["codigo", "descricao"],
+    marts.CAPITAL: ["natureza_juridica_cod", "empresas", "capital_total"],
+    marts.ACTIVE: ["uf", "municipio_cod", "cnae_fiscal_principal", "qtd"],
+}
+_LOADED_SQL = {t: _typed_sql(t) for t in FACT_FEEDS} | {
+    "empresa": "SELECT * REPLACE (CAST(capital_social AS DECIMAL(18, 2)) AS capital_social) FROM (" + _typed_sql("empresa") + ")",
+    "estabelecimento_cnae_secundario": ORACLE["i12_explode_codes"][len(_sql("stg_estabelecimentos")):],
+    "dim_natureza_juridica": _lookup_sql("naturezas", "SMALLINT")[len(_sql("stg_naturezas")):],
+    "dim_cnae": _lookup_sql("cnaes", "INT")[len(_sql("stg_cnaes")):],
+    marts.CAPITAL: f"""SELECT natureza_juridica_cod, count(*) AS empresas, CAST(sum(CAST(capital_social AS DECIMAL(18, 2)))
+        AS DECIMAL(38, 2)) AS capital_total FROM ({_typed_sql('empresa')}) GROUP BY 1""",
+    marts.ACTIVE: f"""SELECT uf, municipio_cod, cnae_fiscal_principal, count(*) AS qtd
+        FROM ({_typed_sql('estabelecimento')}) WHERE situacao_cadastral = 2 GROUP BY ALL""",
+}
+
+
+@query("b1_full_load_contents", _sql(*(f"stg_{f}" for f in _FEEDS)) + " UNION ALL ".join(
+    _line_sql(t, columns, _LOADED_SQL[t]) for t, columns in _LOADED.items()))
+def full_load_contents(spark, sf):
+    """Every row of the tables that a load from archives publishes."""
+    root = work_path(spark, "registry")
+    load.load_registry(spark, _snapshot(spark, sf), root)
+    return _lines(publish.tables(spark, root), _LOADED)
+
+
+@query("a8_missing_establishments", _sql("stg_empresas") + f"""
+SELECT 'empresa' AS t, count(DISTINCT cnpj_basico) AS count FROM stg_empresas WHERE {_IS_BASE}
+UNION ALL SELECT unnest(['estabelecimento', 'socio', 'simples', 'regime_tributario']), 0""")
+def missing_establishments(spark, sf):
+    """A load from a folder that holds the companies only; the tables are read back."""
+    rows = star.staging(spark, sf, "empresas")["empresas"].repartitionByRange(3, *ARRIVAL).drop(*ARRIVAL)
+    folder, root = write_archives(rows, work_path(spark, "a8in"), "Empresas"), work_path(spark, "a8")
+    load.load_registry(spark, folder, root)
+    return aggregates.load_audit(publish.tables(spark, root))
+
+
+@query("b9_load_rejects", """
+SELECT 'dim_natureza_juridica' AS t, count(DISTINCT p_partkey) AS count FROM part WHERE p_partkey * 40 <= 32767
+UNION ALL SELECT 'rejects_dim_natureza_juridica', count(*) FROM part WHERE p_partkey * 40 > 32767
+UNION ALL SELECT 'rejects_records', count(*) FROM part
+UNION ALL SELECT 'regime_tributario', count(*) FROM customer WHERE c_custkey % 5 <> 0
+UNION ALL SELECT 'rejects_regime_tributario', count(*) FROM customer WHERE c_custkey % 5 = 0""")
+def load_rejects(spark, sf):
+    """Codes too large, years too large and lines of the wrong width: published and rejected rows
+    account for every input row."""
+    folder, root = work_path(spark, "b9in"), work_path(spark, "b9")
+    code = (F.col("p_partkey") * 40).cast("string")
+    parts = star.source(spark, sf, "part")
+    write_archives(parts.select(code.alias("codigo"), F.col("p_name").alias("descricao")).coalesce(1), folder,
+                   "Naturezas", numbered=False)
+    write_archives(parts.select(code.alias("a"), code.alias("b"), code.alias("c")), folder, "Socios")
+    year = F.when(F.col("c_custkey") % 5 == 0, "99999").otherwise("2024")
+    cnpj = F.lpad(F.col("c_custkey").cast("string"), 14, "0")
+    regimes = star.source(spark, sf, "customer").select(
+        year.alias("ano"), cnpj.alias("cnpj"), F.lit("0").alias("cnpj_da_scp"),
+        F.lit("LUCRO REAL").alias("forma_de_tributacao"), F.lit("1").alias("quantidade_de_escrituracoes"))
+    write_archives(regimes, folder, "entidades-", sep=",", charset="utf8", header=True)
+    load.load_registry(spark, folder, root, strict=False)
+    return aggregates.load_audit(publish.tables(spark, root), (
+        "dim_natureza_juridica", "rejects_dim_natureza_juridica", "rejects_records", "regime_tributario",
+        "rejects_regime_tributario"))
+
+
 # --- snapshots ---------------------------------------------------------------------------
 
 def _by_month(spark, sf):
@@ -1186,17 +1295,21 @@ def ingest_new_months(spark, sf):
     return rows.select("o_orderkey", "o_custkey", F.lit(done).alias("publicacoes"))
 
 
-@query("j4_marts_after_load", _sql("estabelecimento") + """
-SELECT uf, count(*) AS ativas FROM estabelecimento
+@query("j4_marts_after_load", _sql("estabelecimento", "empresa") + """
+SELECT 'ativas' AS mart, uf AS chave, count(*) AS n FROM estabelecimento
 WHERE situacao_cadastral = 2 AND strftime(data_inicio_atividade, '%Y-%m') =
-      (SELECT max(strftime(data_inicio_atividade, '%Y-%m')) FROM estabelecimento) GROUP BY 1""")
+      (SELECT max(strftime(data_inicio_atividade, '%Y-%m')) FROM estabelecimento WHERE situacao_cadastral = 2) GROUP BY 2
+UNION ALL SELECT 'capital', CAST(natureza_juridica_cod AS VARCHAR), count(*) FROM empresa GROUP BY 2""")
 def marts_after_load(spark, sf):
-    """A stream of monthly snapshots whose load also refreshes the aggregates; the optional
-    tax-regime feed is absent throughout (J3)."""
+    """A stream of monthly snapshots, the last one with active branches, whose load also refreshes
+    both aggregates; the optional tax-regime feed is absent throughout (J3)."""
     folder, root, state = (work_path(spark, n) for n in ("j4in", "j4", "j4state"))
     t = star.typed(spark, sf, "estabelecimento", "empresa")
     month = F.date_format("data_inicio_atividade", "yyyy-MM")
-    t["estabelecimento"].withColumn("month", month).write.partitionBy("month").parquet(folder)
+    rows = t["estabelecimento"].withColumn("month", month)
+    last = rows.filter("situacao_cadastral = 2").agg(F.max("month").alias("_last"))
+    rows.join(F.broadcast(last), F.col("month") <= F.col("_last")).drop("_last").write.partitionBy(
+        "month").parquet(folder)
 
     def load_month(session, path, found):
         regime = feeds.read_feed(session, path, "regime")
@@ -1208,7 +1321,12 @@ def marts_after_load(spark, sf):
         marts.refresh_marts(session, root, found)
 
     snapshots.ingest_new_months(spark, folder, root, state, load_month, files="*.parquet")
-    return publish.read_table(spark, root, marts.ACTIVE).groupBy("uf").agg(F.sum("qtd").alias("ativas"))
+    made = publish.tables(spark, root)
+    active = made[marts.ACTIVE].groupBy(F.col("uf").alias("chave")).agg(F.sum("qtd").alias("n"))
+    capital = made[marts.CAPITAL].select(
+        F.lit("capital").alias("mart"), F.col("natureza_juridica_cod").cast("string").alias("chave"),
+        F.col("empresas").alias("n"))
+    return active.select(F.lit("ativas").alias("mart"), "chave", "n").unionByName(capital)
 
 
 @query("j3_optional_regime", _sql("empresa") + """

@@ -8,6 +8,7 @@ the size of the intersection over the size of the union.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,27 +27,47 @@ def _words(c: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(c), _BREAK, " "))
 
 
-def padded_words(c: Column) -> Column:
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _padded(words: Column) -> Column:
     """All words, each behind two blanks and before one. A query trigram occurs in this
     text exactly when it is in the name's set, so membership is a substring test."""
-    return F.concat(F.lit("  "), F.replace(_words(c), F.lit(" "), F.lit("  ")), F.lit(" "))
+    return F.concat(F.lit("  "), F.replace(words, F.lit(" "), F.lit("  ")), F.lit(" "))
 
 
-def trigrams(c: Column) -> Column:
-    """Distinct trigrams of a name, as an array."""
-    pieces = F.transform(
-        F.split(_words(c), " "),
+def _pieces(words: Column) -> Column:
+    cut = F.transform(
+        F.filter(F.split(words, " "), lambda w: w != ""),
         lambda w: F.transform(
             F.sequence(F.lit(1), F.length(w) + 1),
             lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3)),
         ),
     )
-    return F.when(_words(c) == "", F.array().cast("array<string>")).otherwise(
-        F.array_distinct(F.flatten(pieces))
-    )
+    return F.array_distinct(F.flatten(cut))
+
+
+def trigrams(c: Column) -> Column:
+    """Distinct trigrams of a name, as an array."""
+    return _pieces(_words(c))
+
+
+def similarity(c: Column, query: str, needed: int) -> Column:
+    """Similarity of a name to a query, NULL for names with fewer than ``needed`` shared trigrams.
+
+    Only the others have their trigram arrays built; a name is normalised once.
+    """
+    wanted = query_trigrams(query)
+
+    def scored(words: Column) -> Column:
+        def of_shared(shared: Column) -> Column:
+            return F.when(shared >= needed, shared / (F.size(_pieces(words)) + len(wanted) - shared))
+
+        def count(padded: Column) -> Column:
+            return sum((padded.contains(g).cast("int") for g in wanted), F.lit(0))
 
+        return bound(bound(_padded(words), count), of_shared)
 
-def shared_trigrams(c: Column, query: str) -> Column:
-    """How many of the query's trigrams the name has, without building arrays."""
-    padded = padded_words(c)
-    return sum((padded.contains(g).cast("int") for g in query_trigrams(query)), F.lit(0))
+    return bound(_words(c), scored)

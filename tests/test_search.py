@@ -2,6 +2,7 @@ import pytest
 
 from regiscope.functions import trigram
 from regiscope.operators import search
+from tests.conftest import plan_of
 
 NAMES = ["Padaria São João Ltda", "PADARIA SAO JOAO", "padaria-joao", "João & Filhos", "", " ", "x", "Ação 24h",
          "a b c", "aaa aaa", "Mercado Central S/A", None, "joa", "PADARIA"]
@@ -28,6 +29,25 @@ def test_similarity_is_exact(spark, query, threshold):
     assert got == pytest.approx(want)
 
 
+def test_names_are_normalised_once(spark):
+    df = spark.createDataFrame([(n,) for n in NAMES], "name string").repartition(2)
+    assert plan_of(search.name_similarity(df, "name", "padaria joao da silva")).count("regexp_replace") <= 2
+
+
+@pytest.mark.parametrize("threshold", [0.1, 0.3, 0.6, 1.0])
+def test_batch_gives_what_single_queries_give(spark, threshold):
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(NAMES + NAMES[:3])], "k int, name string")
+    asked = ["padaria joão", "AAA", "mercado", "nothing of the kind", "", None, "AAA"]
+    queries = spark.createDataFrame([(q,) for q in asked], "query string")
+    got = {(r.k, r["query"]): r.similaridade for r in
+           search.name_similarity_batch(df, "name", queries, threshold=threshold).collect()}
+    want = {(r.k, q): r.similaridade for q in set(asked) - {"", None}
+            for r in search.name_similarity(df, "name", q, threshold).collect()}
+    assert got == pytest.approx(want)
+    with pytest.raises(ValueError):
+        search.name_similarity_batch(df, "name", queries, threshold=0)
+
+
 def test_trigram_sets(spark):
     df = spark.createDataFrame([(n,) for n in NAMES if n is not None], "name string")
     for r in df.select("name", trigram.trigrams(df.name).alias("g")).collect():
