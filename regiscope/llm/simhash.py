@@ -173,7 +173,7 @@ def _trie_links(rows: DataFrame, depth: int, bits: int, budget: int, wide: list[
     gives a row per value and not one per pair: components are those of all links.
     """
     top = F.shiftrightunsigned("turned", BITS - depth).cast("string")
-    rows = rows.withColumn("node", top).withColumn("side", F.lit(0))
+    rows = rows.withColumn("node", top).withColumn("side", F.lit(0)).withColumn("spent", F.lit(0))
     done = []
     while depth + STEP < bits:
         rows = written(rows, "subtrees")
@@ -198,9 +198,12 @@ def _split(rows: DataFrame, depth: int, budget: int) -> DataFrame:
     """Cut nodes into pairs of their children ``STEP`` bits down, less those beyond the budget.
 
     ``node`` is the path of pairs so far; ``side`` says to which of its two nodes a value belongs
-    (0: a node with itself). The walk counts all bits again, so no count needs carrying.
+    (0: a node with itself); ``spent`` counts the bits in which the two differ so far.
     """
-    near = F.array(*(F.lit(m) for m in range(1 << STEP) if m.bit_count() <= budget))
+    # Differences of children by the bits left to spend.
+    within = F.array(*(F.array(*(F.lit(m) for m in range(1 << STEP) if m.bit_count() <= left))
+                       for left in range(budget + 1)))
+    near = F.get(within, F.lit(budget) - F.col("spent"))
     x = F.shiftrightunsigned("turned", BITS - depth - STEP).bitwiseAND(F.lit((1 << STEP) - 1)).cast("int")
     out = rows.withColumn("x", x).withColumn("m", F.explode(near)).withColumn("y", F.col("x").bitwiseXOR(F.col("m")))
     # Of a node with itself, the smaller child is the first; of two nodes, side 1 is.
@@ -208,7 +211,8 @@ def _split(rows: DataFrame, depth: int, budget: int) -> DataFrame:
     path = F.concat_ws("/", "node", F.when(ahead, F.col("x")).otherwise(F.col("y")),
                        F.when(ahead, F.col("y")).otherwise(F.col("x")))
     side = F.when((F.col("side") == 0) & (F.col("m") == 0), F.lit(0)).otherwise(F.when(ahead, 1).otherwise(2))
-    return out.withColumn("node", path).withColumn("side", side).select(*rows.columns)
+    spent = F.col("spent") + F.bit_count("m")
+    return out.withColumn("node", path).withColumn("side", side).withColumn("spent", spent).select(*rows.columns)
 
 
 def _forests(batches: Iterator[pa.RecordBatch], budget: int, wide: list[str], total: int) -> Iterator[pa.RecordBatch]:
