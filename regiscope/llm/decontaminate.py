@@ -1,21 +1,23 @@
 """Benchmark decontamination: windows of benchmark words searched in all documents.
 
 The benchmark's windows are broadcast as a hash set over small word numbers, in blocks of at
-most ``block_bytes`` of benchmark text, so the broadcast has a fixed bound whatever the
-benchmark's size; more blocks mean more passes over the documents. A document is mapped to word
-numbers; only runs made of benchmark words are hashed, and every hash hit is verified on the
-numbers themselves.
+about ``block_bytes`` of distinct benchmark items, so the broadcast has a fixed bound whatever the
+benchmark's size; more blocks mean more passes over the documents. A worker makes the set of a
+block once for all its tasks. A document is mapped to word numbers; only runs made of benchmark
+words are hashed, and every hash hit is verified on the numbers themselves.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,7 +25,8 @@ from pyspark.sql.types import StructType
 from regiscope.llm.common import written
 
 WINDOW = 10
-BLOCK_BYTES = 16 << 20
+# A worker needs up to about 40 bytes of memory for a byte.
+BLOCK_BYTES = 8 << 20
 # Lower-cases A-Z and blanks every other ASCII character that is not a digit or a letter.
 _WORDS = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -40,16 +43,19 @@ class Windows:
 
     def __init__(self, items: list[tuple[str | None, bytes | None]], window: int) -> None:
         self.number: dict[bytes, int] = {}
-        self.items: dict[int, dict[bytes, set]] = defaultdict(lambda: defaultdict(set))
+        self.items: dict[int, dict[bytes, frozenset | set]] = defaultdict(dict)
         for name, text in items:
             ids = [self.number.setdefault(w, len(self.number) + 1) for w in words_of(text)]
             length = min(window, len(ids))
-            row = np.array(ids, np.uint32)
+            row, alone = np.array(ids, np.uint32), frozenset([name])
             for at in range(len(ids) - length + 1 if ids else 0):
-                self.items[length][row[at : at + length].tobytes()].add(name)
-        self.items = {n: dict(w) for n, w in self.items.items()}
+                names = self.items[length].setdefault(row[at : at + length].tobytes(), alone)
+                if isinstance(names, set):
+                    names.add(name)
+                elif name not in names:
+                    self.items[length][row[at : at + length].tobytes()] = {*names, name}
         self.hashes = {
-            n: np.unique(_rolling(np.frombuffer(b"".join(w), np.uint32), n)[::n]) for n, w in self.items.items()
+            n: np.unique(_folded(np.frombuffer(b"".join(w), np.uint32).reshape(-1, n).T)) for n, w in self.items.items()
         }
 
     def search(self, words: list[bytes]) -> tuple[np.ndarray | None, set]:
@@ -77,13 +83,25 @@ class Windows:
         return hit, found
 
 
+_HELD: dict[tuple[str, int], Windows] = {}
+
+
+def _windows(held: Broadcast, block: str, window: int) -> Windows:
+    """The worker's windows of a block; those of the block before are let go."""
+    if (block, window) not in _HELD:
+        _HELD.clear()
+        _HELD[block, window] = Windows(held.value, window)
+    return _HELD[block, window]
+
+
 def _rolling(ids: np.ndarray, n: int) -> np.ndarray:
     """Polynomial hash of every run of n numbers."""
-    ids = ids.astype(np.uint64)
-    out = np.zeros(len(ids) - n + 1, np.uint64)
-    for k in range(n):
-        out = out * _BASE + ids[k : len(ids) - n + 1 + k]
-    return out
+    return _folded(ids[k : len(ids) - n + 1 + k] for k in range(n))
+
+
+def _folded(places: Iterable[np.ndarray]) -> np.ndarray:
+    """Polynomial hash over arrays of the numbers at each place."""
+    return reduce(lambda code, ids: code * _BASE + ids, places, np.uint64(0))
 
 
 def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text",
@@ -96,7 +114,7 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: st
     words but are not listed. Repeated rows stay, each with the same result.
     """
     spark = docs.sparkSession
-    wanted = benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).cast("binary").alias("t"))
+    wanted = benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).cast("binary").alias("t")).distinct()
     size = wanted.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     out = docs.withColumns({"_n_words": F.lit(0).cast("long"), "_n_hit": F.lit(0).cast("long"), "_hits": F.lit(None).cast("binary"),
@@ -111,11 +129,12 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: st
     return out
 
 
-def _pass(docs: DataFrame, held, window: int, text: str, keep_text: bool) -> DataFrame:
+def _pass(docs: DataFrame, held: Broadcast, window: int, text: str, keep_text: bool) -> DataFrame:
+    block = uuid.uuid4().hex
     kept = [f for f in docs.schema if keep_text or f.name != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = Windows(held.value, window)
+        windows = _windows(held, block, window)
         for batch in batches:
             n_words, n_hit, hits, items = [], [], [], []
             texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
