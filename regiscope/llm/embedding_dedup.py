@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from regiscope.llm.common import Forest, written
 from regiscope.llm.components import components
@@ -55,21 +56,21 @@ def classes(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
 def _pivots(rows: DataFrame, cell: int, most: int) -> dict:
     """Pivots by (label, dimension): vectors of the smallest hashes, at most ``most`` in all."""
     rows = rows.select("label", F.size("vec").alias("dim"), "id", "vec")
-    counts = rows.groupBy("label", "dim").count().filter(F.col("count") > cell).orderBy(F.desc("count")).limit(most).collect()
-    total = sum(-(-r["count"] // cell) for r in counts)
+    found = rows.groupBy("label", "dim").count().filter(F.col("count") > cell).orderBy(F.desc("count")).limit(most).collect()
+    counts = {(r["label"], r["dim"]): r["count"] for r in found}
+    total = sum(-(-n // cell) for n in counts.values())
     share = min(1.0, most / total) if total else 1.0
-    wanted = {(r["label"], r["dim"]): max(1, int(-(-r["count"] // cell) * share)) for r in counts}
+    wanted = {k: max(1, int(-(-n // cell) * share)) for k, n in counts.items()}
     if not wanted:
         return {}
-    quota = F.lit(0)
-    for (lab, dim), n in wanted.items():
-        many = next(r["count"] for r in counts if (r["label"], r["dim"]) == (lab, dim))
-        # A hash sample of about three times the quota; the smallest hashes are taken from it.
-        bound = min(1.0, 3 * n / many)
-        quota = F.when((F.col("label") == lab) & (F.col("dim") == dim), F.lit(bound)).otherwise(quota)
-    drawn = rows.withColumn("h", F.pmod(F.xxhash64("id", "label"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    # A hash sample of about three times the number wanted; the smallest hashes are taken from it.
+    bounds = rows.sparkSession.createDataFrame(
+        [(*k, min(1.0, 3 * n / counts[k])) for k, n in wanted.items()],
+        StructType([rows.schema["label"], rows.schema["dim"], StructField("bound", DoubleType())]))
+    draw = F.pmod(F.xxhash64("id", "label"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = rows.withColumn("h", draw).join(F.broadcast(bounds), ["label", "dim"]).filter("h < bound")
     out = defaultdict(list)
-    for r in sorted(drawn.filter(F.col("h") < quota).collect(), key=lambda r: r["h"]):
+    for r in sorted(drawn.collect(), key=lambda r: (r["h"], r["id"])):
         mine = out[(r["label"], r["dim"])]
         if len(mine) < wanted[(r["label"], r["dim"])]:
             mine.append(r["vec"])
