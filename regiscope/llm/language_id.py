@@ -3,8 +3,8 @@
 Texts are lower-cased, runs of anything but letters become one blank, and runs of one to three
 characters are hashed into ``DIM`` bins. Document frequencies are counted over all training rows.
 The weights are learned by follow-the-regularised-leader with elastic-net penalties on a sample
-of at most ``SAMPLE`` training rows, the same number for each language, drawn by a hash; a fifth of
-it is kept out of the training and sets the temperature of the probabilities.
+of at most ``SAMPLE`` distinct training rows, the same number for each language, drawn by a hash; a
+fifth of it is kept out of the training and sets the temperature of the probabilities.
 """
 
 from __future__ import annotations
@@ -149,9 +149,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = S
     counts = {r.l: r["count"] for r in rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(sample).collect()}
     each = max(1, sample // max(1, len(counts)))
     draw = F.pmod(F.xxhash64("t", "l"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.lit(0.0)
-    for name, n in counts.items():
-        share = F.when(F.col("l") == name, F.lit(min(1.0, 1.2 * each / n))).otherwise(share)
+    shares = docs.sparkSession.createDataFrame([(name, min(1.0, 1.2 * each / n)) for name, n in counts.items()], "l string, share double")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,7 +159,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = S
                     [pa.array([name.as_py()]), pa.array([bins.astype(np.int32)], pa.list_(pa.int32())),
                      pa.array([n.astype(np.int32)], pa.list_(pa.int32()))], names=["l", "bins", "n"])
 
-    drawn = rows.filter(draw < share).limit(2 * sample).mapInArrow(features, "l string, bins array<int>, n array<int>")
+    some = rows.join(F.broadcast(shares), "l").filter(draw < F.col("share")).select("t", "l").distinct()
+    drawn = some.limit(2 * sample).mapInArrow(features, "l string, bins array<int>, n array<int>")
     names = sorted(counts)
     seen: dict[str, int] = {}
     data = []
