@@ -19,7 +19,7 @@ BROADCAST_LINES = 50_000
 
 
 def _bare(line: Column) -> Column:
-    return F.regexp_replace(line, r"^[ \t\r]+|[ \t\r]+$", "")
+    return F.btrim(line, F.lit(" \t\r"))
 
 
 def _lines(text: str) -> Column:
@@ -52,9 +52,10 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
     """
     found = written(boilerplate(docs, host, text, ratio, min_pages), "boilerplate")
     if found.count() <= limit:
+        # No blank line is among them.
         lists = found.groupBy(F.col("host").alias("_host")).agg(F.collect_set("line").alias("_drop"))
         joined = docs.join(F.broadcast(lists), F.col(host).eqNullSafe(F.col("_host")), "left")
-        return _without(joined, docs, text, lambda x: F.array_contains("_drop", F.xxhash64(_bare(x))) & (_bare(x) != ""))
+        return _without(joined, docs, text, lambda x: F.array_contains("_drop", F.xxhash64(_bare(x))))
     # Too many to send: find the places of the lines by a join on (host, line), then cut them out.
     rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "pages")
     places = rows.select("_row", F.col(host).alias("_h"), F.posexplode(_lines(text)).alias("_at", "_line"))
