@@ -88,6 +88,12 @@ def test_language_edges(spark, odd, empty):
     assert language_id.identify(empty, model, ["doc_id"]).count() == 0
 
 
+def test_very_many_languages(spark):
+    docs = spark.range(2400).selectExpr("concat('wort ', cast(id % 1200 as string), ' a') as text", "cast(id % 1200 as string) as lang")
+    model = language_id.fit(docs, sample=1500)
+    assert len(model.languages) == 1200 and model.weights.shape[1] == 1200
+
+
 def test_gram_counts_do_not_depend_on_parts(monkeypatch):
     text = "Ein Satz, der über Teile geht. " * 30
     whole = language_id.grams(text)
@@ -149,9 +155,21 @@ def test_lines_of_one_host(spark):
     assert got[0].text == "own 0" and got[0]._dropped == 2 and got[9].text == "menu\nx" and got[10].text is None
 
 
+def test_lines_are_bared_of_blanks_and_tabs_only(spark):
+    rows = [(i, f" menu\t\nown {i}\nmenu \u2028", "h") for i in range(6)]
+    got = line_dedup.boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert [r.pages for r in got.collect()] == [6, 6]
+
+
 # --- embeddings
 
 
+def test_pivots_of_very_many_labels(spark):
+    rows = spark.range(6000).selectExpr("id", "cast(id % 2000 as int) label", "array(rand(1), rand(2), id + 1D) vec")
+    pivots = embedding_dedup._pivots(rows, 1, 4096)
+    assert len(pivots) == 2000 and all(0 < len(p) <= 3 for p in pivots.values())
+
+
 def test_embeddings_by_pivots_and_blocks(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 8))
@@ -222,6 +240,14 @@ def test_walk_finds_every_pair():
     assert got == {(int(i), int(j)) for i, j in zip(*np.nonzero(near)) if i < j}
 
 
+def test_node_pairs_beyond_the_budget_go(spark):
+    values = np.random.default_rng(6).integers(0, 1 << 30, 40).tolist() + [0, 7 << 56, 15 << 56, 1 << 50]
+    rows = spark.createDataFrame([(v, 0, v, "0", 0, 0) for v in values], "id long, rot int, turned long, node string, side int, spent int")
+    once = simhash._split(rows, 0, 3)
+    twice = simhash._split(once, simhash.STEP, 3).collect()
+    assert once.count() == 42 * len(values) and len(twice) == 299 * len(values) and max(r.spent for r in twice) == 3
+
+
 def test_near_copies(spark, odd, empty):
     rng = random.Random(2)
     vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(900)]
@@ -271,6 +297,7 @@ def test_decontamination_in_blocks(spark, odd, empty):
     docs = docs_of(spark).select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
     bench = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").unionByName(spark.createDataFrame(
         [(None, "a b"), (900, None), (901, " ,;"), (902, "No id AT all"), (902, "same line same line")], "item_id long, text string"))
+    bench = bench.unionByName(bench.filter("item_id is null or item_id > 900"))
     one = sorted(map(tuple, decontaminate.report(docs, bench).collect()), key=repr)
     four = sorted(map(tuple, decontaminate.report(docs, bench, block_bytes=3000).collect()), key=repr)
     assert one == four and len(one) == docs.count()
