@@ -983,23 +983,36 @@ def _schema(spark, ddl):
     return StructType.fromDDL(ddl)
 
 
+# Records of an archive.
+_ARCHIVE_ROWS = 1_000_000
+
+
+def _archives(rows: DataFrame, least: int) -> int:
+    return max(least, -(-rows.count() // _ARCHIVE_ROWS))
+
+
+def _dealt(rows: DataFrame, least: int, key: str) -> DataFrame:
+    """Rows dealt to as many archives as they need, ``least`` or more."""
+    return rows.repartition(_archives(rows, least), key)
+
+
 @query("a1_zip_scan", _HARD_SQL)
 def zip_scan(spark, sf):
-    folder = write_archives(_hard(spark, sf).repartition(3, "codigo"), work_path(spark, "a1"), "Feed", members=2)
+    folder = write_archives(_dealt(_hard(spark, sf), 3, "codigo"), work_path(spark, "a1"), "Feed", members=2)
     rows = feeds.read_zip_csv(spark, f"{folder}/Feed*.zip", _schema(spark, _HARD_SCHEMA))
     return rows.select("codigo", "descricao", "vazio")
 
 
 @query("a2_plain_scan", _HARD_SQL)
 def plain_scan(spark, sf):
-    folder = write_archives(_hard(spark, sf).repartition(3, "codigo"), work_path(spark, "a2"), "Feed", zipped=False)
+    folder = write_archives(_dealt(_hard(spark, sf), 3, "codigo"), work_path(spark, "a2"), "Feed", zipped=False)
     rows = feeds.read_registry_csv(spark, folder, _schema(spark, _HARD_SCHEMA))
     return rows.select("codigo", "descricao", "vazio")
 
 
 @query("a3_regime_scan", _sql("stg_regime") + f"SELECT * EXCLUDE ({', '.join(ARRIVAL)}) FROM stg_regime")
 def regime_scan(spark, sf):
-    rows = star.staging(spark, sf, "regime")["regime"].drop(*ARRIVAL).repartition(2, "cnpj")
+    rows = _dealt(star.staging(spark, sf, "regime")["regime"].drop(*ARRIVAL), 2, "cnpj")
     folder = write_archives(rows, work_path(spark, "a3"), "entidades-", sep=",", charset="utf8", header=True,
                             members=3, newline="\r\n")
     return feeds.read_feed(spark, folder, "regime").drop(*ARRIVAL)
@@ -1007,7 +1020,7 @@ def regime_scan(spark, sf):
 
 @query("a4_nul_bytes", _HARD_SQL)
 def nul_bytes(spark, sf):
-    folder = write_archives(_hard(spark, sf, nul=True).repartition(2, "codigo"), work_path(spark, "a4"), "Feed")
+    folder = write_archives(_dealt(_hard(spark, sf, nul=True), 2, "codigo"), work_path(spark, "a4"), "Feed")
     rows = feeds.read_zip_csv(spark, f"{folder}/Feed*.zip", _schema(spark, _HARD_SCHEMA))
     return rows.select("codigo", "descricao", "vazio")
 
@@ -1050,7 +1063,7 @@ def _snapshot(spark, sf) -> str:
     for feed, rows in star.staging(spark, sf, *_FEEDS).items():
         # Archives follow the order of the rows, as arrival decides between copies of a key.
         many = "*" in FEED_GLOBS[feed]
-        rows = rows.repartitionByRange(3 if many else 1, *ARRIVAL).sortWithinPartitions(*ARRIVAL)
+        rows = rows.repartitionByRange(_archives(rows, 3) if many else 1, *ARRIVAL).sortWithinPartitions(*ARRIVAL)
         name, text = _ARCHIVES[feed], rows.drop(*ARRIVAL)
         if feed == "regime":
             write_archives(text, folder, name, sep=",", charset="utf8", header=True, members=2)
@@ -1081,7 +1094,7 @@ def missing_feed(spark, sf):
 @query("h2_concatenated_archives", _sql("stg_socios") + """
 SELECT cnpj_basico, count(*) AS linhas FROM stg_socios GROUP BY 1""")
 def concatenated_archives(spark, sf):
-    rows = star.staging(spark, sf, "socios")["socios"].drop(*ARRIVAL).repartition(4, "cnpj_basico")
+    rows = _dealt(star.staging(spark, sf, "socios")["socios"].drop(*ARRIVAL), 4, "cnpj_basico")
     folder = write_archives(rows, work_path(spark, "h2"), "Socios", members=2)
     return feeds.read_feed(spark, folder, "socios").groupBy("cnpj_basico").agg(
         F.count(F.lit(1)).alias("linhas"))
@@ -1132,7 +1145,7 @@ SELECT r.linhas, r.empresas, r.ano_min, r.ano_max, e.cadastradas FROM
 def regime_refresh(spark, sf):
     root = work_path(spark, "b5")
     _publish(spark, sf, root, "empresa", "regime_tributario")
-    rows = star.staging(spark, sf, "regime")["regime"].drop(*ARRIVAL).repartition(2, "cnpj")
+    rows = _dealt(star.staging(spark, sf, "regime")["regime"].drop(*ARRIVAL), 2, "cnpj")
     folder = write_archives(rows, work_path(spark, "b5in"), "entidades-", sep=",", charset="utf8", header=True)
     summary = load.load_regime(spark, folder, root)
     companies = publish.read_table(spark, root, "empresa").count()

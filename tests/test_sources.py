@@ -4,6 +4,7 @@ import zipfile
 import pytest
 from pyspark.sql.types import StringType, StructField, StructType
 
+from fixtures.archives import write_archives
 from regiscope.schemas import DOMAINS, STAGING_SCHEMAS
 from regiscope.sources import feeds, zipcsv
 from regiscope.sources.domains import domain_dim
@@ -119,6 +120,25 @@ def test_missing_feed_is_empty(spark, tmp_path):
     assert df.columns[:-2] == STAGING_SCHEMAS["socios"].fieldNames()
 
 
+def test_archives_written_batch_by_batch(spark, tmp_path):
+    rows_ = [(str(i), f'é;"{i}"' if i % 3 else None, "") for i in range(100)]
+    df = spark.createDataFrame(rows_, "a string, b string, c string").coalesce(1)
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        write_archives(df, str(tmp_path), "Feed", header=True, members=3)
+        write_archives(df, str(tmp_path / "plain"), "Feed", zipped=False)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    with zipfile.ZipFile(tmp_path / "Feed000000.zip") as z:
+        assert [z.read(n).decode("iso8859-15").count("\n") for n in z.namelist()] == [4, 4, 95]
+        assert z.testzip() is None
+    schema = StructType([StructField(c, StringType()) for c in "abc"])
+    for got in (feeds.read_zip_csv(spark, f"{tmp_path}/Feed*.zip", schema, header=True),
+                feeds.read_registry_csv(spark, str(tmp_path / "plain"), schema)):
+        assert sorted(tuple(r)[:3] for r in got.select("a", "b", "c").collect()) == sorted(rows_)
+
+
 def test_lookup(spark, tmp_path):
     archive(tmp_path / "Paises.zip", **{"p.csv": '"105";"BRASIL"\n"013";"AFEGANISTÃO"\n'.encode("iso8859-15")})
     got = feeds.read_lookup(spark, f"{tmp_path}/Paises.zip").collect()
