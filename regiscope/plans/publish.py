@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from regiscope.operators.dedup import with_surrogate_id
+from regiscope.operators.documents import CHILD_TABLES, HOT_TABLE
 from regiscope.session import remove
 
 _LOG_SCHEMA = StructType([
@@ -117,9 +118,15 @@ def commit(spark: SparkSession, root: str, paths: dict[str, str], month: str | N
 
 def publish(df: DataFrame, root: str, table: str, partition_by: str | None = None,
             cluster_by: Sequence[str] = (), bloom: Sequence[str] = (), month: str | None = None) -> str:
-    """Replace one table by a full snapshot; running it again gives the same content."""
+    """Replace one table by a full snapshot; running it again gives the same content.
+
+    The list of hot companies was counted on the children published with it. When one of them is
+    replaced the list goes, and documents count anew.
+    """
+    spark = df.sparkSession
     path = write_version(df, root, table, partition_by, cluster_by, bloom)
-    commit(df.sparkSession, root, {table: path}, month)
+    stale = table in CHILD_TABLES.values() and HOT_TABLE in current_versions(spark, root)
+    commit(spark, root, {table: path}, month, [HOT_TABLE] if stale else [])
     return path
 
 

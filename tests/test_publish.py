@@ -197,6 +197,18 @@ def test_regime_alone(spark, tmp_path):
     assert changed == {"regime_tributario", documents.HOT_TABLE}
 
 
+def test_a_replaced_child_retires_the_hot_list(spark, tmp_path):
+    root = str(tmp_path / "out")
+    load.load_registry(spark, str(snapshot(tmp_path / "in", companies=6)), root)
+    t = publish.tables(spark, root)
+    publish.publish(t["empresa"], root, "empresa")
+    assert documents.HOT_TABLE in publish.current_versions(spark, root)
+    publish.publish(t["socio"].unionByName(t["socio"]), root, "socio")
+    now = publish.tables(spark, root)
+    assert documents.HOT_TABLE not in now
+    assert [len(r.qsa) for r in documents.company_documents(now).collect()] == [4] * 6
+
+
 def test_sample_load_is_closed(spark, tmp_path):
     root = str(tmp_path / "out")
     load.load_registry(spark, str(snapshot(tmp_path / "a")), root, sample=7)
