@@ -146,7 +146,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = S
     for b, n in df.items():
         idf[b] = np.log((total + 1) / (n + 1)) + 1
 
-    counts = {r.l: r["count"] for r in rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(sample).collect()}
+    texts = rows.groupBy("l").agg(F.approx_count_distinct(F.xxhash64("t")).alias("n"))
+    counts = {r.l: max(1, r.n) for r in texts.orderBy(F.desc("n"), "l").limit(sample).collect()}
     each = max(1, sample // max(1, len(counts)))
     draw = F.pmod(F.xxhash64("t", "l"), F.lit(1 << 30)) / float(1 << 30)
     shares = docs.sparkSession.createDataFrame([(name, min(1.0, 1.2 * each / n)) for name, n in counts.items()], "l string, share double")
