@@ -6,7 +6,11 @@ nearest pivot. A vector is also sent to another cell p, of a smaller number than
 the triangle inequality rules out that a partner lies there:
 
 - d(v, p) > R(p) + r, where R(p) is the largest distance of a vector of the cell to its pivot;
-- (d(v, p)^2 - d(v, c)^2) / (2 d(p, c)) > r, v's distance to the plane between p and its own pivot c.
+- v (c - p) > r d(p, c), that is, v lies further than r from the plane between p and its own pivot c.
+
+Products of unit vectors are exact to some units of rounding (``_rounding``), so squared distances
+are, but distances near zero only to the root of that. Both tests leave room for it; between two
+pivots of nearly one direction the second rules out nothing.
 
 So each linked pair meets in exactly one cell, and cells are joined independently. A cell with
 more than ``cell_rows`` rows is cut into blocks that meet pairwise, in tasks of their own. Every
@@ -86,6 +90,11 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * (x @ pivots.T), 0))
 
 
+def _rounding(dim: int) -> float:
+    """Bound of the error of a squared distance of unit vectors of ``dim`` components."""
+    return 8 * (dim + 4) * float(np.finfo(np.float64).eps)
+
+
 def _homes(rows: DataFrame, pivots) -> DataFrame:
     """Rows with the number of their cell and their distance to its pivot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,8 +136,10 @@ def _replicas(homes: DataFrame, pivots, radii, r: float) -> DataFrame:
                 mine = d[np.arange(len(at)), home][:, None]
                 reach = np.array([radii.value.get((batch.column(1)[int(at[0])].as_py(), p.shape[1], k), -1.0)
                                   for k in range(len(p))])
-                between = np.maximum(_distances(p, p)[home], 1e-12)
-                near = (d <= reach + r + _SLACK) & ((d * d - mine * mine) / (2 * between) <= r + _SLACK)
+                off = _rounding(p.shape[1])
+                between = np.sqrt(_distances(p, p)[home] ** 2 + off)  # at least the true distance
+                near = d <= reach + r + _SLACK + 2 * math.sqrt(off)
+                near &= (d * d - mine * mine) / 2 <= (r + _SLACK) * between + off
                 near &= (reach >= 0) & (np.arange(len(p))[None, :] < home[:, None])
                 i, k = np.nonzero(near)
                 rows.append(at[i]), cells.append(k.astype(np.int32)), own.append(np.zeros(len(i), bool))

@@ -200,6 +200,18 @@ def test_embeddings_by_pivots_and_blocks(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_pivots_of_one_direction(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=64).astype(np.float32)
+    copies = [base * np.float32(k) for k in rng.uniform(0.2, 5, 300)]
+    x = np.array(copies + [base + rng.normal(size=64).astype(np.float32) * np.float32(0.12) for _ in range(300)])
+    unit = embedding_dedup._unit(x.astype(np.float64))
+    near = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df, cell=50).collect()}
+    assert near.min() < 599 and got == dict(enumerate(near.tolist()))
+
+
 # --- SimHash
 
 
