@@ -67,6 +67,18 @@ class Forest:
             a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
             np.minimum.at(self.parent, np.maximum(ra, rb), np.minimum(ra, rb))
 
+    def span(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Join many pairs at once; places of the pairs that joined two trees, a spanning forest of them."""
+        at, used = np.arange(len(a)), [np.zeros(0, np.int64)]
+        while len(at):
+            ra, rb = self.roots(a[at]), self.roots(b[at])
+            apart = ra != rb
+            at, ra, rb = at[apart], ra[apart], rb[apart]
+            high, first = np.unique(np.maximum(ra, rb), return_index=True)
+            self.parent[high] = np.minimum(ra, rb)[first]
+            used.append(at[first])
+        return np.concatenate(used)
+
     def roots(self, x: np.ndarray) -> np.ndarray:
         r = self.parent[x]
         while True:

@@ -12,6 +12,7 @@ cut further into pairs of child nodes (``_split``), with the bits spent so far.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,10 @@ SEED = 42
 SUBTREE = 20_000
 # Bits by which a large subtree is cut.
 STEP = 6
+# Candidates of a row that are listed for a test at first, and times as many in each further round.
+MOST = 128
+# Pairs of rows compared at a time.
+PAIRS = 1 << 19
 # Node pairs held at a time.
 FRONT = 200_000
 
@@ -154,7 +159,7 @@ def hamming_links(values: DataFrame, budget: int = 3, subtree: int = SUBTREE) ->
                       for b in range(budget + 1)))
     rows = values.select("fp").filter("fp is not null").distinct().select(
         F.col("fp").alias("id"), F.explode(tries).alias("t")).select("id", "t.*")
-    return _trie_links(rows, width, BITS, budget, [], 0, subtree)
+    return _trie_links(rows, width, BITS, budget, subtree)
 
 
 def _rotate(x: Column, by: int, bits: int = BITS) -> Column:
@@ -165,12 +170,36 @@ def _rotate(x: Column, by: int, bits: int = BITS) -> Column:
     return turned if bits == BITS else turned.bitwiseAND(F.lit(-1 << (BITS - bits)))
 
 
-def _trie_links(rows: DataFrame, depth: int, bits: int, budget: int, wide: list[str], total: int,
-                subtree: int) -> DataFrame:
-    """Links among rows ``(id, rot, turned, *wide)``: one trie per ``rot``, the subtrees at ``depth``
-    joined independently. With ``wide`` columns a pair also needs at most ``total`` differing bits
-    in them. Each task hands on a spanning forest of the links it finds, so that a crowded subtree
-    gives a row per value and not one per pair: components are those of all links.
+@dataclass(frozen=True)
+class Wide:
+    """What a pair of wide fingerprints is tested for: at most ``total`` differing bits in ``names``, and sizes
+    ``n`` of sets that can be as similar as ``similarity``. ``most``: links to list for a row, see ``_listed``."""
+
+    names: list[str]
+    total: int
+    similarity: float
+    most: int = 0
+
+    @property
+    def columns(self) -> list[str]:
+        return [*self.names, "n", *(["group"] if self.most else [])]
+
+    def test(self, rows: pd.DataFrame):
+        bits, n = rows[self.names].to_numpy().view(np.uint64), rows["n"].to_numpy()
+
+        def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            alike = np.minimum(n[a], n[b]) >= self.similarity * np.maximum(n[a], n[b]) - 1e-6
+            return alike & (np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1) <= self.total)
+
+        return near
+
+
+def _trie_links(rows: DataFrame, depth: int, bits: int, budget: int, subtree: int, wide: Wide | None = None) -> DataFrame:
+    """Links among rows ``(id, rot, turned, ...)``: one trie per ``rot``, the subtrees at ``depth``
+    joined independently. With ``wide`` a pair must also pass its test of the further columns.
+    Each task hands on a spanning forest of the links it finds, so that a crowded subtree
+    gives a row per value and not one per pair: components are those of all links. The links of a
+    ``wide`` forest are links found; with ``wide.most`` they are listed instead (``_listed``).
     """
     top = F.shiftrightunsigned("turned", BITS - depth).cast("string")
     rows = rows.withColumn("node", top).withColumn("side", F.lit(0)).withColumn("spent", F.lit(0))
@@ -188,9 +217,9 @@ def _trie_links(rows: DataFrame, depth: int, bits: int, budget: int, wide: list[
         rows = rows.unionByName(more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _forests(batches, budget, wide, total)
+        yield from _forests(batches, budget, wide)
 
-    placed = rows.select("rot", "node", "side", "turned", "id", *wide).repartition("rot", "node")
+    placed = rows.select("rot", "node", "side", "turned", "id", *(wide.columns if wide else [])).repartition("rot", "node")
     return placed.sortWithinPartitions("rot", "node", "side").mapInArrow(run, "a long, b long")
 
 
@@ -215,7 +244,7 @@ def _split(rows: DataFrame, depth: int, budget: int) -> DataFrame:
     return out.withColumn("node", path).withColumn("side", side).withColumn("spent", spent).select(*rows.columns)
 
 
-def _forests(batches: Iterator[pa.RecordBatch], budget: int, wide: list[str], total: int) -> Iterator[pa.RecordBatch]:
+def _forests(batches: Iterator[pa.RecordBatch], budget: int, wide: Wide | None) -> Iterator[pa.RecordBatch]:
     """Walk the subtrees of a partition, some batches' worth at a time, each subtree whole."""
     held: list[pd.DataFrame] = []
     size = 0
@@ -227,20 +256,20 @@ def _forests(batches: Iterator[pa.RecordBatch], budget: int, wide: list[str], to
         rows = pd.concat(held, ignore_index=True)
         last = (rows["rot"] == rows["rot"].iloc[-1]) & (rows["node"] == rows["node"].iloc[-1])
         if not last.all():
-            yield _forest(rows[~last], budget, wide, total)
+            yield _forest(rows[~last], budget, wide)
         held = [rows[last]]
         size = len(held[0])
     if held:
-        yield _forest(pd.concat(held, ignore_index=True), budget, wide, total)
+        yield _forest(pd.concat(held, ignore_index=True), budget, wide)
 
 
-def _forest(rows: pd.DataFrame, budget: int, wide: list[str], total: int) -> pa.RecordBatch:
+def _forest(rows: pd.DataFrame, budget: int, wide: Wide | None) -> pa.RecordBatch:
     turned, ids = rows["turned"].to_numpy().view(np.uint64), rows["id"].to_numpy()
     group = pd.factorize(rows["rot"].astype(str) + ":" + rows["node"])[0]
     side = rows["side"].to_numpy()
     order = np.lexsort((turned, side, group))
     turned, ids, group, side = turned[order], ids[order], group[order], side[order]
-    bits = rows[wide].to_numpy()[order].view(np.uint64) if wide else None
+    near = wide.test(rows.iloc[order]) if wide else None
     edge = np.flatnonzero(np.r_[True, (np.diff(group) != 0) | (np.diff(side) != 0)])
     end = np.r_[edge[1:], len(ids)]
     g, s = group[edge], side[edge]
@@ -250,26 +279,77 @@ def _forest(rows: pd.DataFrame, budget: int, wide: list[str], total: int) -> pa.
     _, i, j = np.intersect1d(g[one], g[two], assume_unique=True, return_indices=True)
     one, two = one[i], two[j]
     crossed = np.stack([edge[one], end[one], edge[two], end[two]], axis=1)
-    forest = Forest(len(ids))
+    found = walk(turned, np.concatenate([alone, crossed]), budget)
+    if wide and wide.most:
+        return _listed(found, near, ids, rows["group"].to_numpy()[order], wide.most)
+    forest, kept = Forest(len(ids)), []
 
     def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        near = np.ones(len(a), bool)
+        linked = near(a, b) if wide else np.ones(len(a), bool)
+        a, b = a[linked], b[linked]
         if wide:
-            near = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1) <= total
-        forest.union(a[near], b[near])
-        return near
-
-    for found in walk(turned, np.concatenate([alone, crossed]), budget):
-        single = (found[:, 1] - found[:, 0] == 1) & (found[:, 3] - found[:, 2] == 1)
-        join(found[single, 0], found[single, 2])
-        for l1, h1, l2, h2 in found[~single].tolist():
+            used = forest.span(a, b)
+            kept.append(np.stack([a[used], b[used]], axis=1))
+        else:
+            forest.union(a, b)
+        return linked
+
+    for leaves in found:
+        single = (leaves[:, 1] - leaves[:, 0] == 1) & (leaves[:, 3] - leaves[:, 2] == 1)
+        join(leaves[single, 0], leaves[single, 2])
+        for l1, h1, l2, h2 in leaves[~single].tolist():
             _leaders(np.arange(l1, h1), np.arange(l2, h2), join)
+    if wide:
+        used = np.concatenate([np.zeros((0, 2), np.int64), *kept])
+        return pa.RecordBatch.from_arrays([pa.array(ids[used[:, 0]]), pa.array(ids[used[:, 1]])], names=["a", "b"])
     at = np.arange(len(ids))
     root = forest.roots(at)
     linked = root != at
     return pa.RecordBatch.from_arrays([pa.array(ids[root[linked]]), pa.array(ids[linked])], names=["a", "b"])
 
 
+def _listed(found: Iterator[np.ndarray], near, ids: np.ndarray, group: np.ndarray, most: int) -> pa.RecordBatch:
+    """The links found between rows of different groups, ``most`` for a row; where a row has more, a row
+    with a NULL end says so."""
+    given, kept, more = np.zeros(len(ids), np.int64), [], False
+
+    def offer(a: np.ndarray, b: np.ndarray) -> None:
+        nonlocal more
+        apart = group[a] != group[b]
+        a, b = a[apart], b[apart]
+        linked = near(a, b)
+        a, b = a[linked], b[linked]
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        rank = np.arange(len(a)) - np.searchsorted(a, a) + given[a]
+        np.add.at(given, a, 1)
+        more |= bool((rank >= most).any())
+        kept.append(np.stack([a[rank < most], b[rank < most]], axis=1))
+
+    for leaves in found:
+        for a, b in _crossed(leaves):
+            offer(a, b)
+    pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *kept]), axis=0)
+    a, b = ids[pairs[:, 0]].tolist(), ids[pairs[:, 1]].tolist()
+    if more:
+        a.append(int(ids[0])), b.append(None)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _crossed(leaves: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of the rows of pairs of leaves, those of a leaf with itself once, some at a time."""
+    l1, h1, l2, h2 = leaves.T
+    end = np.cumsum((h1 - l1) * (h2 - l2))
+    for low in range(0, int(end[-1]) if len(end) else 0, PAIRS):
+        at = np.arange(low, min(low + PAIRS, int(end[-1])))
+        leaf = np.searchsorted(end, at, side="right")
+        at -= np.r_[0, end][leaf]
+        wide = (h2 - l2)[leaf]
+        a, b = l1[leaf] + at // wide, l2[leaf] + at % wide
+        once = (l1 != l2)[leaf] | (a < b)
+        yield a[once], b[once]
+
+
 def _leaders(a: np.ndarray, b: np.ndarray, join) -> None:
     """Join the rows of two leaves (or of one with itself) by leaders: the first row left is compared
     with all, and what it is joined to is done. Rows of a crowd are so compared with few others.
@@ -302,50 +382,123 @@ def simhash_groups(docs: DataFrame, words: int = 3, budget: int = 3, text: str =
 
 
 def wide_fingerprints(docs: DataFrame, words: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(key, w0..w3, id)`` of every row: four 64-bit fingerprints from differently mixed hashes of the
-    same shingles, and a hash of the four."""
+    """``(key, w0..w3, n, id)`` of every row: four 64-bit fingerprints from differently mixed hashes of the
+    text's distinct shingles, their number and a hash of the set."""
     names = [f"w{k}" for k in range(WORDS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.zeros((batch.num_rows, WORDS), np.uint64)
+            out = np.zeros((batch.num_rows, WORDS + 2), np.uint64)
             for i, t in enumerate(batch.column(1)):
-                hashes = shingle_hashes(t.as_py(), words)
+                hashes = np.unique(shingle_hashes(t.as_py(), words))
                 for k in range(WORDS):
                     out[i, k] = majority(mixed(hashes + np.uint64(k)) if k else hashes)
+                out[i, WORDS] = len(hashes)
+                out[i, WORDS + 1] = _set_id(hashes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(out[:, k].view(np.int64)) for k in range(WORDS))], names=[key, *names])
+                [batch.column(0), *(pa.array(column.view(np.int64)) for column in out.T.copy())], names=[key, *names, "n", "id"])
 
     rows = docs.select(F.col(key), F.col(text).cast("binary").alias("_text"))
     kind = rows.schema[key].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{n} long" for n in names)).withColumn("id", F.xxhash64(*names))
+    return rows.mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{n} long" for n in [*names, "n", "id"]))
+
+
+def _set_id(hashes: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
+
+
+def shingle_sets(docs: DataFrame, firsts: DataFrame, words: int, text: str, key: str) -> DataFrame:
+    """``(id, hashes)``: the sorted distinct shingle hashes of the rows with one of the keys ``first``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), words)) for t in batch.column(0)]
+            ids = np.array([_set_id(s) for s in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "hashes"])
+
+    rows = docs.join(firsts, F.col(key).eqNullSafe(F.col("_first")), "left_semi").select(F.col(text).cast("binary").alias("_text"))
+    return rows.mapInArrow(run, "id long, hashes binary").dropDuplicates(["id"])
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets have a Jaccard similarity of at least ``similarity``, by their sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = np.zeros(batch.num_rows, bool)
+            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                hit[i] = both >= similarity * (len(x) + len(y) - both) - 1e-9
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(hit)) for k in (0, 1)], names=["a", "b"])
+
+    left = sets.select(F.col("id").alias("_a"), F.col("hashes").alias("x"))
+    right = sets.select(F.col("id").alias("_b"), F.col("hashes").alias("y"))
+    rows = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
+    return rows.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, text: str = "text", key: str = "doc_id",
                 subtree: int = SUBTREE) -> DataFrame:
-    """``(key, component_id)`` of every row, grouped by word-shingle similarity estimated on 256 bits.
+    """``(key, component_id)`` of every row, grouped by the similarity of their sets of word shingles.
 
     Shingle sets of Jaccard similarity s differ in an expected share acos(2s / (1 + s)) / pi of their
-    bits. Texts are linked when their 256 bits differ in no more than that share, plus two
+    bits. Texts are candidates when their 256 bits differ in no more than that share, plus two
     standard deviations of the estimate, so that pairs at the threshold are found. The bits are
     cut into eight slices of 32, each joined by tries with a budget of 3 bits; a pair at 0.8 comes
     within it in some slice with a probability of about 0.92, one at 0.85 of 0.98, equal texts always.
+    Only candidates whose sets are as similar as that are linked (``_confirmed``).
     NULL, empty and blank texts are all equal; a NULL key is grouped but names no group.
     """
     share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
     total = int(share * WORDS * BITS + 2 * np.sqrt(share * (1 - share) * WORDS * BITS))
-    names = [f"w{k}" for k in range(WORDS)]
+    wide = Wide([f"w{k}" for k in range(WORDS)], total, similarity)
     prints = written(wide_fingerprints(docs, words, text, key), "wide-fingerprints")
-    classes = written(prints.groupBy("id", *names).agg(F.min(key).alias("first")), "classes")
-    half = F.lit(-1 << 32)
-    tries = []
-    for k in range(2 * WORDS):
-        slice_ = (F.shiftleft(names[k // 2], 32) if k % 2 else F.col(names[k // 2]).bitwiseAND(half))
-        tries += [F.struct(F.lit(4 * k + b).alias("rot"), _rotate(slice_, 8 * b, 32).alias("turned")) for b in range(4)]
-    rows = classes.select("id", *names, F.explode(F.array(*tries)).alias("t")).select("id", *names, "t.*")
-    links = components(_trie_links(rows, 8, 32, 3, names, total, subtree))
-    named = classes.join(links, F.col("id") == F.col("node"), "left").select(
+    classes = written(prints.groupBy("id", "n", *wide.names).agg(F.min(key).alias("first")), "classes")
+    found = _confirmed(docs, classes, wide, words, text, key, subtree)
+    named = classes.join(components(found), F.col("id") == F.col("node"), "left").select(
         F.col("id").alias("_id"), "first", F.coalesce("component", "id").alias("group"))
     lowest = named.groupBy("group").agg(F.min("first").alias("component_id"))
     members = named.join(lowest, "group").select("_id", "component_id")
     return prints.join(members, F.col("id") == F.col("_id"), "left").select(key, "component_id")
+
+
+def _confirmed(docs: DataFrame, classes: DataFrame, wide: Wide, words: int, text: str, key: str, subtree: int) -> DataFrame:
+    """Links ``(a, b)`` with the components of all candidates whose sets are similar enough.
+
+    First a spanning forest of the candidates is tested. Where a link of it fails, the candidates
+    between the groups so far are listed and tested, ``MOST`` for a row and then ever more, until
+    none is left out. What is one group already is not compared again.
+    """
+    def candidates(classes: DataFrame, wide: Wide) -> DataFrame:
+        half = F.lit(-1 << 32)
+        tries = []
+        for k in range(2 * WORDS):
+            slice_ = (F.shiftleft(wide.names[k // 2], 32) if k % 2 else F.col(wide.names[k // 2]).bitwiseAND(half))
+            tries += [F.struct(F.lit(4 * k + b).alias("rot"), _rotate(slice_, 8 * b, 32).alias("turned")) for b in range(4)]
+        rows = classes.select("id", *wide.columns, F.explode(F.array(*tries)).alias("t")).select("id", *wide.columns, "t.*")
+        out = written(_trie_links(rows, 8, 32, 3, subtree, wide), "candidates")
+        return out.select(F.least("a", "b").alias("a"), F.when(F.col("b").isNotNull(), F.greatest("a", "b")).alias("b"))
+
+    pairs = written(candidates(classes, wide).distinct(), "pairs")
+    ends = pairs.select(F.col("a").alias("_end")).unionByName(pairs.select(F.col("b").alias("_end"))).distinct()
+    touched = written(classes.join(ends, F.col("id") == F.col("_end"), "left_semi"), "touched")
+    sets = written(shingle_sets(docs, touched.select(F.col("first").alias("_first")), words, text, key), "shingle-sets")
+    found = written(_similar(pairs, sets, wide.similarity), "similar")
+    if found.count() == pairs.count():
+        return found
+    crowds = components(pairs).withColumnRenamed("component", "crowd")
+    most, tested = MOST, pairs
+    while True:
+        groups = components(found).select(F.col("node").alias("_node"), "component")
+        groups = crowds.join(groups, F.col("node") == F.col("_node"), "left").select(
+            "node", "crowd", F.coalesce("component", "node").alias("group"))
+        groups = written(groups, "groups")
+        open_ = groups.groupBy("crowd").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high")
+        left = written(touched.join(groups.join(open_, "crowd", "left_semi").select("node", "group"),
+                                    F.col("id") == F.col("node")), "left")
+        listed = candidates(left, replace(wide, most=most))
+        pairs = written(listed.filter("b is not null").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = written(found.unionByName(_similar(pairs, sets, wide.similarity)), "similar")
+        if listed.filter("b is null").isEmpty():
+            return found
+        tested = tested.unionByName(pairs)
+        most *= MOST

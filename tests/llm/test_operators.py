@@ -277,6 +277,25 @@ def test_near_copies(spark, odd, empty):
     assert simhash.simhash_groups(odd).count() == odd.count() and simhash.simhash_groups(empty).count() == 0
 
 
+def test_near_copies_by_sets_of_shingles(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=7))
+    text = lambda n: [word() for _ in range(n)]
+    line, base = text(7), text(400)
+    rows = [(1, text(200) + line * 30), (2, text(200) + line * 30)]  # nothing alike but one repeated line
+    rows += [(3, base + line), (4, base + line * 60)]  # alike but for the repeats of one line
+    for k in range(40):  # around the limit: some candidates by bits are no links
+        kept = text(160)
+        rows += [(100 + 2 * k, kept + text(10 + k // 2)), (101 + 2 * k, kept + text(10 + k // 2))]
+    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, w in rows}
+    like = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()}
+    assert got[1] == 1 and got[2] == 2 and got[4] == 3
+    assert all(like[a, d] >= 0.8 for d, a in got.items() if a != d)
+    assert all(got[b] == got[a] for (a, b), s in like.items() if s >= 0.88)
+
+
 # --- WARC
 
 
