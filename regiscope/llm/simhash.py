@@ -35,7 +35,9 @@ STEP = 6
 # Candidates of a row that are listed for a test at first, and times as many in each further round.
 MOST = 128
 # Pairs of rows compared at a time.
-PAIRS = 1 << 19
+PAIRS = 1 << 16
+# Pairs of rows of two leaves up to which all are compared.
+FEW = 4_096
 # Node pairs held at a time.
 FRONT = 200_000
 
@@ -295,10 +297,12 @@ def _forest(rows: pd.DataFrame, budget: int, wide: Wide | None) -> pa.RecordBatc
         return linked
 
     for leaves in found:
-        single = (leaves[:, 1] - leaves[:, 0] == 1) & (leaves[:, 3] - leaves[:, 2] == 1)
-        join(leaves[single, 0], leaves[single, 2])
-        for l1, h1, l2, h2 in leaves[~single].tolist():
-            _leaders(np.arange(l1, h1), np.arange(l2, h2), join)
+        few = (leaves[:, 1] - leaves[:, 0]) * (leaves[:, 3] - leaves[:, 2]) <= FEW
+        for a, b in _crossed(leaves[few]):
+            join(a, b)
+        for l1, h1, l2, h2 in leaves[~few].tolist():
+            rest = np.unique(np.concatenate([np.arange(l1, h1), np.arange(l2, h2)]))
+            _grown(rest, join, forest.roots)
     if wide:
         used = np.concatenate([np.zeros((0, 2), np.int64), *kept])
         return pa.RecordBatch.from_arrays([pa.array(ids[used[:, 0]]), pa.array(ids[used[:, 1]])], names=["a", "b"])
@@ -350,14 +354,17 @@ def _crossed(leaves: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield a[once], b[once]
 
 
-def _leaders(a: np.ndarray, b: np.ndarray, join) -> None:
-    """Join the rows of two leaves (or of one with itself) by leaders: the first row left is compared
-    with all, and what it is joined to is done. Rows of a crowd are so compared with few others.
+def _grown(rest: np.ndarray, join, roots) -> None:
+    """Join rows by all links between them, one component at a time: every row of it is compared with all
+    rows still outside, until none is. Rows of a crowd are so compared with few others.
     """
-    rest = np.unique(np.concatenate([a, b]))
-    while len(rest) > 1:
-        first, rest = rest[0], rest[1:]
-        rest = rest[~join(np.full(len(rest), first), rest)]
+    while len(rest) > 1 and (roots(rest) != roots(rest[:1])).any():
+        front, rest = rest[:1], rest[1:]
+        while len(front) and len(rest):
+            size = max(1, PAIRS // len(rest))
+            tile, front = front[:size], front[size:]
+            hit = join(np.repeat(tile, len(rest)), np.tile(rest, len(tile))).reshape(len(tile), -1).any(axis=0)
+            front, rest = np.concatenate([front, rest[hit]]), rest[~hit]
 
 
 def simhash_groups(docs: DataFrame, words: int = 3, budget: int = 3, text: str = "text",
@@ -410,7 +417,7 @@ def _set_id(hashes: np.ndarray) -> int:
 def shingle_sets(docs: DataFrame, firsts: DataFrame, words: int, text: str, key: str) -> DataFrame:
     """``(id, hashes)``: the sorted distinct shingle hashes of the rows with one of the keys ``first``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             sets = [np.unique(shingle_hashes(t.as_py(), words)) for t in batch.column(0)]
             ids = np.array([_set_id(s) for s in sets], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "hashes"])

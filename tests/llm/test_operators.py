@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -296,6 +297,31 @@ def test_near_copies_by_sets_of_shingles(spark):
     assert all(got[b] == got[a] for (a, b), s in like.items() if s >= 0.88)
 
 
+def test_rows_joined_through_others():
+    # In one leaf 0 is linked to 1, 1 to 2 and so on, but 0 to no other; 1 000 lies apart.
+    at = np.append(np.arange(0, 100), 1000)
+    rows = pd.DataFrame({"rot": 0, "node": "0", "side": 0, "turned": 0, "id": at, "n": 1, "w0": [
+        ((1 << int(i) % 50) - 1) if i < 50 else 0 for i in at], "w1": [((1 << int(i) - 50) - 1) if 50 <= i < 100 else 0 for i in at],
+        "w2": [int(50 <= i < 100) * ((1 << 50) - 1) for i in at], "w3": [-1 if i == 1000 else 0 for i in at]})
+    bits = rows[["w0", "w1", "w2", "w3"]].to_numpy().view(np.uint64)
+    links = np.bitwise_count(bits[:, None] ^ bits[None]).sum(axis=2) <= 3
+    want = connected(links)
+    out = simhash._forest(rows, 3, simhash.Wide(["w0", "w1", "w2", "w3"], 3, 0.8)).to_pydict()
+    place = {int(v): i for i, v in enumerate(at)}
+    tree = np.zeros_like(links)
+    for a, b in zip(out["a"], out["b"]):
+        assert links[place[a], place[b]]
+        tree[place[a], place[b]] = tree[place[b], place[a]] = True
+    assert connected(tree) == want and 1 < len(set(want)) < len(at)
+
+
+def connected(near):
+    comp = list(range(len(near)))
+    for _ in comp:
+        comp = [min([comp[i], *(comp[j] for j in np.flatnonzero(near[i]))]) for i in range(len(near))]
+    return comp
+
+
 # --- WARC
 
 
