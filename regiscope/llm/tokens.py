@@ -1,10 +1,11 @@
 """Token ids of whole texts, by the tokenizers library, remembered per word.
 
 Both vocabularies used here cut a text into pieces that do not depend on what stands beyond the
-white space around them, so the ids of a text are those of its words in a row. Each distinct
-word is encoded once per worker and kept in a table of bounded size; words of letters go to the
-library's BPE model directly, whatever else through the whole tokenizer. A tokenizer of another
-make is used on whole texts.
+white space around them, so the ids of a text are those of its words in a row. A text is cut at
+single blanks only; a run of blanks or line breaks stays with what is around it and goes through
+the whole tokenizer. Each distinct word is encoded once per worker and kept in tables whose bytes
+are bounded, all of a worker's together; words of letters go to the library's BPE model directly,
+whatever else through the whole tokenizer. A tokenizer of another make is used on whole texts.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import json
 import os
 import re
 import sys
+import unicodedata
 from array import array
 from collections.abc import Iterator
 from string import punctuation
@@ -23,13 +25,15 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-# Words remembered by a worker in each of two tables; when the newer is full, it takes the place
-# of the older, which is dropped.
-REMEMBERED = 200_000
+# Bytes of words and ids that a worker remembers, in all its tables together. Each encoder has
+# two: when the newer ones are half of it, they take the place of the older, which are dropped.
+REMEMBERED = 96 << 20
+# Longest word that is remembered.
+LONGEST = 200
 # Letters whose lower case and composed form depend on nothing but themselves.
 _LATIN = re.compile("[A-Za-zªµºÀ-ÖØ-öø-į]+")
 # Bytes of text that are encoded at a time.
-CHUNK = 12 << 20
+CHUNK = 4 << 20
 _DOUBLE = re.compile(r"\s\s|\A\s|\s\Z")
 # The same for Arrow, whose \s is ASCII, and the mark put before a text's first word.
 _MARK = "\x01"
@@ -49,6 +53,23 @@ def _byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
+def _unstable() -> str:
+    """Letters whose composed lower case is not letters alone: punctuation behind them joins their marks.
+
+    Found by the rule over the planes that hold letters with a canonical decomposition.
+    """
+    found = []
+    for code in (*range(0x80, 0xD800), *range(0xE000, 0x10000), *range(0x1D000, 0x1D400), *range(0x11000, 0x12000)):
+        c = chr(code)
+        if c.isalpha() and not unicodedata.normalize("NFC", c).lower().isalpha():
+            found.append(c)
+    return "".join(found)
+
+
+_UNSTABLE_LETTERS = _unstable()
+_UNSTABLE = re.compile(f"[{_UNSTABLE_LETTERS}]")
+
+
 class Encoder(dict):
     """``encode(text)`` gives the ids as bytes, ``width`` little-endian bytes each.
 
@@ -80,10 +101,15 @@ class Encoder(dict):
             self.kind = "words"
         # Words behind a space, without it.
         self.plain = self.spaced = self
+        Encoder.made.append(self)
         if self.kind == "spaced" and not lead:
             self.spaced = Encoder(path, " ")
             self.spaced.plain = self
 
+    # The encoders of this worker, and the bytes in their newer tables.
+    made: list[Encoder] = []
+    held = 0
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
@@ -118,7 +144,9 @@ class Encoder(dict):
     def _chunk(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         odd = np.zeros(len(texts), bool)
         if self.kind == "words":
-            lines = self._apart(pc.replace_substring(texts, "\n", " "), "")
+            odd = pc.match_substring_regex(texts, f"[{_UNSTABLE_LETTERS}]").to_numpy(zero_copy_only=False)
+            kept = pc.if_else(pa.array(odd), "", texts)
+            lines = self._apart(pc.replace_substring(kept, "\n", " "), "")
         elif self.kind == "spaced":
             odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
             odd |= pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
@@ -160,22 +188,29 @@ class Encoder(dict):
                 return self._lines(self.plain, word[1:])
             if word[:1] == _STOP and word != _STOP:
                 return self._lines(self.plain, word[1:])
-            if "\n" in word:
+            if "\n" in word and not _DOUBLE.search(word):
                 return self._lines(self, word)
         if ids is None:
             core = word.rstrip(punctuation)
-            if len(core) < len(word) and core.isalpha():
+            if len(core) < len(word) and core.isalpha() and not _UNSTABLE.search(core):
                 ids = self[core] + self.plain[word[len(core):]]
             else:
                 ids = self._pack(self._ids(self.lead + word))
-        if len(self) >= REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        self[word] = ids
+        if len(word) <= LONGEST:
+            self._remember(word, ids)
         return ids
 
+    def _remember(self, word: str, ids: bytes) -> None:
+        if Encoder.held > REMEMBERED // 2:
+            for each in Encoder.made:
+                each.older = dict(each)
+                each.clear()
+            Encoder.held = 0
+        self[word] = ids
+        Encoder.held += sys.getsizeof(word) + sys.getsizeof(ids) + 104
+
     def _lines(self, table: Encoder, word: str) -> bytes:
-        """A first word from ``table``, and those behind line breaks."""
+        """A first word from ``table``, and those behind line breaks, each between two other signs."""
         first, *rest = word.split("\n")
         return self.plain["\n"].join([table[first], *map(self.plain.__getitem__, rest)])
 

@@ -156,6 +156,17 @@ def test_lines_of_one_host(spark):
     assert got[0].text == "own 0" and got[0]._dropped == 2 and got[9].text == "menu\nx" and got[10].text is None
 
 
+def test_lines_of_a_small_host_and_clashing_columns(spark):
+    rows = [(i, f"menu\nown {i}", "small", [i], f"x{i}", i) for i in range(4)] + [(9, "menu\nalone", "single", [], "y", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _drop array<int>, _host string, _row long")
+    for limit in (50_000, 0):
+        got = {r.doc_id: r for r in line_dedup.drop_boilerplate(docs, limit=limit).collect()}
+        assert [got[i].text for i in range(4)] == [f"own {i}" for i in range(4)] and got[9].text == "menu\nalone"
+        assert [(got[i]._drop, got[i]._host, got[i]._row, got[i]._dropped) for i in range(4)] == [([i], f"x{i}", i, 1) for i in range(4)]
+    other = line_dedup.drop_boilerplate(docs.withColumn("_dropped", F.lit("old")))
+    assert other.columns == [*docs.columns, "_dropped"] and other.agg(F.sum("_dropped")).first()[0] == 4
+
+
 def test_lines_are_bared_of_blanks_and_tabs_only(spark):
     rows = [(i, f" menu\t\nown {i}\nmenu \u2028", "h") for i in range(6)]
     got = line_dedup.boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"))
@@ -386,6 +397,30 @@ def test_encoder_equals_library(spark, name):
     assert got == want
 
 
+ALPHABETS = ["ab .\n", "aB1 .,'\n\t!s", "İiIşŞA.,' \n", "é e\u0301.,\u0958\u0915\u093c\n!ſﬁ", "İ\u0307Ia .\n\x85\x1c\u3000日本。",
+             "abc   \n\n..,,'\"-_1\x01\x02", [".\n", "\n\n", " ", "word", "Two", "'s", "'ll", "3", "...", "\r\n", "ΑΣ", "Σ"]]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_equals_library_on_random_texts(name, monkeypatch):
+    import random
+
+    import pyarrow as pa
+
+    monkeypatch.setattr("regiscope.llm.tokens.REMEMBERED", 1 << 20)
+    draw = random.Random(11)
+    texts = ["".join(draw.choices(draw.choice(ALPHABETS), k=draw.randint(0, 24))) for _ in range(100_000)]
+    texts += ["hello world\n\n", "hello world.\n\n", "a b\n\n\nc d", "one two \n\n", "Title here\n\n\n\nBody text",
+              "İ.", "A. İ. Kaya", "ALİ.", "NİHAİ, son"]
+    enc, lib = Encoder(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
+    want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    got = []
+    for ids, stops in enc.encode_many(pa.array(texts)):
+        got += [p.tolist() for p in np.split(ids, stops[:-1])]
+    assert got == want
+    assert all(np.frombuffer(enc.encode(t), enc.dtype).tolist() == w for t, w in zip(texts[-2000:], want[-2000:]))
+
+
 def test_records_round_trip(spark, odd, empty, tmp_path):
     path = public_tokenizers.path("word_bpe_49k.json")
     lib = Tokenizer.from_file(path)
