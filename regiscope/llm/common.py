@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,11 +19,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read it back: cuts lineage without computing twice."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(_nullable(df.schema)).parquet(path)
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """Write once to the shared folder and read it back: cuts lineage without computing twice.
+
+    ``batch`` bounds the rows of an Arrow batch while this table is made, for rows that are large.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    before = spark.conf.get(_BATCH)
+    if batch:
+        spark.conf.set(_BATCH, str(min(batch, int(before)) if int(before) > 0 else batch))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
+    return spark.read.schema(_nullable(df.schema)).parquet(path)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same function of Arrow batches; at a task's end its worker gives freed memory back.
+
+    Workers outlive tasks and stages, and a freed batch otherwise stays with the allocators.
+    """
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return wrapped
 
 
 def _nullable(schema: StructType) -> StructType:

@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from regiscope.llm.common import written
+from regiscope.llm.common import lean, written
 
 WINDOW = 10
 # A worker needs up to about 40 bytes of memory for a byte.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 # Lower-cases A-Z and blanks every other ASCII character that is not a digit or a letter.
 _WORDS = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -158,7 +158,7 @@ def _pass(docs: DataFrame, held: Broadcast, window: int, text: str, keep_text: b
                 [new[f.name] if f.name in new else batch.column(batch.schema.get_field_index(f.name)) for f in kept],
                 names=[f.name for f in kept])
 
-    return docs.mapInArrow(run, StructType(kept))
+    return docs.mapInArrow(lean(run), StructType(kept))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:

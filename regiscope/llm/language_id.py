@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regiscope.llm.common import lean
+
 DIM = 1 << 15
 ORDERS = (1, 2, 3)
 SAMPLE = 3_000
@@ -140,7 +142,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = S
             [pa.array(np.r_[-1, bins].astype(np.int32)), pa.array(np.r_[n, df[bins]])], names=["bin", "n"])
 
     # At most one row per bin comes to the driver.
-    df = {r.bin: r.n for r in rows.select("t").mapInArrow(frequencies, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()}
+    df = {r.bin: r.n for r in rows.select("t").mapInArrow(lean(frequencies), "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()}
     total = df.pop(-1, 0)
     idf = np.full(DIM, np.log(total + 1.0) + 1)
     for b, n in df.items():
@@ -161,7 +163,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = S
                      pa.array([n.astype(np.int32)], pa.list_(pa.int32()))], names=["l", "bins", "n"])
 
     some = rows.join(F.broadcast(shares), "l").filter(draw < F.col("share")).select("t", "l").distinct()
-    drawn = some.limit(2 * sample).mapInArrow(features, "l string, bins array<int>, n array<int>")
+    drawn = some.limit(2 * sample).mapInArrow(lean(features), "l string, bins array<int>, n array<int>")
     names = sorted(counts)
     seen: dict[str, int] = {}
     data = []
@@ -197,4 +199,4 @@ def identify(docs: DataFrame, model: Model, keep: list[str | Column], text: str
                 names=[*batch.schema.names[:-1], "lang_pred", "score"])
 
     schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)

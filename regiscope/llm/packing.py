@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import written
+from regiscope.llm.common import lean, written
 from regiscope.llm.tokens import encoder
 
 WINDOW = 2048
@@ -144,8 +144,8 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", t
 
     rows = docs.select(F.col(key), F.col(text))
     kind = rows.schema[key].dataType.simpleString()
-    done = rows.mapInArrow(run, f"`{key}` {kind}, _ids binary, _n long")
-    return written(done.withColumn("_row", F.monotonically_increasing_id()), "token-ids")
+    done = rows.mapInArrow(lean(run), f"`{key}` {kind}, _ids binary, _n long")
+    return written(done.withColumn("_row", F.monotonically_increasing_id()), "token-ids", batch=1_000)
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, key: str = "doc_id",
@@ -189,7 +189,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, key
                 names=["_row", "start", "length", "sequence_id", "offset"])
 
     placed = numbered.select("_row", "start", "length", (F.col("_base") + F.col("_pos")).alias("at")).mapInArrow(
-        put, "_row long, start long, length long, sequence_id long, offset long")
+        lean(put), "_row long, start long, length long, sequence_id long, offset long")
     spots = placed.groupBy("_row").agg(
         F.sort_array(F.collect_list(F.struct("start", "length", "sequence_id", "offset"))).alias("_spots"))
     joined = tokens.join(spots, "_row").select(key, "_ids", "_n", "_spots")
@@ -213,5 +213,5 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, key
             cols += [pa.array([o[j] for o in out], kinds[j + 1]) for j in range(n - 1)]
             yield pa.RecordBatch.from_arrays(cols, names=names[:n])
 
-    return joined.mapInArrow(check, f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
+    return joined.mapInArrow(lean(check), f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                                     "sequence_id long, offset long" + (", ids binary" if keep_ids else ""))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import written
+from regiscope.llm.common import lean, written
 from regiscope.llm.tokens import encoder
 from regiscope.session import work_path
 
@@ -91,7 +91,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int, key:
                 at += len(out)
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    framed = dealt.mapInArrow(run, "record binary")
+    framed = dealt.mapInArrow(lean(run), "record binary")
     framed.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
 
 
@@ -117,7 +117,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     found = written(files.mapInArrow(
-        run, "part int, file string, offset long, bytes long, doc_id long, before long, n_tokens long, ids_crc32 long"),
+        lean(run), "part int, file string, offset long, bytes long, doc_id long, before long, n_tokens long, ids_crc32 long"),
         "record-index")
     # One row per file, so a single window is bounded by the number of files.
     sums = found.groupBy("part").agg(F.sum("n_tokens").alias("n"))
@@ -147,7 +147,7 @@ def read_at(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
                             [pa.array([doc_id], pa.int64()), pa.array([ids.astype(np.int32)], pa.list_(pa.int32()))],
                             names=["doc_id", "ids"])
 
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return rows.mapInArrow(lean(run), "doc_id long, ids array<int>")
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None) -> DataFrame:

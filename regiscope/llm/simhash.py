@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiscope.llm.common import Forest, mixed, written
+from regiscope.llm.common import Forest, lean, mixed, written
 from regiscope.llm.components import components
 
 BITS = 64
@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame, words: int = 3, text: str = "text", key: str =
 
     rows = docs.select(F.col(key), F.col(text).cast("binary").alias("_text"))
     kind = rows.schema[key].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{key}` {kind}, fp long")
+    return rows.mapInArrow(lean(run), f"`{key}` {kind}, fp long")
 
 
 def walk(values: np.ndarray, pairs: np.ndarray, budget: int) -> Iterator[np.ndarray]:
@@ -222,7 +222,7 @@ def _trie_links(rows: DataFrame, depth: int, bits: int, budget: int, subtree: in
         yield from _forests(batches, budget, wide)
 
     placed = rows.select("rot", "node", "side", "turned", "id", *(wide.columns if wide else [])).repartition("rot", "node")
-    return placed.sortWithinPartitions("rot", "node", "side").mapInArrow(run, "a long, b long")
+    return placed.sortWithinPartitions("rot", "node", "side").mapInArrow(lean(run), "a long, b long")
 
 
 def _split(rows: DataFrame, depth: int, budget: int) -> DataFrame:
@@ -407,7 +407,7 @@ def wide_fingerprints(docs: DataFrame, words: int, text: str = "text", key: str
 
     rows = docs.select(F.col(key), F.col(text).cast("binary").alias("_text"))
     kind = rows.schema[key].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{n} long" for n in [*names, "n", "id"]))
+    return rows.mapInArrow(lean(run), f"`{key}` {kind}, " + ", ".join(f"{n} long" for n in [*names, "n", "id"]))
 
 
 def _set_id(hashes: np.ndarray) -> int:
@@ -423,7 +423,7 @@ def shingle_sets(docs: DataFrame, firsts: DataFrame, words: int, text: str, key:
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "hashes"])
 
     rows = docs.join(firsts, F.col(key).eqNullSafe(F.col("_first")), "left_semi").select(F.col(text).cast("binary").alias("_text"))
-    return rows.mapInArrow(run, "id long, hashes binary").dropDuplicates(["id"])
+    return rows.mapInArrow(lean(run), "id long, hashes binary").dropDuplicates(["id"])
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -440,7 +440,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     left = sets.select(F.col("id").alias("_a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("id").alias("_b"), F.col("hashes").alias("y"))
     rows = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
-    return rows.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return rows.select("a", "b", "x", "y").mapInArrow(lean(run), "a long, b long")
 
 
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, text: str = "text", key: str = "doc_id",
@@ -458,7 +458,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, text:
     share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
     total = int(share * WORDS * BITS + 2 * np.sqrt(share * (1 - share) * WORDS * BITS))
     wide = Wide([f"w{k}" for k in range(WORDS)], total, similarity)
-    prints = written(wide_fingerprints(docs, words, text, key), "wide-fingerprints")
+    prints = written(wide_fingerprints(docs, words, text, key), "wide-fingerprints", batch=1_000)
     classes = written(prints.groupBy("id", "n", *wide.names).agg(F.min(key).alias("first")), "classes")
     found = _confirmed(docs, classes, wide, words, text, key, subtree)
     named = classes.join(components(found), F.col("id") == F.col("node"), "left").select(
@@ -488,8 +488,8 @@ def _confirmed(docs: DataFrame, classes: DataFrame, wide: Wide, words: int, text
     pairs = written(candidates(classes, wide).distinct(), "pairs")
     ends = pairs.select(F.col("a").alias("_end")).unionByName(pairs.select(F.col("b").alias("_end"))).distinct()
     touched = written(classes.join(ends, F.col("id") == F.col("_end"), "left_semi"), "touched")
-    sets = written(shingle_sets(docs, touched.select(F.col("first").alias("_first")), words, text, key), "shingle-sets")
-    found = written(_similar(pairs, sets, wide.similarity), "similar")
+    sets = written(shingle_sets(docs, touched.select(F.col("first").alias("_first")), words, text, key), "shingle-sets", batch=1_000)
+    found = written(_similar(pairs, sets, wide.similarity), "similar", batch=500)
     if found.count() == pairs.count():
         return found
     crowds = components(pairs).withColumnRenamed("component", "crowd")
