@@ -7,16 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiscope.llm import (
+    alignment,
     decontaminate,
     embedding_dedup,
     language_id,
     line_dedup,
     packing,
+    prefix_trie,
     records,
     simhash,
     suffix_dedup,
     toxicity,
     warc,
+    weighted_fingerprint,
 )
 from regiscope.llm.common import remainder, table
 
@@ -72,9 +75,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path, end_id=1)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), heads=9)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
+def op13_weighted_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_line_dedup, op3_embedding_dedup, op4_simhash, op5_warc, op6_toxicity,
     op7_decontaminate, op8_token_records, op9_suffix_dedup, op10_packing,
+    op11_prefix_trie, op12_alignment, op13_weighted_fingerprint,
 )}
 
 _STRIP = "regexp_replace({x}, '^[ \\t\\r]+|[ \\t\\r]+$', '', 'g')"
@@ -137,4 +154,26 @@ WITH w AS (SELECT row_number() OVER () AS r, doc_id,
 SELECT doc_id, coalesce(len(ws), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN places USING (r) LEFT JOIN items USING (r)""",
+    "op11_prefix_trie": """
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+ o AS (SELECT c, list({'role': role, 'text': text} ORDER BY i) AS own FROM t GROUP BY c),
+ h AS (SELECT c, own, xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+         lambda a, b: list_reduce([xor(a, b)] || [0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[],
+           lambda y, k: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END))) % 9 AS n FROM o),
+ r AS (SELECT h.c, coalesce(b.own[1 : h.n], []) || h.own[h.n + 1 :] AS path FROM h LEFT JOIN o b ON b.c = h.c - h.c % 5),
+ p AS (SELECT c, len(path) AS full_length, unnest(range(0, len(path) + 1)) AS d, path FROM r),
+ q AS (SELECT c, full_length, d, path[1 : d] AS k, CASE WHEN d > 0 THEN path[1 : d - 1] END AS up,
+         CASE WHEN d > 0 THEN strlen(path[d].text) ELSE 0 END AS bytes FROM p),
+ n AS (SELECT k, any_value(up) AS up, any_value(d) AS d, any_value(bytes) AS bytes, min(c) AS low, count(*) AS n_convs,
+         coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (full_length = d), '') AS ends FROM q GROUP BY k),
+ kids AS (SELECT up, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+ m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids ON kids.up = n.k),
+ a AS (SELECT k[1 : e] AS k, n_children, (n_convs - 1) * bytes AS saved
+       FROM (SELECT k, n_children, n_convs, bytes, unnest(range(0, d + 1)) AS e FROM m)),
+ s AS (SELECT k, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM a GROUP BY k)
+SELECT m.low::BIGINT AS conv_id, m.d::BIGINT AS depth, above.low::BIGINT AS parent_conv_id, m.n_convs::BIGINT AS n_convs,
+       m.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN s ON s.k = m.k LEFT JOIN m above ON above.k = m.up""",
 }

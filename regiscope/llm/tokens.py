@@ -73,16 +73,18 @@ _UNSTABLE = re.compile(f"[{_UNSTABLE_LETTERS}]")
 class Encoder(dict):
     """``encode(text)`` gives the ids as bytes, ``width`` little-endian bytes each.
 
-    ``lead`` is put before each word looked up.
+    ``lead`` is put before each word looked up. Without ``specials``, the strings of special tokens
+    are plain text.
     """
 
-    def __init__(self, path: str, lead: str = "") -> None:
+    def __init__(self, path: str, lead: str = "", specials: bool = True) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.older: dict[str, bytes] = {}
         self.lead = lead
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = not specials
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
@@ -103,7 +105,7 @@ class Encoder(dict):
         self.plain = self.spaced = self
         Encoder.made.append(self)
         if self.kind == "spaced" and not lead:
-            self.spaced = Encoder(path, " ")
+            self.spaced = Encoder(path, " ", specials)
             self.spaced.plain = self
 
     # The encoders of this worker, and the bytes in their newer tables.
@@ -127,21 +129,22 @@ class Encoder(dict):
         apart = pc.replace_substring(pc.replace_substring(lines, ".", f" {mark}."), ",", f" {mark},")
         return pc.if_else(pc.match_substring_regex(lines, _SIGNS), lines, apart)
 
-    def encode_many(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def encode_many(self, texts: pa.Array, spaced: bool = False, chunk: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of consecutive texts and where each text's end, a chunk of texts at a time.
 
         Words are told apart by Arrow, so that only the distinct words of a chunk are looked up.
+        With ``spaced``, each text is encoded with a blank before it.
         """
         texts = texts.fill_null("")
         sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
         at = 0
         while at < len(texts):
             done = sizes[at - 1] if at else 0
-            stop = max(at + 1, int(np.searchsorted(sizes, done + CHUNK, side="right")))
-            yield self._chunk(texts.slice(at, stop - at))
+            stop = max(at + 1, int(np.searchsorted(sizes, done + chunk, side="right")))
+            yield self._chunk(texts.slice(at, stop - at), spaced)
             at = stop
 
-    def _chunk(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _chunk(self, texts: pa.Array, spaced: bool = False) -> tuple[np.ndarray, np.ndarray]:
         odd = np.zeros(len(texts), bool)
         if self.kind == "words":
             odd = pc.match_substring_regex(texts, f"[{_UNSTABLE_LETTERS}]").to_numpy(zero_copy_only=False)
@@ -150,7 +153,8 @@ class Encoder(dict):
         elif self.kind == "spaced":
             odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
             odd |= pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-            lines = pc.binary_join_element_wise(pa.scalar(_MARK), pc.if_else(pa.array(odd), "", texts), "")
+            kept = pc.if_else(pa.array(odd), "", texts)
+            lines = kept if spaced else pc.binary_join_element_wise(pa.scalar(_MARK), kept, "")
             lines = self._apart(lines, _STOP)
         else:
             odd[:] = True
@@ -171,7 +175,7 @@ class Encoder(dict):
         if odd.any():
             parts = np.split(out, stops[:-1])
             for i in np.flatnonzero(odd).tolist():
-                parts[i] = np.frombuffer(self.encode(texts[i].as_py()), self.dtype)
+                parts[i] = np.frombuffer(self.encode(" " * spaced + texts[i].as_py()), self.dtype)
             out, stops = np.concatenate(parts), np.cumsum([len(p) for p in parts])
         return out, stops
 
@@ -230,11 +234,11 @@ class Encoder(dict):
         return [t.id for t in self.model.tokenize(body)]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, specials: bool = True) -> Encoder:
     """The worker's encoder of a vocabulary file; it outlives the task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, specials) not in _ENCODERS:
+        _ENCODERS[path, specials] = Encoder(path, specials=specials)
+    return _ENCODERS[path, specials]
