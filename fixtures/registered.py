@@ -18,12 +18,13 @@ from regiscope.functions import clean, ids
 from regiscope.operators import (
     aggregates, branches, dedup, documents, lookup, network, quality, sample, search, transform,
 )
-from regiscope.plans import load, marts, publish
+from regiscope.plans import bitmaps, incremental, load, marts, name_index, publish, sketches
 from regiscope.schemas import (
-    ARRIVAL, FACT_FEEDS, FACT_KEYS, FEED_GLOBS, STAGING_SCHEMAS, TYPED_COLUMNS,
+    ARRIVAL, FACT_FEEDS, FACT_KEYS, FEED_GLOBS, STAGING_COLUMNS, STAGING_SCHEMAS, TYPED_COLUMNS,
 )
 from regiscope.session import work_path
 from regiscope.sources import feeds
+from regiscope.sources.zipcsv import open_fs
 from regiscope.streaming import snapshots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,6 +152,34 @@ def forms_by_records(spark, sf):
     )
 
 
+_STATES_SQL = _sql("regime_tributario", "estabelecimento") + """,
+ r AS (SELECT r.*, e.uf FROM regime_tributario r LEFT JOIN (SELECT cnpj, min(uf) AS uf FROM estabelecimento GROUP BY 1) e USING (cnpj))
+"""
+
+
+@query("e4_sketch_distribution", _STATES_SQL + """
+SELECT 'forma' AS conta, forma_de_tributacao AS chave, count(*) AS registros, count(DISTINCT cnpj_basico) AS empresas_distintas FROM r GROUP BY 2
+UNION ALL SELECT 'ano', CAST(ano AS STRING), count(*), count(DISTINCT cnpj_basico) FROM r WHERE forma_de_tributacao = 'LUCRO REAL' GROUP BY 2
+UNION ALL SELECT 'uf', uf, count(*), count(DISTINCT cnpj_basico) FROM r WHERE ano = 1997 GROUP BY 2
+UNION ALL SELECT 'todas', NULL, count(*), count(DISTINCT cnpj_basico) FROM r
+UNION ALL SELECT 'ambas', NULL, NULL, count(*) FROM (
+  SELECT DISTINCT cnpj_basico FROM r WHERE ano = 1996 INTERSECT SELECT DISTINCT cnpj_basico FROM r WHERE ano = 1997)""")
+def sketch_distribution(spark, sf):
+    """Roll-ups of the regimes from the published sketches; exact for so many companies, see the tests for more."""
+    root = work_path(spark, "e4")
+    t = star.typed(spark, sf, "regime_tributario", "estabelecimento")
+    publish.commit(spark, root, sketches.write_sketches(root, t["regime_tributario"], t["estabelecimento"]))
+    t = publish.tables(spark, root)
+    key = lambda df, name, chave: df.select(
+        F.lit(name).alias("conta"), F.col(chave).cast("string").alias("chave") if chave else F.lit(None).cast("string").alias("chave"),
+        "registros", "empresas_distintas")
+    both = sketches.in_common(t, {"ano": 1996}, {"ano": "1997"}).select(
+        F.lit(None).cast("long").alias("registros"), F.col("ambas").alias("empresas_distintas"))
+    return reduce(DataFrame.unionByName, [
+        key(sketches.distribution(t), "forma", "forma_de_tributacao"), key(sketches.distribution(t, ["ano"], forma="LUCRO REAL"), "ano", "ano"),
+        key(sketches.distribution(t, ["uf"], ano="1997"), "uf", "uf"), key(sketches.distribution(t, []), "todas", None), key(both, "ambas", None)])
+
+
 @query("e5_regime_summary", _sql("regime_tributario") + """
 SELECT count(*) AS linhas, count(DISTINCT cnpj_basico) AS empresas, min(ano) AS ano_min,
        max(ano) AS ano_max FROM regime_tributario""")
@@ -256,12 +285,22 @@ def branch_by_id(spark, sf):
     return _doubles(rows, "capital_social")
 
 
-@query("g7_first_branch_row", _sql("estabelecimento") + """
-SELECT cnpj_basico, uf, cnpj FROM estabelecimento
-QUALIFY row_number() OVER (PARTITION BY cnpj_basico ORDER BY uf, cnpj) = 1""")
+_MOVED_SQL = _BRANCH_SQL.replace("FROM estabelecimento b", """FROM (
+  SELECT * FROM (SELECT * FROM estabelecimento UNION ALL
+    SELECT * REPLACE ('AC' AS uf, 'antes' AS nome_fantasia) FROM estabelecimento WHERE cnpj LIKE '%7' UNION ALL
+    SELECT * REPLACE ('TO' AS uf, 'depois' AS nome_fantasia) FROM estabelecimento WHERE cnpj LIKE '%3')
+  QUALIFY row_number() OVER (PARTITION BY cnpj ORDER BY uf, nome_fantasia NULLS FIRST, data_inicio_atividade, cep) = 1) b""")
+
+
+@query("g7_first_branch_row", _MOVED_SQL)
 def first_branch_row(spark, sf):
-    estab = star.typed(spark, sf, "estabelecimento")["estabelecimento"].select("cnpj_basico", "uf", "cnpj")
-    return dedup.keep_first(estab, ["cnpj_basico"], ["uf", "cnpj"])
+    """Every branch id's first row by state, where ids occur in two states, through the branch view."""
+    t = star.typed(spark, sf, *_BRANCH_TABLES)
+    own = t["estabelecimento"]
+    moved = [own.filter(F.col("cnpj").endswith(end)).withColumns({"uf": F.lit(uf), "nome_fantasia": F.lit(name)})
+             for end, uf, name in (("7", "AC", "antes"), ("3", "TO", "depois"))]
+    t["estabelecimento"] = own.unionByName(moved[0]).unionByName(moved[1])
+    return _doubles(branches.branch_view(t, first=["nome_fantasia", "data_inicio_atividade", "cep"]), "capital_social")
 
 
 _NETWORK_TABLES = ("socio", "empresa", "dim_qualificacao")
@@ -809,6 +848,35 @@ def name_search(spark, sf):
     return search.name_search(parts, "p_name", "Ring")
 
 
+def _indexed_parts(spark, sf):
+    """Parts published with an index of their names, as a load does it for companies."""
+    root, keys = work_path(spark, "l1"), ("p_partkey",)
+    parts = star.source(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    paths = {"produto": publish.write_version(parts, root, "produto", cluster_by=keys)}
+    written = spark.read.parquet(paths["produto"])
+    publish.commit(spark, root, paths | name_index.write_index(root, "produto", written, "p_name", keys))
+    return name_index.name_index(publish.tables(spark, root), "produto", "p_name", keys)
+
+
+@query("l1_postings_search", "SELECT p_partkey, p_name FROM part WHERE lower(p_name) LIKE '%ring%'")
+def postings_search(spark, sf):
+    """The substring search, from the published postings."""
+    return name_index.search(_indexed_parts(spark, sf), "Ring").select("p_partkey", "p_name")
+
+
+@query("l1_postings_similarity", _TRIGRAM_SQL.replace("QUERY", "red rings"))
+def postings_similarity(spark, sf):
+    return name_index.similar(_indexed_parts(spark, sf), "Red-Rings", 0.3).select("p_partkey", "p_name", "similaridade")
+
+
+@query("l1_postings_batch", ORACLE["l1_similarity_batch"])
+def postings_batch(spark, sf):
+    """Every part's second word and type asked for among all names, from the published postings."""
+    index = _indexed_parts(spark, sf)
+    queries = index.fact.select(F.concat_ws(" ", F.split_part("p_name", F.lit(" "), F.lit(2)), "p_type").alias("query"))
+    return name_index.similar_batch(index, queries, threshold=0.3).select("p_partkey", "p_name", "query", "similaridade")
+
+
 @query("l1_text_search", "SELECT doc_id, lang, source FROM documents WHERE contains(lower(text), 'eau')")
 def text_search(spark, sf):
     found = search.name_search(star.source(spark, sf, "documents"), "text", "EAU")
@@ -870,6 +938,50 @@ def by_municipality(spark, sf):
     return rows.select("municipio_cod", "municipio", "qtd")
 
 
+_BITS = (
+    ("none", {}, "true"),
+    ("state", {"uf": "SP"}, "uf = 'SP'"),
+    ("activity", {"cnae": "17"}, "cnae_fiscal_principal = 17"),
+    ("any activity", {"cnae": "17", "secondary": True}, "(cnae_fiscal_principal = 17 OR cnpj IN (SELECT cnpj FROM bridge WHERE cnae_cod = 17))"),
+    ("active, any activity", {"cnae": 20, "situacao": "2", "secondary": True},
+     "situacao_cadastral = 2 AND (cnae_fiscal_principal = 20 OR cnpj IN (SELECT cnpj FROM bridge WHERE cnae_cod = 20))"),
+    ("place", {"uf": "RJ", "situacao": 8, "municipio": "7"}, "uf = 'RJ' AND situacao_cadastral = 8 AND municipio_cod = 7"),
+    ("unreadable", {"uf": "", "cnae": "abc", "situacao": "1.5"}, "true"),
+    ("no such", {"uf": "ZZ", "situacao": "2"}, "uf = 'ZZ'"),
+)
+
+
+def _bitmaps(spark, sf) -> dict[str, DataFrame]:
+    """The bitmaps alone, as published next to the branches."""
+    root = work_path(spark, "bits")
+    estab = star.typed(spark, sf, "estabelecimento")["estabelecimento"]
+    publish.commit(spark, root, bitmaps.write_bitmaps(root, estab, _bridge(spark, sf)))
+    return publish.tables(spark, root)
+
+
+@query("c4_bitmap_filters", _REVERSE_SQL + " UNION ALL ".join(
+    f"SELECT '{name}' AS filtro, count(*) AS total FROM estabelecimento WHERE {where}" for name, _, where in _BITS))
+def bitmap_filters(spark, sf):
+    """Filters on state, activity, listed activities, status and municipality, counted from the bitmaps alone."""
+    t = _bitmaps(spark, sf)
+    return reduce(DataFrame.unionByName, [
+        bitmaps.count_branches(t, **given).select(F.lit(name).alias("filtro"), "total") for name, given, _ in _BITS])
+
+
+@query("l4_bitmap_counts", _REVERSE_SQL + """
+SELECT 'ativas' AS conta, CAST(cnae_fiscal_principal AS STRING) AS codigo, count(*) AS qtd
+FROM estabelecimento WHERE situacao_cadastral = 2 GROUP BY 2
+UNION ALL SELECT 'municipios', CAST(municipio_cod AS STRING), count(*) FROM estabelecimento WHERE uf = 'SP' GROUP BY 2
+UNION ALL SELECT 'listadas', CAST(cnae_cod AS STRING), count(*) FROM estabelecimento JOIN bridge USING (cnpj)
+WHERE situacao_cadastral = 2 AND uf = 'RJ' GROUP BY 2""")
+def bitmap_counts(spark, sf):
+    """Active branches by activity, a state's by municipality, a state's active ones by listed activity."""
+    t = _bitmaps(spark, sf)
+    parts = [("ativas", bitmaps.count_by(t, "cnae_fiscal_principal", situacao=2)), ("municipios", bitmaps.count_by(t, "municipio_cod", uf="SP")),
+             ("listadas", bitmaps.count_by(t, bitmaps.SECONDARY, uf="RJ", situacao=2))]
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("conta"), "codigo", "qtd") for name, df in parts])
+
+
 @query("l5_by_size", _sql("empresa", "dim_porte") + """
 SELECT porte_cod, descricao AS porte, count(*) AS qtd FROM empresa
 LEFT JOIN dim_porte ON codigo = porte_cod GROUP BY ALL""")
@@ -1152,6 +1264,39 @@ def regime_refresh(spark, sf):
     return summary.withColumn("cadastradas", F.lit(companies).cast("long"))
 
 
+_CHANGED_SQL = _sql("empresa", "estabelecimento") + """,
+ novas AS (SELECT * REPLACE (CASE WHEN CAST(cnpj_basico AS INT) % 97 = 3 THEN CAST(1 AS SMALLINT) ELSE natureza_juridica_cod END AS natureza_juridica_cod,
+             CASE WHEN CAST(cnpj_basico AS INT) % 89 = 5 THEN NULL ELSE capital_social END AS capital_social)
+           FROM empresa WHERE CAST(cnpj_basico AS INT) % 101 <> 7),
+ filiais AS (SELECT * REPLACE (CASE WHEN CAST(cnpj_basico AS INT) % 83 = 1 THEN CAST(8 AS SMALLINT) ELSE situacao_cadastral END AS situacao_cadastral)
+             FROM estabelecimento)
+"""
+
+
+@query("b6_incremental_marts", _CHANGED_SQL + """
+SELECT 'capital' AS mart, CAST(natureza_juridica_cod AS INT) AS chave, count(*) AS n, CAST(sum(capital_social) AS DOUBLE) AS total FROM novas GROUP BY 2
+UNION ALL SELECT 'ativas', municipio_cod, count(*), NULL FROM filiais WHERE situacao_cadastral = 2 GROUP BY 2""")
+def incremental_marts(spark, sf):
+    """Aggregates after companies have gone, changed their category and lost their capital, and branches have closed, brought up to
+    date by the difference of the two versions."""
+    root = work_path(spark, "b6i")
+    old = star.typed(spark, sf, "empresa", "estabelecimento")
+    number = F.col("cnpj_basico").cast("int")
+    category = F.when(number % 97 == 3, F.lit(1).cast("short")).otherwise(F.col("natureza_juridica_cod"))
+    capital = F.when(number % 89 != 5, F.col("capital_social"))
+    status = F.when(number % 83 == 1, F.lit(8).cast("short")).otherwise(F.col("situacao_cadastral"))
+    new = {"empresa": old["empresa"].filter(number % 101 != 7).withColumn("natureza_juridica_cod", category).withColumn("capital_social", capital),
+           "estabelecimento": old["estabelecimento"].withColumn("situacao_cadastral", status)}
+    for version in (old, new):
+        publish.commit(spark, root, load.write_tables(root, version))
+        incremental.refresh_incremental(spark, root)
+    t = publish.tables(spark, root)
+    rows = t[marts.CAPITAL].select(F.lit("capital").alias("mart"), F.col("natureza_juridica_cod").cast("int").alias("chave"),
+                                   F.col("empresas").alias("n"), F.col("capital_total").cast("double").alias("total"))
+    places = t[marts.ACTIVE].groupBy(F.col("municipio_cod").alias("chave")).agg(F.sum("qtd").alias("n"))
+    return rows.unionByName(places.select(F.lit("ativas").alias("mart"), "chave", "n", F.lit(None).cast("double").alias("total")))
+
+
 @query("b6_refresh_marts", _sql("empresa", "estabelecimento") + """
 SELECT 'capital' AS mart, natureza_juridica_cod AS chave, count(*) AS n,
        CAST(sum(capital_social) AS DOUBLE) AS total FROM empresa GROUP BY 2
@@ -1247,30 +1392,38 @@ def missing_establishments(spark, sf):
 
 
 @query("b9_load_rejects", """
-SELECT 'dim_natureza_juridica' AS t, count(DISTINCT p_partkey) AS count FROM part WHERE p_partkey * 40 <= 32767
-UNION ALL SELECT 'rejects_dim_natureza_juridica', count(*) FROM part WHERE p_partkey * 40 > 32767
+SELECT 'dim_natureza_juridica' AS t, count(*) AS count FROM nation WHERE n_nationkey % 4 <> 1
+UNION ALL SELECT 'rejects_dim_natureza_juridica', count(*) FROM nation WHERE n_nationkey % 4 = 1
+UNION ALL SELECT 'empresa', count(*) FROM part
+UNION ALL SELECT 'rejects_empresa', count(*) FROM part WHERE p_partkey * 40 > 32767
 UNION ALL SELECT 'rejects_records', count(*) FROM part
 UNION ALL SELECT 'regime_tributario', count(*) FROM customer WHERE c_custkey % 5 <> 0
 UNION ALL SELECT 'rejects_regime_tributario', count(*) FROM customer WHERE c_custkey % 5 = 0""")
 def load_rejects(spark, sf):
     """Codes too large, years too large and lines of the wrong width: published and rejected rows
-    account for every input row."""
+    account for every input row. The feeds come as many archives; the lookup file has a row per nation."""
     folder, root = work_path(spark, "b9in"), work_path(spark, "b9")
-    code = (F.col("p_partkey") * 40).cast("string")
-    parts = star.source(spark, sf, "part")
-    write_archives(parts.select(code.alias("codigo"), F.col("p_name").alias("descricao")).coalesce(1), folder,
-                   "Naturezas", numbered=False)
-    write_archives(parts.select(code.alias("a"), code.alias("b"), code.alias("c")), folder, "Socios")
+    part = star.source(spark, sf, "part")
+    code, key = (F.col("p_partkey") * 40).cast("string"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")
+    blank = F.lit("")
+    companies = part.select(key.alias("cnpj_basico"), F.col("p_name").alias("razao_social"), code.alias("natureza_juridica"),
+                            *(blank.alias(c) for c in STAGING_COLUMNS["empresas"][3:]))
+    write_archives(_dealt(companies, 3, "cnpj_basico"), folder, "Empresas")
+    write_archives(_dealt(part.select(code.alias("a"), code.alias("b"), code.alias("c")), 3, "a"), folder, "Socios")
+    nations = star.source(spark, sf, "nation").select(
+        F.when(F.col("n_nationkey") % 4 == 1, "99999").otherwise(F.col("n_nationkey").cast("string")).alias("codigo"),
+        F.col("n_name").alias("descricao"))
+    write_archives(nations.coalesce(1), folder, "Naturezas", numbered=False)
     year = F.when(F.col("c_custkey") % 5 == 0, "99999").otherwise("2024")
     cnpj = F.lpad(F.col("c_custkey").cast("string"), 14, "0")
     regimes = star.source(spark, sf, "customer").select(
         year.alias("ano"), cnpj.alias("cnpj"), F.lit("0").alias("cnpj_da_scp"),
         F.lit("LUCRO REAL").alias("forma_de_tributacao"), F.lit("1").alias("quantidade_de_escrituracoes"))
-    write_archives(regimes, folder, "entidades-", sep=",", charset="utf8", header=True)
+    write_archives(_dealt(regimes, 2, "cnpj"), folder, "entidades-", sep=",", charset="utf8", header=True)
     load.load_registry(spark, folder, root, strict=False)
     return aggregates.load_audit(publish.tables(spark, root), (
-        "dim_natureza_juridica", "rejects_dim_natureza_juridica", "rejects_records", "regime_tributario",
-        "rejects_regime_tributario"))
+        "dim_natureza_juridica", "rejects_dim_natureza_juridica", "empresa", "rejects_empresa", "rejects_records",
+        "regime_tributario", "rejects_regime_tributario"))
 
 
 # --- snapshots ---------------------------------------------------------------------------
@@ -1308,44 +1461,79 @@ def ingest_new_months(spark, sf):
     return rows.select("o_orderkey", "o_custkey", F.lit(done).alias("publicacoes"))
 
 
-@query("j4_marts_after_load", _sql("estabelecimento", "empresa") + """
-SELECT 'ativas' AS mart, uf AS chave, count(*) AS n FROM estabelecimento
-WHERE situacao_cadastral = 2 AND strftime(data_inicio_atividade, '%Y-%m') =
-      (SELECT max(strftime(data_inicio_atividade, '%Y-%m')) FROM estabelecimento WHERE situacao_cadastral = 2) GROUP BY 2
-UNION ALL SELECT 'capital', CAST(natureza_juridica_cod AS VARCHAR), count(*) FROM empresa GROUP BY 2""")
+_ARRIVALS = ("1997-06", "2000-02", "9999-12")
+
+
+@query("j4_marts_after_load", _sql("estabelecimento", "empresa") + """,
+ e AS (SELECT *, strftime(data_inicio_atividade, '%Y-%m') AS mes FROM estabelecimento),
+ m AS (""" + " UNION ".join(f"SELECT max(mes) AS mes FROM e WHERE mes <= '{until}'" for until in _ARRIVALS) + """)
+SELECT 'ativas' AS mart, mes, uf AS chave, count(*) AS n FROM e WHERE situacao_cadastral = 2 AND mes IN (SELECT mes FROM m) GROUP BY 2, 3
+UNION ALL SELECT 'capital', mes, CAST(natureza_juridica_cod AS VARCHAR), count(*) FROM empresa, m GROUP BY 2, 3
+UNION ALL SELECT 'filiais', mes, NULL, count(*) FROM e WHERE mes IN (SELECT mes FROM m) GROUP BY 2""")
 def marts_after_load(spark, sf):
-    """A stream of monthly snapshots, the last one with active branches, whose load also refreshes
-    both aggregates; the optional tax-regime feed is absent throughout (J3)."""
+    """All months arrive in three parts; each part's newest is loaded, and its aggregates are fresh with it."""
     folder, root, state = (work_path(spark, n) for n in ("j4in", "j4", "j4state"))
     t = star.typed(spark, sf, "estabelecimento", "empresa")
-    month = F.date_format("data_inicio_atividade", "yyyy-MM")
-    rows = t["estabelecimento"].withColumn("month", month)
-    last = rows.filter("situacao_cadastral = 2").agg(F.max("month").alias("_last"))
-    rows.join(F.broadcast(last), F.col("month") <= F.col("_last")).drop("_last").write.partitionBy(
-        "month").parquet(folder)
+    rows = t["estabelecimento"].withColumn("month", F.date_format("data_inicio_atividade", "yyyy-MM"))
 
     def load_month(session, path, found):
-        regime = feeds.read_feed(session, path, "regime")
-        paths = load.write_tables(root, {
-            "estabelecimento": session.read.parquet(path), "empresa": t["empresa"],
-            "regime_tributario": transform.transform_regime(regime),
-        })
+        paths = load.write_tables(root, {"estabelecimento": session.read.parquet(path), "empresa": t["empresa"]})
+        written = {name: session.read.parquet(p) for name, p in paths.items()}
+        paths |= marts.write_marts(session, root, written["empresa"], written["estabelecimento"])
         publish.commit(session, root, paths, found)
-        marts.refresh_marts(session, root, found)
-
-    snapshots.ingest_new_months(spark, folder, root, state, load_month, files="*.parquet")
-    made = publish.tables(spark, root)
-    active = made[marts.ACTIVE].groupBy(F.col("uf").alias("chave")).agg(F.sum("qtd").alias("n"))
-    capital = made[marts.CAPITAL].select(
-        F.lit("capital").alias("mart"), F.col("natureza_juridica_cod").cast("string").alias("chave"),
-        F.col("empresas").alias("n"))
-    return active.select(F.lit("ativas").alias("mart"), "chave", "n").unionByName(capital)
 
-
-@query("j3_optional_regime", _sql("empresa") + """
-SELECT 'empresa' AS t, count(*) AS count FROM empresa UNION ALL SELECT 'regime_tributario', 0""")
+    after = ""
+    for until in _ARRIVALS:
+        rows.filter((F.col("month") > after) & (F.col("month") <= until)).write.mode("append").partitionBy("month").parquet(folder)
+        snapshots.ingest_new_months(spark, folder, root, state, load_month, [r"\.parquet$"], "*.parquet")
+        after = until
+    out = []
+    # Three loads, each a row per table.
+    for r in publish.commit_log(spark, root).collect():
+        df = spark.read.parquet(r.path)
+        shape = {marts.ACTIVE: ("ativas", F.col("uf"), "qtd"), marts.CAPITAL: ("capital", F.col("natureza_juridica_cod"), "empresas"),
+                 "estabelecimento": ("filiais", F.lit(None), None)}.get(r.table_name)
+        if shape:
+            name, key, amount = shape
+            n = F.sum(amount) if amount else F.count(F.lit(1))
+            out.append(df.groupBy(key.cast("string").alias("chave")).agg(n.alias("n")).select(
+                F.lit(name).alias("mart"), F.lit(r.month).alias("mes"), "chave", "n"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("j3_optional_regime", """
+WITH m(mes, regimes) AS (VALUES ('2024-01', true), ('2024-02', true), ('2024-03', false))
+SELECT mes, 'empresa' AS t, count(*) AS count FROM customer, m GROUP BY 1
+UNION ALL SELECT mes, 'regime_tributario', (SELECT count(*) FROM customer) * CAST(regimes AS INT) FROM m""")
 def optional_regime(spark, sf):
-    regime = feeds.read_feed(spark, work_path(spark, "j3"), "regime")
-    t = {"empresa": star.typed(spark, sf, "empresa")["empresa"],
-         "regime_tributario": transform.transform_regime(regime)}
-    return aggregates.load_audit(t, ("empresa", "regime_tributario"))
+    """Three months of archives through the ingest: regimes that are there, broken (those of the month before
+    stay) and absent (none)."""
+    top, root, state = (work_path(spark, n) for n in ("j3in", "j3", "j3state"))
+    customer, small = star.source(spark, sf, "customer"), star.source(spark, sf, "nation")
+    key = F.lpad(F.col("c_custkey").cast("string"), 8, "0")
+    blank = F.lit("")
+    companies = customer.select(key.alias("cnpj_basico"), F.col("c_name").alias("razao_social"),
+                                *(blank.alias(c) for c in STAGING_COLUMNS["empresas"][2:]))
+    regimes = customer.select(F.lit("2024").alias("ano"), F.concat(key, F.lit("000100")).alias("cnpj"), F.lit("0").alias("cnpj_da_scp"),
+                              F.lit("LUCRO REAL").alias("forma_de_tributacao"), F.lit("1").alias("quantidade_de_escrituracoes"))
+    id_ = F.lpad(F.col("n_nationkey").cast("string"), 8, "0")
+    out = []
+    for month, with_regimes in (("2024-01", True), ("2024-02", None), ("2024-03", False)):
+        folder = f"{top}/{month}"
+        write_archives(_dealt(companies, 2, "cnpj_basico"), folder, "Empresas")
+        for feed, name in (("estabelecimentos", "Estabelecimentos"), ("socios", "Socios"), ("simples", "Simples")):
+            rows = small.select(id_.alias("cnpj_basico"), *(blank.alias(c) for c in STAGING_COLUMNS[feed][1:])).coalesce(1)
+            write_archives(rows, folder, name, numbered=False)
+        for feed in ("cnaes", "naturezas", "qualificacoes", "paises", "motivos", "municipios"):
+            rows = small.select(F.col("n_nationkey").cast("string").alias("codigo"), F.col("n_name").alias("descricao")).coalesce(1)
+            write_archives(rows, folder, FEED_GLOBS[feed].removesuffix(".zip"), numbered=False)
+        if with_regimes:
+            write_archives(_dealt(regimes, 2, "cnpj"), folder, "entidades-", sep=",", charset="utf8", header=True)
+        elif with_regimes is None:
+            files, path = open_fs(f"{folder}/entidades-1.zip")
+            with files.open_output_stream(path) as f:
+                f.write(b"PK\x03\x04 cut off")
+        snapshots.ingest_registry(spark, top, root, state)
+        audit = aggregates.load_audit(publish.tables(spark, root), ("empresa", "regime_tributario"))
+        out.append(audit.select(F.lit(publish.published_month(spark, root)).alias("mes"), "t", "count"))
+    return reduce(DataFrame.unionByName, out)

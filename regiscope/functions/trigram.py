@@ -23,6 +23,15 @@ def query_trigrams(text: str) -> list[str]:
     return sorted({p[i : i + 3] for p in padded for i in range(len(p) - 2)})
 
 
+def implied_trigrams(pattern: str) -> list[str]:
+    """Trigrams that every name holding the text has: a word of it may go on beyond either end of the text."""
+    text, found = pattern.lower(), set()
+    for word in re.finditer(r"[^\W_]+", text):
+        padded = "  " * (word.start() > 0) + word.group() + " " * (word.end() < len(text))
+        found.update(padded[i : i + 3] for i in range(len(padded) - 2))
+    return sorted(found)
+
+
 def _words(c: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(c), _BREAK, " "))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,12 +29,14 @@ def decode_branches(tables: dict[str, DataFrame], estab: DataFrame) -> DataFrame
     return decode(rows, tables["dim_municipio"], "municipio_cod", "municipio", text="nome")
 
 
-def branch_view(tables: dict[str, DataFrame], cnpj: str | None = None, uf: str | None = None) -> DataFrame:
+def branch_view(tables: dict[str, DataFrame], cnpj: str | None = None, uf: str | None = None,
+                first: Sequence[str] | None = None) -> DataFrame:
     """Every branch, or the one with the given id, next to its company.
 
     A state reads one partition. An id is pushed to both scans (the company's key is part of
     it) and yields a single row, the first by state. Over all branches the only wide join is
-    the one with the company; adaptive execution splits the branches of a hot company.
+    the one with the company; adaptive execution splits the branches of a hot company. ``first`` keeps one
+    row of each id, the first by state and then by these columns, NULLs first.
     """
     estab, empresa = tables["estabelecimento"], tables["empresa"]
     if uf:
@@ -42,6 +46,8 @@ def branch_view(tables: dict[str, DataFrame], cnpj: str | None = None, uf: str |
             raise ValueError("a branch id has 14 characters")
         estab = keep_first(estab.filter(F.col("cnpj") == cnpj), ["cnpj"], ["uf"])
         empresa = empresa.filter(F.col("cnpj_basico") == base_id(F.lit(cnpj)))
+    elif first is not None:
+        estab = keep_first(estab, ["cnpj"], ["uf", *first])
     company = empresa.select("cnpj_basico", "razao_social", "capital_social", "natureza_juridica_cod")
     rows = estab.join(company, "cnpj_basico", "left")
     rows = decode_branches(tables, rows)

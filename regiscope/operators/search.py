@@ -41,8 +41,8 @@ def name_similarity_batch(df: DataFrame, column: str, queries: DataFrame, query_
     """
     if threshold <= 0:
         raise ValueError("the threshold must be above 0")
-    names = _gram_sets(df, column, "_name")
-    asked = _gram_sets(queries, query_col, "_query")
+    names = gram_sets(df, column, "_name")
+    asked = gram_sets(queries, query_col, "_query")
     counts = names.select(F.explode("_grams").alias("_gram")).groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     rare = [_rarest(sets, text, counts, threshold) for sets, text in ((names, "_name"), (asked, "_query"))]
     pairs = rare[0].join(rare[1], "_gram").select("_name", "_query").distinct()
@@ -54,7 +54,7 @@ def name_similarity_batch(df: DataFrame, column: str, queries: DataFrame, query_
     return df.join(found, F.col(column) == F.col("_name")).drop("_name")
 
 
-def _gram_sets(df: DataFrame, column: str, text: str) -> DataFrame:
+def gram_sets(df: DataFrame, column: str, text: str) -> DataFrame:
     """``(text, _grams)`` of the distinct texts that have trigrams."""
     texts = df.select(F.col(column).alias(text)).filter(F.col(text).isNotNull()).distinct()
     return texts.withColumn("_grams", trigram.trigrams(F.col(text))).filter(F.size("_grams") > 0)
@@ -74,12 +74,13 @@ def establishments_by_activity(estab: DataFrame, bridge: DataFrame, code: int,
                                include_primary: bool = True) -> DataFrame:
     """Branches with the activity, each once; ``origem`` tells main from secondary.
 
-    One join to the branches that list the activity; an adaptive join splits what is hot.
+    Two scans, both cut short: the branches with it as their main activity by a filter that reaches the
+    files, the others by a semi join to the branches that the bridge lists for it.
     """
-    having = bridge.filter(F.col("cnae_cod") == code).select("cnpj").distinct()
+    having = bridge.filter(F.col("cnae_cod") == code).select("cnpj")
+    is_primary = F.col("cnae_fiscal_principal") == F.lit(code)
+    others = estab if not include_primary else estab.filter(~is_primary | F.col("cnae_fiscal_principal").isNull())
+    listed = others.join(having, "cnpj", "left_semi").select(*estab.columns, F.lit("secundaria").alias("origem"))
     if not include_primary:
-        return estab.join(having, "cnpj", "left_semi").withColumn("origem", F.lit("secundaria"))
-    is_primary = F.col("cnae_fiscal_principal").eqNullSafe(F.lit(code))
-    listed = estab.join(having.withColumn("_listed", F.lit(True)), "cnpj", "left")
-    origin = F.when(is_primary, "principal").when(F.col("_listed"), "secundaria")
-    return listed.withColumn("origem", origin).filter("origem is not null").select(*estab.columns, "origem")
+        return listed
+    return estab.filter(is_primary).withColumn("origem", F.lit("principal")).unionByName(listed)

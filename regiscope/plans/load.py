@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import TypeVar
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,16 +19,24 @@ from regiscope.operators.sample import coherent_sample, first_archive_anchor
 from regiscope.operators.transform import (
     REJECTS, reject_all, rejects, transform_all, transform_regime,
 )
+from regiscope.plans.bitmaps import write_bitmaps
 from regiscope.plans.marts import MART_KEYS, write_marts
+from regiscope.plans.name_index import INDEXED, index_tables, write_index
 from regiscope.plans.publish import (
-    MAX_FILE_ROWS, commit, current_versions, new_version, tables, version_path, write_version,
+    BITMAPS, MAX_FILE_ROWS, SKETCHES, commit, current_versions, new_version, read_table, tables, version_path,
+    write_version,
 )
-from regiscope.schemas import ARRIVAL, CORRUPT, DOMAINS, STAGING_COLUMNS
+from regiscope.plans.sketches import write_sketches
+from regiscope.schemas import ARRIVAL, CORRUPT, DOMAINS, STAGING_COLUMNS, STAGING_SCHEMAS
 from regiscope.session import remove, work_path
 from regiscope.sources.domains import domain_dim
-from regiscope.sources.feeds import missing_feeds, read_feed
+from regiscope.sources.feeds import missing_feeds, read_feed, read_optional
 
 T = TypeVar("T")
+_LOG = logging.getLogger(__name__)
+# What an unreadable file or value raises, by way of Spark.
+FAILURES = (PySparkException, Py4JJavaError, OSError)
+REGIME = "regime_tributario"
 JOBS_AT_ONCE = 4
 # Tables with a surrogate id, renewed at each load.
 WITH_ID = ("socio", "regime_tributario")
@@ -60,10 +71,25 @@ def land(staging: DataFrame, feed: str, folder: str) -> DataFrame:
     return staging.sparkSession.read.parquet(path)
 
 
-def land_all(spark: SparkSession, folder: str, landing: str, mode: str = "failfast") -> dict[str, DataFrame]:
-    """All feeds of a snapshot folder, landed; missing ones are empty."""
+def land_all(spark: SparkSession, folder: str, landing: str, mode: str = "failfast",
+             optional: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """All feeds of a snapshot folder, landed; missing ones are empty, ``optional`` ones that cannot be read left out."""
     feeds = {feed: read_feed(spark, folder, feed, mode=mode) for feed in STAGING_COLUMNS}
-    return _side_by_side(lambda feed, df: land(df, feed, landing), feeds)
+
+    def job(feed: str, df: DataFrame) -> DataFrame | None:
+        try:
+            return land(df, feed, landing)
+        except FAILURES as error:
+            if feed not in optional:
+                raise
+            _unread(feed, folder, error)
+            return None
+
+    return {feed: df for feed, df in _side_by_side(job, feeds).items() if df is not None}
+
+
+def _unread(feed: str, folder: str, error: Exception) -> None:
+    _LOG.warning("feed %s of %s is left as it was: %s", feed, folder, str(error).split("\n")[0])
 
 
 def land_sample(spark: SparkSession, folder: str, landing: str, n: int, mode: str = "failfast") -> dict[str, DataFrame]:
@@ -117,13 +143,17 @@ def _side_by_side(job: Callable[[str, DataFrame], T], frames: dict[str, DataFram
 
 def load_registry(spark: SparkSession, folder: str, root: str, month: str | None = None,
                   sample: int = 0, keep_staging: str | None = None, required: Sequence[str] = (),
-                  **options) -> DataFrame:
+                  name_index: Sequence[str] = (), bitmaps: bool = False, sketches: bool = False,
+                  optional: Sequence[str] = (), **options) -> DataFrame:
     """A full load, or a coherent sample of ``sample`` branches, ending with the row counts.
 
     Feeds that the folder lacks (``missing_feeds`` names them) load as empty tables, unless they are
     ``required``; a sample requires the establishments. Everything is written first and
     committed together; what a failed load wrote is removed. ``keep_staging`` is a path to land
-    the feeds at and leave them.
+    the feeds at and leave them. ``name_index`` names tables whose names are to be indexed, ``bitmaps``
+    and ``sketches`` ask for those of the branches and regimes; what is published already is made anew.
+    With ``optional=["regime"]`` regimes that cannot be read or loaded never hold up the rest: those that are
+    published stay as they are.
 
     With ``strict=False`` values that do not parse become NULL, rows without a required value and
     records of the wrong width stay out, and all of them are published: ``rejects_<table>`` by
@@ -139,7 +169,10 @@ def load_registry(spark: SparkSession, folder: str, root: str, month: str | None
     names = [*MART_KEYS, HOT_TABLE]
     try:
         landed = land_sample(spark, folder, landing, sample, mode) if sample > 0 else land_all(
-            spark, folder, landing, mode)
+            spark, folder, landing, mode, optional)
+        lost = "regime" not in landed
+        if lost:
+            landed["regime"] = read_optional(spark, f"{folder}/-", STAGING_SCHEMAS["regime"], mode=mode)
         staging = _whole_records(landed)
         typed = transform_all(staging, **options)
         typed |= {name: domain_dim(spark, name) for name in DOMAINS}
@@ -149,10 +182,25 @@ def load_registry(spark: SparkSession, folder: str, root: str, month: str | None
             if CORRUPT in landed["regime"].columns:
                 typed[BROKEN_REGIME] = _broken_records({"regime": landed["regime"]})
         names += typed
+        regimes = {n: typed.pop(n) for n in (REGIME, f"{REJECTS}{REGIME}", BROKEN_REGIME) if n in typed} if "regime" in optional else {}
         paths = write_tables(root, typed, version)
+        if regimes:
+            paths |= _regimes(spark, root, folder, regimes, version, lost)
         written = {name: spark.read.parquet(path) for name, path in paths.items()}
+        if REGIME not in written:
+            written[REGIME] = read_table(spark, root, REGIME)
         paths |= write_marts(spark, root, written["empresa"], written["estabelecimento"], version)
         paths[HOT_TABLE] = write_version(hot_companies(written), root, HOT_TABLE, version=version)
+        for table in _indexed(spark, root, name_index):
+            names += index_tables(table).values()
+            paths |= write_index(root, table, written[table], *INDEXED[table], version)
+        held = current_versions(spark, root)
+        if bitmaps or BITMAPS in held:
+            names.append(BITMAPS)
+            paths |= write_bitmaps(root, written["estabelecimento"], written["estabelecimento_cnae_secundario"], version)
+        if sketches or SKETCHES in held:
+            names.append(SKETCHES)
+            paths |= write_sketches(root, written["regime_tributario"], written["estabelecimento"], version)
     except Exception:
         for name in names:
             remove(spark, version_path(root, name, version))
@@ -160,10 +208,33 @@ def load_registry(spark: SparkSession, folder: str, root: str, month: str | None
     finally:
         if not keep_staging:
             remove(spark, landing)
-    commit(spark, root, paths, month, _outdated(spark, root, paths))
+    retired = _outdated(spark, root, paths)
+    if REGIME not in paths:
+        retired = [t for t in retired if t not in (f"{REJECTS}{REGIME}", BROKEN_REGIME)]
+    commit(spark, root, paths, month, retired)
     return aggregates.load_audit(written)
 
 
+def _regimes(spark: SparkSession, root: str, folder: str, tables: dict[str, DataFrame], version: str, lost: bool) -> dict[str, str]:
+    """Paths of the written regimes and their rejects; none when they cannot be loaded and there are some published."""
+    if not lost:
+        try:
+            return write_tables(root, tables, version)
+        except FAILURES as error:
+            for name in tables:
+                remove(spark, version_path(root, name, version))
+            _unread("regime", folder, error)
+    if REGIME in current_versions(spark, root):
+        return {}
+    return write_tables(root, {REGIME: tables[REGIME].limit(0)}, version)
+
+
+def _indexed(spark: SparkSession, root: str, wanted: Sequence[str]) -> list[str]:
+    """Tables whose names a load has to index."""
+    held = current_versions(spark, root)
+    return [t for t in INDEXED if t in wanted or index_tables(t)["nomes"] in held]
+
+
 def _outdated(spark: SparkSession, root: str, paths: dict[str, str], only: Sequence[str] = ()) -> list[str]:
     """Published tables of rejects, all or some, that a load does not renew."""
     held = [t for t in current_versions(spark, root) if t.startswith(REJECTS) and t not in paths]
@@ -189,5 +260,7 @@ def load_regime(spark: SparkSession, folder: str, root: str, **options) -> DataF
     now = tables(spark, root) | {table: regime}
     if HOT_TABLE in now:
         paths[HOT_TABLE] = write_version(hot_companies(now), root, HOT_TABLE)
+    if SKETCHES in now:
+        paths |= write_sketches(root, regime, now["estabelecimento"])
     commit(spark, root, paths, retired=_outdated(spark, root, paths, (f"{REJECTS}{table}", BROKEN_REGIME)))
     return aggregates.regime_summary(regime)

@@ -28,6 +28,12 @@ _LOG_SCHEMA = StructType([
 ])
 # In place of a path: the table is no longer published.
 _RETIRED = ""
+# Tables made from another begin with this and its name.
+DERIVED = "indice_"
+BITMAPS = f"{DERIVED}estabelecimento_bits"
+SKETCHES = f"{DERIVED}regime_tributario_esbocos"
+# Those made from further tables.
+ALSO_FROM = {BITMAPS: "estabelecimento_cnae_secundario", SKETCHES: "estabelecimento"}
 # Rows per file: keeps one task's output in several files that later scans can share out.
 MAX_FILE_ROWS = 5_000_000
 
@@ -121,12 +127,15 @@ def publish(df: DataFrame, root: str, table: str, partition_by: str | None = Non
     """Replace one table by a full snapshot; running it again gives the same content.
 
     The list of hot companies was counted on the children published with it. When one of them is
-    replaced the list goes, and documents count anew.
+    replaced the list goes, and documents count anew. What else was made from the table, such as the index
+    of its names, goes as well.
     """
     spark = df.sparkSession
     path = write_version(df, root, table, partition_by, cluster_by, bloom)
-    stale = table in CHILD_TABLES.values() and HOT_TABLE in current_versions(spark, root)
-    commit(spark, root, {table: path}, month, [HOT_TABLE] if stale else [])
+    held = current_versions(spark, root)
+    stale = [HOT_TABLE] if table in CHILD_TABLES.values() and HOT_TABLE in held else []
+    stale += [t for t in held if t.startswith(f"{DERIVED}{table}_") or ALSO_FROM.get(t) == table]
+    commit(spark, root, {table: path}, month, stale)
     return path
 
 

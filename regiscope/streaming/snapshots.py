@@ -97,8 +97,9 @@ def required_archives() -> list[str]:
 
 def ingest_registry(spark: SparkSession, root: str, target: str, checkpoint: str, **options) -> None:
     """Load and publish the newest complete month of archives below ``root``, aggregates
-    included, if it is newer than the published one."""
+    included, if it is newer than the published one. Tax regimes that are absent load as none; files of
+    theirs that are broken leave the published ones and hold up nothing."""
     def load_month(session: SparkSession, folder: str, month: str) -> None:
-        load_registry(session, folder, target, month=month, **options)
+        load_registry(session, folder, target, month=month, **{"optional": ("regime",)} | options)
 
     ingest_new_months(spark, root, target, checkpoint, load_month, required_archives(), "*.zip")
