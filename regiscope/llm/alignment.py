@@ -23,17 +23,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiscope.llm.common import lean, written
-from regiscope.llm.tokens import encoder
+from regiscope.llm.tokens import encoder, joined
 
 # Bytes of text aligned at a time, and tokens of A after which a document is divided.
-CHUNK = 1 << 20
+CHUNK = 2 << 20
 LANE = 512
 # Tokens of A that are tried for a division.
 TRIED = 32
+# Bytes of words and their pieces that a worker remembers.
+PIECES = 48 << 20
+# Texts whose blanks do not each begin a word.
+_RUNS = "  |\\A[ \\n]| \\z| \\n|\u2581"
 
 
 def lockstep(a: np.ndarray, b: np.ndarray, low_a: np.ndarray, high_a: np.ndarray, low_b: np.ndarray,
@@ -77,52 +82,106 @@ def lanes(a: np.ndarray, b: np.ndarray, start_a: np.ndarray, start_b: np.ndarray
     return edge_a[:-1], edge_a[1:], edge_b[:-1], edge_b[1:]
 
 
+class Pieces:
+    """Ids of texts by a sentencepiece model.
+
+    A blank stands at a piece's beginning or not at all, and a line break in no piece, so the ids of a text
+    are those of its words, a word behind a line break being taken with it. Distinct words are
+    remembered up to a bound of bytes. Texts with runs of blanks, or under a model of another kind, go through whole.
+    """
+
+    def __init__(self, path: str) -> None:
+        from sentencepiece import SentencePieceProcessor
+
+        self.model = SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(n) for n in range(self.model.get_piece_size())]
+        self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(n) else p.replace("▁", " ").encode() for n, p in enumerate(pieces)]
+        self.dtype = np.dtype("<u2" if len(pieces) <= 1 << 16 else "<u4")
+        probe = self.model.encode(["a  b ", " a", "\n"])
+        apart = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
+        kept = all(b"".join(self.bytes[i] for i in ids) == t for ids, t in zip(probe, (b" a  b ", b"  a", b" \n")))
+        self.by_word = apart and kept and len(probe[2]) == 2
+        self.known: dict[str, bytes] = {}
+        self.held = 0
+
+    def _packed(self, texts: list[str]) -> list[bytes]:
+        return [np.array(ids, self.dtype).tobytes() for ids in self.model.encode(texts, num_threads=1)] if texts else []
+
+    def _words(self, words: np.ndarray) -> list[bytes]:
+        if self.held > PIECES:
+            self.known, self.held = {}, 0
+        new = [w for w in words if w not in self.known]
+        for word, ids in zip(new, self._packed(new)):
+            # Behind a line break there is no blank.
+            self.known[word] = ids[self.dtype.itemsize :] if word[:1] == "\n" else ids
+            self.held += 2 * len(word) + len(ids) + 190
+        return [self.known[w] for w in words]
+
+    def encode_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, none of which is NULL, and where each text's end."""
+        odd = pc.match_substring_regex(texts, _RUNS).to_numpy(zero_copy_only=False) if self.by_word else np.ones(len(texts), bool)
+        odd = odd | pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        lines = pc.replace_substring(pc.if_else(pa.array(odd), "", texts), "\n", " \n")
+        ids, stops = joined(lines, self._words, self.dtype)
+        if odd.any():
+            parts = np.split(ids, stops[:-1])
+            at = np.flatnonzero(odd).tolist()
+            for i, own in zip(at, self._packed([texts[i].as_py() for i in at])):
+                parts[i] = np.frombuffer(own, self.dtype)
+            ids, stops = np.concatenate(parts), np.cumsum([len(p) for p in parts])
+        return ids, stops
+
+
+def _spelled(table: pa.Array, ids: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """The texts of ids one after another, as bytes, and where each begins, and the last ends."""
+    taken = table.take(pa.array(ids))
+    return memoryview(taken.buffers()[2] or b"").cast("B"), np.frombuffer(taken.buffers()[1], np.int64)[: len(ids) + 1]
+
+
 class Aligner:
     """Both tokenizers with the bytes and the written ids of their tokens."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        from sentencepiece import SentencePieceProcessor
-
-        self.a = encoder(path_a, specials=False)
-        self.b = SentencePieceProcessor(model_file=path_b)
+        self.a, self.b = encoder(path_a, specials=False), Pieces(path_b)
         byte_of = {letter: byte for byte, letter in self.a.letters.items()}
         self.bytes_a = [b""] * self.a.tokenizer.get_vocab_size(True)
         for token, n in self.a.tokenizer.get_vocab(True).items():
             known = all(c in byte_of for c in token)
             self.bytes_a[n] = bytes(byte_of[c] for c in token) if known else token.encode()
-        pieces = [self.b.id_to_piece(n) for n in range(self.b.get_piece_size())]
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(n) else p.replace("▁", " ").encode() for n, p in enumerate(pieces)]
+        self.bytes_b = self.b.bytes
         self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.table_a, self.table_b = pa.array(self.bytes_a, pa.large_binary()), pa.array(self.bytes_b, pa.large_binary())
         # An id of A with what follows inside and at the end of its group, one of B, and at the end of all.
-        self.signs = [f"{n}{c}" for n in range(len(self.bytes_a)) for c in ",|"]
-        self.signs += [f"{n}{c}" for n in range(len(pieces)) for c in (",", ";", "")]
+        signs = [f"{n}{c}" for n in range(len(self.bytes_a)) for c in ",|"]
+        signs += [f"{n}{c}" for n in range(len(self.bytes_b)) for c in (",", ";", "")]
+        self.signs = pa.array(signs, pa.large_string())
 
     def align(self, texts: pa.Array) -> Iterator[list[tuple]]:
         """For each text, some texts at a time: ``(n_a, n_b, n_groups, n_links, digest, pairs, times)``."""
         at = 0
         for ids, stops in self.a.encode_many(texts, spaced=True, chunk=CHUNK):
-            some = texts.slice(at, len(stops)).to_pylist()
+            some = texts.slice(at, len(stops)).fill_null("")
             at += len(stops)
-            yield self._chunk(some, np.split(ids, stops[:-1]))
+            yield self._chunk(some, ids, np.concatenate(([0], stops)), *self.b.encode_many(some))
 
-    def _chunk(self, texts: list[str | None], ids_a: list[np.ndarray]) -> list[tuple]:
+    def _chunk(self, texts: pa.Array, a: np.ndarray, start_a: np.ndarray, b: np.ndarray, stop_b: np.ndarray) -> list[tuple]:
         out: list[tuple] = [(0, 0, 0, 0, "", [], [])] * len(texts)
-        some = [i for i, t in enumerate(texts) if t]
-        ids_b = self.b.encode([texts[i] for i in some], num_threads=1) if some else []
-        kept, of_a, of_b = [], [], []
-        for i, b in zip(some, ids_b):
-            a = ids_a[i].tolist()
-            want = b" " + texts[i].encode()
-            if b"".join(map(self.bytes_a.__getitem__, a)) == want and b"".join(map(self.bytes_b.__getitem__, b)) == want:
-                kept.append(i)
-                of_a.append(ids_a[i].astype(np.int64))
-                of_b.append(np.array(b, np.int64))
-        if not kept:
+        start_b = np.concatenate(([0], stop_b))
+        said_a, edge_a = _spelled(self.table_a, a)
+        said_b, edge_b = _spelled(self.table_b, b)
+        good = np.zeros(len(texts), bool)
+        for i, text in enumerate(texts.cast(pa.binary())):
+            text = text.as_py()
+            want = b" " + text
+            good[i] = (len(text) > 0 and said_a[edge_a[start_a[i]] : edge_a[start_a[i + 1]]] == want
+                       and said_b[edge_b[start_b[i]] : edge_b[start_b[i + 1]]] == want)
+        kept = np.flatnonzero(good)
+        if not len(kept):
             return out
-        a, b = np.concatenate(of_a), np.concatenate(of_b)
-        start_a = np.cumsum([0, *map(len, of_a)])
-        start_b = np.cumsum([0, *map(len, of_b)])
+        n_a, n_b = np.diff(start_a), np.diff(start_b)
+        a, b = a[np.repeat(good, n_a)].astype(np.int64), b[np.repeat(good, n_b)].astype(np.int64)
+        start_a, start_b = np.cumsum(np.r_[0, n_a[kept]]), np.cumsum(np.r_[0, n_b[kept]])
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         i, j = lockstep(ends_a, ends_b, *lanes(ends_a, ends_b, start_a, start_b))
         # Every cut ends a group of both, and a document ends with a cut.
@@ -134,14 +193,14 @@ class Aligner:
         last_b[start_b[1:] - 1] = 2
         signs[np.arange(len(a)) + np.r_[0, j + 1][group_a]] = 2 * a + cut_a
         signs[np.arange(len(b)) + (i + 1)[group_b]] = 2 * len(self.bytes_a) + 3 * b + last_b
+        written_, place = _spelled(self.signs, signs)
         pairs = a[i] * len(self.bytes_b) + b[j]
         links = np.searchsorted(i, start_a)
-        for k, doc in enumerate(kept):
-            codes = signs[start_a[k] + start_b[k] : start_a[k + 1] + start_b[k + 1]].tolist()
-            digest = hashlib.sha256("".join(map(self.signs.__getitem__, codes)).encode()).hexdigest()
+        for k, doc in enumerate(kept.tolist()):
+            digest = hashlib.sha256(written_[place[start_a[k] + start_b[k]] : place[start_a[k + 1] + start_b[k + 1]]]).hexdigest()
             n = int(links[k + 1] - links[k])
             own, times = np.unique(pairs[links[k] : links[k + 1]], return_counts=True)
-            out[doc] = (len(of_a[k]), len(of_b[k]), n, n, digest, own, times)
+            out[doc] = (int(n_a[doc]), int(n_b[doc]), n, n, digest, own, times)
         return out
 
 

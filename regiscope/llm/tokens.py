@@ -16,7 +16,7 @@ import re
 import sys
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from string import punctuation
 
 import numpy as np
@@ -70,6 +70,22 @@ _UNSTABLE_LETTERS = _unstable()
 _UNSTABLE = re.compile(f"[{_UNSTABLE_LETTERS}]")
 
 
+def joined(lines: pa.Array, ids_of: Callable[[np.ndarray], list[bytes]], dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of texts cut at every blank, and where each text's end; ``ids_of`` gives those of distinct words."""
+    words = pc.split_pattern(lines, " ")
+    found = words.flatten().dictionary_encode()
+    ids = ids_of(found.dictionary.to_numpy(zero_copy_only=False))
+    lens = np.fromiter(map(len, ids), np.int32, len(ids)) // dtype.itemsize
+    flat = np.frombuffer(b"".join(ids), dtype)
+    index = found.indices.to_numpy()
+    counts = lens[index]
+    ends = np.cumsum(counts)
+    first = (np.cumsum(lens) - lens)[index] - (ends - counts)
+    place = np.repeat(first.astype(np.int32 if ends.size and ends[-1] < 1 << 31 else np.int64), counts)
+    place += np.arange(len(place), dtype=place.dtype)
+    return flat[place], np.concatenate(([0], ends))[words.offsets.to_numpy()[1:] - words.offsets[0].as_py()]
+
+
 class Encoder(dict):
     """``encode(text)`` gives the ids as bytes, ``width`` little-endian bytes each.
 
@@ -159,19 +175,7 @@ class Encoder(dict):
         else:
             odd[:] = True
             lines = pc.if_else(pa.array(odd), "", texts)
-        words = pc.split_pattern(lines, " ")
-        found = words.flatten().dictionary_encode()
-        ids = list(map(self.spaced.__getitem__, found.dictionary.to_numpy(zero_copy_only=False)))
-        lens = np.fromiter(map(len, ids), np.int32, len(ids)) // self.width
-        flat = np.frombuffer(b"".join(ids), self.dtype)
-        index = found.indices.to_numpy()
-        counts = lens[index]
-        ends = np.cumsum(counts)
-        first = (np.cumsum(lens) - lens)[index] - (ends - counts)
-        place = np.repeat(first.astype(np.int32 if ends.size and ends[-1] < 1 << 31 else np.int64), counts)
-        place += np.arange(len(place), dtype=place.dtype)
-        out = flat[place]
-        stops = np.concatenate(([0], ends))[words.offsets.to_numpy()[1:] - words.offsets[0].as_py()]
+        out, stops = joined(lines, lambda words: list(map(self.spaced.__getitem__, words)), self.dtype)
         if odd.any():
             parts = np.split(out, stops[:-1])
             for i in np.flatnonzero(odd).tolist():
@@ -211,7 +215,7 @@ class Encoder(dict):
                 each.clear()
             Encoder.held = 0
         self[word] = ids
-        Encoder.held += sys.getsizeof(word) + sys.getsizeof(ids) + 104
+        Encoder.held += 2 * len(word) + len(ids) + 190
 
     def _lines(self, table: Encoder, word: str) -> bytes:
         """A first word from ``table``, and those behind line breaks, each between two other signs."""

@@ -159,7 +159,7 @@ def alignments(both, texts):
 @pytest.mark.parametrize("lane", [2, 512])
 def test_lockstep_equals_brute_force(both, lane, monkeypatch):
     monkeypatch.setattr(alignment.lanes, "__defaults__", (lane,))
-    monkeypatch.setattr(alignment, "CHUNK", 1 << 20 if lane > 2 else 3_000)
+    monkeypatch.setattr(alignment, "CHUNK", 2 << 20 if lane > 2 else 3_000)
     draw = random.Random(lane)
     texts = [None, "", "▁", " "] + ["".join(draw.choices(draw.choice(SPECIAL), k=draw.randint(0, 60))) for _ in range(3000)]
     got = [f for some in both[0].align(pa.array(texts, pa.string())) for f in some]
