@@ -16,9 +16,9 @@ from fixtures import star
 from fixtures.archives import write_archives
 from regiscope.functions import clean, ids
 from regiscope.operators import (
-    aggregates, branches, dedup, documents, lookup, network, quality, sample, search, transform,
+    aggregates, branches, dedup, documents, frequent, lookup, network, quality, sample, search, transform,
 )
-from regiscope.plans import bitmaps, incremental, load, marts, name_index, publish, sketches
+from regiscope.plans import bitmaps, cube, incremental, load, marts, name_index, publish, sketches
 from regiscope.schemas import (
     ARRIVAL, FACT_FEEDS, FACT_KEYS, FEED_GLOBS, STAGING_COLUMNS, STAGING_SCHEMAS, TYPED_COLUMNS,
 )
@@ -982,6 +982,51 @@ def bitmap_counts(spark, sf):
     return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("conta"), "codigo", "qtd") for name, df in parts])
 
 
+_CUBE = (
+    ("total", (), {}, "true"), ("estado", (), {"uf": "SP"}, "uf = 'SP'"), ("atividade", (), {"cnae": "17"}, "cnae_fiscal_principal = 17"),
+    ("ativas", ("uf",), {"situacao": 2}, "situacao_cadastral = 2"),
+    ("lugar", ("municipio_cod",), {"uf": "RJ", "situacao": "8"}, "uf = 'RJ' AND situacao_cadastral = 8"),
+    ("tudo", ("cnae_fiscal_principal",), {"uf": "MG", "situacao": "2", "municipio": 7}, "uf = 'MG' AND situacao_cadastral = 2 AND municipio_cod = 7"),
+    ("ilegivel", ("situacao_cadastral",), {"uf": "", "cnae": "abc"}, "true"), ("nenhuma", (), {"uf": "ZZ"}, "uf = 'ZZ'"),
+)
+
+
+@query("e3_cube_routing", _sql("estabelecimento") + " UNION ALL ".join(
+    f"SELECT '{name}' AS conta, {f'CAST({by[0]} AS VARCHAR)' if by else 'NULL'} AS chave, count(*) AS qtd FROM estabelecimento WHERE {where}"
+    + (" GROUP BY 2" if by else "") for name, by, _, where in _CUBE))
+def cube_routing(spark, sf):
+    """Filters and groupings of branches, each from the smallest grouping of the published cube that fits."""
+    root = work_path(spark, "cube")
+    publish.commit(spark, root, cube.write_cube(root, star.typed(spark, sf, "estabelecimento")["estabelecimento"]))
+    t = publish.tables(spark, root)
+    return reduce(DataFrame.unionByName, [
+        cube.count_by(t, by, **given).select(F.lit(name).alias("conta"), (F.col(by[0]) if by else F.lit(None)).cast("string").alias("chave"), "qtd")
+        for name, by, given, _ in _CUBE])
+
+
+@query("l6_frequent_pairs", _sql("estabelecimento") + """,
+ p AS (SELECT 'lugar' AS par, uf AS a, CAST(municipio_cod AS VARCHAR) AS b, count(*) AS n FROM estabelecimento WHERE uf IS NOT NULL AND municipio_cod IS NOT NULL GROUP BY 2, 3
+   UNION ALL SELECT 'atividade', CAST(cnae_fiscal_principal AS VARCHAR), CAST(situacao_cadastral AS VARCHAR), count(*) FROM estabelecimento
+   WHERE cnae_fiscal_principal IS NOT NULL AND situacao_cadastral IS NOT NULL GROUP BY 2, 3)
+SELECT par, a, b, n, n / sum(n) OVER (PARTITION BY par) AS parte FROM p
+QUALIFY row_number() OVER (PARTITION BY par ORDER BY n DESC, a, b) <= 20""")
+def frequent_pairs(spark, sf):
+    """The twenty most frequent pairs of state and municipality, and of activity and status."""
+    estab = star.typed(spark, sf, "estabelecimento")["estabelecimento"]
+    return reduce(DataFrame.unionByName, [
+        frequent.frequent_pairs(estab, a, b, 20, 64).select(F.lit(name).alias("par"), "a", "b", "n", "parte")
+        for name, a, b in (("lugar", "uf", "municipio_cod"), ("atividade", "cnae_fiscal_principal", "situacao_cadastral"))])
+
+
+@query("l6_dependencies", _sql("estabelecimento") + """,
+ p AS (SELECT municipio_cod AS a, uf AS b, count(*) AS n FROM estabelecimento WHERE municipio_cod IS NOT NULL AND uf IS NOT NULL GROUP BY 1, 2)
+SELECT CAST(a AS VARCHAR) AS a, CAST(sum(n) AS BIGINT) AS n, arg_max(b, (n, -rank)) AS b, max(n) / sum(n) AS grau
+FROM (SELECT *, row_number() OVER (ORDER BY b) AS rank FROM p) GROUP BY 1""")
+def dependencies(spark, sf):
+    """How far each municipality decides the state."""
+    return frequent.dependencies(star.typed(spark, sf, "estabelecimento")["estabelecimento"], "municipio_cod", "uf")
+
+
 @query("l5_by_size", _sql("empresa", "dim_porte") + """
 SELECT porte_cod, descricao AS porte, count(*) AS qtd FROM empresa
 LEFT JOIN dim_porte ON codigo = porte_cod GROUP BY ALL""")

@@ -20,6 +20,7 @@ from regiscope.operators.transform import (
     REJECTS, reject_all, rejects, transform_all, transform_regime,
 )
 from regiscope.plans.bitmaps import write_bitmaps
+from regiscope.plans.cube import CUBE, SIZES, write_cube
 from regiscope.plans.marts import MART_KEYS, write_marts
 from regiscope.plans.name_index import INDEXED, index_tables, write_index
 from regiscope.plans.publish import (
@@ -144,14 +145,14 @@ def _side_by_side(job: Callable[[str, DataFrame], T], frames: dict[str, DataFram
 def load_registry(spark: SparkSession, folder: str, root: str, month: str | None = None,
                   sample: int = 0, keep_staging: str | None = None, required: Sequence[str] = (),
                   name_index: Sequence[str] = (), bitmaps: bool = False, sketches: bool = False,
-                  optional: Sequence[str] = (), **options) -> DataFrame:
+                  cube: bool = False, optional: Sequence[str] = (), **options) -> DataFrame:
     """A full load, or a coherent sample of ``sample`` branches, ending with the row counts.
 
     Feeds that the folder lacks (``missing_feeds`` names them) load as empty tables, unless they are
     ``required``; a sample requires the establishments. Everything is written first and
     committed together; what a failed load wrote is removed. ``keep_staging`` is a path to land
-    the feeds at and leave them. ``name_index`` names tables whose names are to be indexed, ``bitmaps``
-    and ``sketches`` ask for those of the branches and regimes; what is published already is made anew.
+    the feeds at and leave them. ``name_index`` names tables whose names are to be indexed, ``bitmaps``,
+    ``cube`` and ``sketches`` ask for those of the branches and regimes; what is published already is made anew.
     With ``optional=["regime"]`` regimes that cannot be read or loaded never hold up the rest: those that are
     published stay as they are.
 
@@ -198,6 +199,9 @@ def load_registry(spark: SparkSession, folder: str, root: str, month: str | None
         if bitmaps or BITMAPS in held:
             names.append(BITMAPS)
             paths |= write_bitmaps(root, written["estabelecimento"], written["estabelecimento_cnae_secundario"], version)
+        if cube or CUBE in held:
+            names += [CUBE, SIZES]
+            paths |= write_cube(root, written["estabelecimento"], version=version)
         if sketches or SKETCHES in held:
             names.append(SKETCHES)
             paths |= write_sketches(root, written["regime_tributario"], written["estabelecimento"], version)
