@@ -2,60 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
-from regiscope.sources import zipcsv
+from regiscope.sources.feeds import write_zip_csv
 
 
-def write_archives(df: DataFrame, folder: str, prefix: str, sep: str = ";",
-                   charset: str = "iso8859-15", header: bool = False, members: int = 1,
-                   newline: str = "\n", zipped: bool = True, numbered: bool = True) -> str:
-    """One archive (or plain file) per partition, written by its task; returns the folder.
-
-    File names follow the partition, in its order, so a repeated task writes the same file again; rows in
-    a single partition may go without the number. Each archive holds ``members`` files, each
-    with its own header line when there is one: the first batch is dealt to all, the last goes on
-    with the others. Batches are written as they come. Blank texts are quoted, NULLs are not.
-    """
-    cloudpickle.register_pickle_by_value(zipcsv)
-    open_fs = zipcsv.open_fs
-    top = sep.join(df.columns) + newline if header else ""
-
-    def write(batches):
-        import io
-        import zipfile
-        from contextlib import nullcontext
-        from itertools import chain
-
-        import pyarrow as pa
-        from pyarrow import csv
-        from pyspark import TaskContext
-
-        def encoded(batch):
-            out = io.BytesIO()
-            csv.write_csv(batch, out, csv.WriteOptions(include_header=False, delimiter=sep, quoting_style="all_valid"))
-            text = out.getvalue().decode("utf8")
-            return (text if newline == "\n" else text.replace("\n", newline)).encode(charset)
-
-        batches = (b for b in batches if b.num_rows)
-        first, rows = next(batches, None), 0
-        if first is not None:
-            files, path = open_fs(folder)
-            files.create_dir(path, recursive=True)
-            number = f"{TaskContext.get().partitionId():06d}" if numbered else ""
-            size = -(-first.num_rows // members)
-            parts = [[first.slice(i * size, size)] for i in range(members)]
-            parts[-1] = chain(parts[-1], batches)
-            with files.open_output_stream(f"{path}/{prefix}{number}.{'zip' if zipped else 'csv'}") as f, (
-                    zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) if zipped else nullcontext()) as z:
-                for i, part in enumerate(parts):
-                    with z.open(f"part{i}.csv", "w", force_zip64=True) if zipped else nullcontext(f) as out:
-                        out.write(top.encode(charset))
-                        for batch in part:
-                            out.write(encoded(batch))
-                            rows += batch.num_rows
-        yield pa.RecordBatch.from_pydict({"rows": pa.array([rows], pa.int64())})
-
-    df.mapInArrow(write, "rows long").write.format("noop").mode("overwrite").save()
-    return folder
+def write_archives(df: DataFrame, folder: str, prefix: str, **options) -> str:
+    """One archive (or plain file) per partition, through the library's sink; returns the folder."""
+    return write_zip_csv(df, folder, prefix, **options)

@@ -20,12 +20,33 @@ def _with_arrival(schema: StructType) -> StructType:
     return StructType(schema.fields + [StructField(FILE, StringType()), StructField(LINE, LongType())])
 
 
+def register_source(spark: SparkSession) -> None:
+    """Make ``zip_csv`` known, with filters going down to it."""
+    cloudpickle.register_pickle_by_value(zipcsv)
+    spark.dataSource.register(zipcsv.ZipCsvSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+
+
+def write_zip_csv(df: DataFrame, folder: str, prefix: str, mode: str = "append", **options) -> str:
+    """An archive (or, with ``zipped=False``, a plain file) per partition that has rows; returns the folder.
+
+    Rows in a single partition may go without the number in the name (``numbered=False``). A job that
+    fails leaves no file, a task run again one. ``mode="overwrite"`` replaces the files of the prefix.
+    """
+    register_source(df.sparkSession)
+    text = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items()}
+    df.write.format("zip_csv").mode(mode).options(prefix=prefix, **text).save(folder)
+    return folder
+
+
 def read_zip_csv(spark: SparkSession, path_glob: str, schema: StructType, sep: str = ";",
                  charset: str = "iso8859-15", header: bool = False, strip_cr: bool = False,
                  mode: str = "failfast") -> DataFrame:
-    """Every member of every archive that matches, with ``_file`` and ``_line`` of each record."""
-    cloudpickle.register_pickle_by_value(zipcsv)
-    spark.dataSource.register(zipcsv.ZipCsvSource)
+    """Every member of every archive that matches, with ``_file`` and ``_line`` of each record.
+
+    Filters on ``_file`` reach the source, so that other archives are not opened.
+    """
+    register_source(spark)
     wanted = _with_arrival(schema)
     if mode == "quarantine":
         wanted = StructType(wanted.fields + [_CORRUPT])
@@ -114,7 +135,9 @@ def read_feed(spark: SparkSession, folder: str, feed: str, first_only: bool = Fa
     schema = STAGING_SCHEMAS[feed]
     archives, plain = _patterns(folder, feed)
     if first_only:
-        archives, plain = (next(iter(zipcsv.list_archives(p)), p) for p in (archives, plain))
+        plain = next(iter(zipcsv.list_archives(plain)), plain)
+        if first := next(iter(zipcsv.list_archives(archives)), None):
+            return read_feed(spark, folder, feed, **options).filter(F.col(FILE).startswith(f"{first}!"))
     if zipcsv.list_archives(plain) and not zipcsv.list_archives(archives):
         if feed == "regime":
             rows = read_registry_csv(spark, plain, schema, sep=",", charset="UTF-8", strip_cr=True, **options)

@@ -7,7 +7,11 @@ path the executors share will do.
 
 Quoted blanks stay ``''`` and unquoted blanks become NULL. A record of the wrong width fails
 the job, or, with ``mode=quarantine``, arrives as a row of NULLs with its text in
-``_corrupt_record``.
+``_corrupt_record``. Filters on ``_file`` decide which archives are opened at all.
+
+Written, every partition becomes an archive of its own, named by its number. Tasks write below a
+folder of the job's; what the successful ones wrote is moved to its place at the commit, and
+all of the folder goes when the job fails, so a failed job or a repeated task leaves nothing behind.
 
 The module imports nothing from the package, so that it can be shipped to workers by value.
 """
@@ -16,10 +20,14 @@ from __future__ import annotations
 
 import fnmatch
 import io
+import uuid
 import zipfile
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, field
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, StringStartsWith, WriterCommitMessage,
+)
 from pyspark.sql.types import StructType
 
 _FILE, _LINE, _CORRUPT = "_file", "_line", "_corrupt_record"
@@ -81,13 +89,35 @@ class ZipCsvReader(DataSourceReader):
         self.header = options.get("header", "false").lower() == "true"
         self.unwanted = b"\x00\r" if options.get("stripcr", "false").lower() == "true" else b"\x00"
         self.quarantine = options.get("mode", "failfast").lower() == "quarantine"
+        # Of each filter on the file, the beginnings that a file's name may have, and whether they are whole names.
+        self.wanted: list[tuple[list[str], bool]] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Note the filters on ``_file``; Spark applies all of them again."""
+        for f in filters:
+            if getattr(f, "attribute", None) == (_FILE,):
+                if isinstance(f, StringStartsWith):
+                    self.wanted.append(([f.value], False))
+                elif isinstance(f, EqualTo):
+                    self.wanted.append(([f.value], True))
+                elif isinstance(f, In):
+                    self.wanted.append((list(f.value), True))
+            yield f
+
+    def _may_hold(self, archive: str) -> bool:
+        top = f"{archive}!"
+        return all(any(v.startswith(top) or (not whole and top.startswith(v)) for v in values) for values, whole in self.wanted)
+
+    def _is_wanted(self, member: str) -> bool:
+        return all(any(member == v if whole else member.startswith(v) for v in values) for values, whole in self.wanted)
 
     def partitions(self):
         members = []
-        for archive in list_archives(self.path):
+        for archive in filter(self._may_hold, list_archives(self.path)):
             files, path = open_fs(archive)
             with files.open_input_file(path) as handle, zipfile.ZipFile(handle) as zipped:
-                members += [Member(archive, i.filename) for i in zipped.infolist() if not i.is_dir()]
+                names = [i.filename for i in zipped.infolist() if not i.is_dir()]
+            members += [Member(archive, n) for n in names if self._is_wanted(f"{archive}!{n}")]
         return members
 
     def read(self, partition: Member):
@@ -142,6 +172,88 @@ class ZipCsvReader(DataSourceReader):
         return pa.RecordBatch.from_arrays(arrays, names=self.output)
 
 
+@dataclass
+class Written(WriterCommitMessage):
+    """A file that a task has written, and the name it is to have; none for a partition without rows."""
+
+    parts: list[tuple[str, str]] = field(default_factory=list)
+
+
+class ZipCsvWriter(DataSourceArrowWriter):
+    """Quoted text: blanks quoted, NULLs not. Each archive holds ``members`` files, each with its own header line if
+    there is one: the first batch is dealt to all, the last goes on with the others. Batches are written as
+    they come.
+    """
+
+    def __init__(self, schema: StructType, options, overwrite: bool):
+        self.columns = [f.name for f in schema]
+        self.folder, self.overwrite = options["path"].rstrip("/"), overwrite
+        self.sep, self.newline = options.get("sep", ";"), options.get("newline", "\n")
+        self.charset, self.prefix = options.get("charset", "iso8859-15"), options.get("prefix", "part")
+        self.members = int(options.get("members", "1"))
+        self.header, self.zipped, self.numbered = (options.get(k, d).lower() == "true" for k, d in (
+            ("header", "false"), ("zipped", "true"), ("numbered", "true")))
+        self.ending = "zip" if self.zipped else "csv"
+        self.pending = f"{self.folder}/_pending-{uuid.uuid4().hex}"
+
+    def write(self, iterator):
+        from contextlib import nullcontext
+        from itertools import chain
+
+        from pyspark import TaskContext
+
+        batches = (b for b in iterator if b.num_rows)
+        first = next(batches, None)
+        if first is None:
+            return Written()
+        number = f"{TaskContext.get().partitionId():06d}" if self.numbered else ""
+        name = f"{self.prefix}{number}.{self.ending}"
+        files, pending = open_fs(self.pending)
+        files.create_dir(pending, recursive=True)
+        path = f"{pending}/{uuid.uuid4().hex}"
+        size = -(-first.num_rows // self.members)
+        parts = [[first.slice(i * size, size)] for i in range(self.members)]
+        parts[-1] = chain(parts[-1], batches)
+        top = self.sep.join(self.columns) + self.newline if self.header else ""
+        with files.open_output_stream(path) as f, (
+                zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) if self.zipped else nullcontext()) as z:
+            for i, part in enumerate(parts):
+                with z.open(f"part{i}.csv", "w", force_zip64=True) if self.zipped else nullcontext(f) as out:
+                    out.write(top.encode(self.charset))
+                    for batch in part:
+                        out.write(self._encoded(batch))
+        return Written([(path, name)])
+
+    def _encoded(self, batch) -> bytes:
+        from pyarrow import csv
+
+        out = io.BytesIO()
+        csv.write_csv(batch, out, csv.WriteOptions(include_header=False, delimiter=self.sep, quoting_style="all_valid"))
+        text = out.getvalue().decode("utf8")
+        return (text if self.newline == "\n" else text.replace("\n", self.newline)).encode(self.charset)
+
+    def commit(self, messages) -> None:
+        parts = [p for m in messages if m is not None for p in m.parts]
+        if len({name for _, name in parts}) < len(parts):
+            self.abort(messages)
+            raise ValueError(f"several partitions would be {parts[0][1]}; number them")
+        files, folder = open_fs(self.folder)
+        files.create_dir(folder, recursive=True)
+        if self.overwrite:
+            for old in list_archives(f"{self.folder}/{self.prefix}*.{self.ending}"):
+                files.delete_file(open_fs(old)[1])
+        for path, name in parts:
+            files.move(path, f"{folder}/{name}")
+        self.abort(messages)
+
+    def abort(self, messages) -> None:
+        from pyarrow import fs
+
+        files, pending = open_fs(self.pending)
+        if files.get_file_info(pending).type != fs.FileType.NotFound:
+            files.delete_dir(pending)
+
+
 class ZipCsvSource(DataSource):
     @classmethod
     def name(cls):
@@ -149,3 +261,6 @@ class ZipCsvSource(DataSource):
 
     def reader(self, schema: StructType):
         return ZipCsvReader(schema, self.options)
+
+    def writer(self, schema: StructType, overwrite: bool):
+        return ZipCsvWriter(schema, self.options, overwrite)

@@ -3,26 +3,18 @@
 from __future__ import annotations
 
 import fnmatch
+import json
 from collections.abc import Callable, Iterable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BinaryType, LongType, StringType, StructField, StructType, TimestampType,
-)
 
 from regiscope.functions.clean import month_label
 from regiscope.plans.load import load_registry
 from regiscope.plans.publish import published_month
 from regiscope.schemas import FEED_GLOBS
-
-_FILE_SCHEMA = StructType([
-    StructField("path", StringType()),
-    StructField("modificationTime", TimestampType()),
-    StructField("length", LongType()),
-    StructField("content", BinaryType()),
-])
-
+from regiscope.sources import months, zipcsv
 
 def snapshot_files(spark: SparkSession, folder_glob: str) -> DataFrame:
     """``(path, month)`` of the files below the folders; contents are not read."""
@@ -52,40 +44,26 @@ def ingest_new_months(spark: SparkSession, root: str, target: str, checkpoint: s
                       required: Iterable[str] = (), files: str = "*") -> None:
     """Load the newest complete month below ``root`` that is newer than the published one.
 
-    One pass over what arrived since the last call (``availableNow``). New files are only a
-    signal: the months newer than the published one are tried downwards, and the first whose
-    required files are all there is loaded whole by ``load(spark, folder, month)``, which
-    must publish to ``target`` with that month. An incomplete month
-    waits for a later call. When ``load`` raises, the checkpoint stays where it was and the
-    same files are offered again. The published month comes from the commit log, so a lost
-    checkpoint does not load a month twice.
+    One pass over the months that are complete since the last call (``availableNow``), by the streaming
+    source ``snapshot_months``. The newest of them is loaded whole by ``load(spark, folder, month)``,
+    which must publish to ``target`` with that month. An incomplete month waits for a later call, one that
+    comes after a newer one is passed over. When ``load`` raises, the checkpoint stays where it was
+    and the same months are offered again. The published month comes from the commit log, so a
+    lost checkpoint does not load a month twice.
     """
-    base = root.rstrip("/")
-
     def on_batch(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        found = F.struct(month_label(F.col("path")), F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
-        if batch.isEmpty():
-            return
         done = published_month(session, target)
-        below = session.read.format("binaryFile").option("pathGlobFilter", files).load(f"{base}/*/")
         # One row per month folder.
-        folders = below.select(found.alias("f")).select("f.*").filter("col1 is not null").distinct().collect()
-        for month, folder in sorted(folders, reverse=True):
-            if done is not None and month <= done:
-                return
-            if not missing_families(session, folder, required):
-                load(session, folder, month)
-                return
-
-    arrivals = (
-        spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
-        .option("pathGlobFilter", files).load(f"{base}/*/")
-    )
-    query = (
-        arrivals.select("path").writeStream.trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint).foreachBatch(on_batch).start()
-    )
+        newest = max(((r.month, r.folder) for r in batch.collect()), default=None)
+        if newest and (done is None or newest[0] > done):
+            load(session, newest[1], newest[0])
+
+    for module in (zipcsv, months):
+        cloudpickle.register_pickle_by_value(module)
+    spark.dataSource.register(months.MonthSource)
+    arrivals = spark.readStream.format("snapshot_months").options(files=files, required=json.dumps(list(required))).load(root)
+    query = arrivals.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(on_batch).start()
     query.awaitTermination()
 
 
