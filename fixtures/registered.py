@@ -803,6 +803,23 @@ def sql_function(spark, sf):
         F.count(F.lit(1)).alias("linhas"))
 
 
+@query("k1_table_functions", _sql("estabelecimento", "regime_tributario", "socio") + f"""
+SELECT 'filtros' AS consulta, NULL AS chave, count(*) AS n FROM estabelecimento WHERE uf = 'SP' AND situacao_cadastral = 2
+UNION ALL SELECT 'todos', NULL, count(*) FROM estabelecimento
+UNION ALL SELECT 'regimes', forma_de_tributacao, count(DISTINCT cnpj_basico) FROM regime_tributario WHERE ano = 1997 GROUP BY 2
+UNION ALL SELECT 'rede', cnpj_basico, count(*) FROM socio WHERE cnpj_cpf_socio = '{_ONE_PARTNER}' GROUP BY 2""")
+def table_functions(spark, sf):
+    """The parameterised questions, asked in SQL."""
+    from regiscope.functions.sql import register_queries
+
+    register_queries(spark, star.typed(spark, sf, "estabelecimento", "regime_tributario", "socio", "empresa", "dim_qualificacao"))
+    return spark.sql(f"""
+        SELECT 'filtros' AS consulta, CAST(NULL AS STRING) AS chave, total AS n FROM contar_estabelecimentos(p_uf => 'SP', p_situacao => 2)
+        UNION ALL SELECT 'todos', NULL, total FROM contar_estabelecimentos()
+        UNION ALL SELECT 'regimes', forma_de_tributacao, empresas_distintas FROM distribuicao_regimes(1997)
+        UNION ALL SELECT 'rede', cnpj_basico, count(*) FROM rede_socio('{_ONE_PARTNER}') GROUP BY cnpj_basico""")
+
+
 # --- search, series, profiles ------------------------------------------------------------
 
 _TRIGRAM_SQL = """
