@@ -124,7 +124,8 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, key: str = "doc_id", t
     heads = first.select(F.col("range").alias("_range"), F.coalesce(before, last).alias("host"),
                          F.col("head.id").alias("_id"), F.col("head.tie").alias("_tie"))
     same = (F.col("range") == F.col("_range")) & F.col("id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
-    guests = own.join(F.broadcast(heads), same).select(F.col("host").alias("range"), "id", "tie", "text").dropDuplicates(["range"])
+    guests = own.join(F.broadcast(heads), same).groupBy(F.col("host").alias("range")).agg(
+        F.max(F.struct("id", "tie", "text")).alias("row")).select("range", "row.id", "row.tie", "row.text")
     rows = own.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
 
     by_range = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("id"), F.desc("tie"))
