@@ -8,8 +8,8 @@ the same sample with the probability of their generalised Jaccard similarity, su
 weights over sum of the larger, so the share of equal samples estimates it.
 
 The draws take the logarithm and the exponential from roots and fractions (``_minus_log``, ``_decay``),
-good to a hundredth where all but some millionths of the draws are, at a third of the time of the
-functions, which are no intrinsics of the JVM. A draw is the same wherever its term is, so equal
+good to a hundredth where all but some millionths of the draws are, in less time than the
+functions, which are no intrinsics of the JVM, need. A draw is the same wherever its term is, so equal
 terms stay equal.
 
 Each document is also compared with the next one by descending id, and with its own text whose
