@@ -165,7 +165,7 @@ UNION ALL SELECT 'todas', NULL, count(*), count(DISTINCT cnpj_basico) FROM r
 UNION ALL SELECT 'ambas', NULL, NULL, count(*) FROM (
   SELECT DISTINCT cnpj_basico FROM r WHERE ano = 1996 INTERSECT SELECT DISTINCT cnpj_basico FROM r WHERE ano = 1997)""")
 def sketch_distribution(spark, sf):
-    """Roll-ups of the regimes from the published sketches; exact for so many companies, see the tests for more."""
+    """Roll-ups of the regimes from the published sets of companies."""
     root = work_path(spark, "e4")
     t = star.typed(spark, sf, "regime_tributario", "estabelecimento")
     publish.commit(spark, root, sketches.write_sketches(root, t["regime_tributario"], t["estabelecimento"]))

@@ -186,6 +186,23 @@ def test_sketches_within_their_error(spark):
     assert "Scan parquet" in (plan := plan_of(sketches.distribution(t))) and "esbocos" in plan
 
 
+def test_sets_of_many_companies_are_exact(spark):
+    regime = spark.range(90_000).selectExpr(
+        "lpad(cast(id as string), 14, '0') cnpj", "if(id % 30000 = 7, null, lpad(cast(id * 7 % 45000 as string), 8, '0')) cnpj_basico",
+        "cast(2020 + id % 3 as short) ano", "if(id % 2 = 0, 'LUCRO REAL', null) forma_de_tributacao")
+    estab = regime.limit(50).selectExpr("cnpj", "if(cnpj like '%1', 'SP', 'RJ') uf")
+    root = work_path(spark, "exact")
+    publish.commit(spark, root, sketches.write_sketches(root, regime, estab))
+    t = publish.tables(spark, root)
+    want = regime.groupBy("forma_de_tributacao").agg(F.count("*"), F.count_distinct("cnpj_basico"))
+    assert rows_of(sketches.distribution(t)) == rows_of(want)
+    assert tuple(sketches.distribution(t, []).first()) == (90_000, regime.select(F.count_distinct("cnpj_basico")).first()[0])
+    of = lambda year: regime.filter(F.col("ano") == year).select("cnpj_basico").dropna().distinct()
+    both = sketches.in_common(t, {"ano": 2020}, {"ano": 2021}).first()
+    assert (both.primeira, both.ambas) == (of(2020).count(), of(2020).intersect(of(2021)).count())
+    assert tuple(sketches.distribution(t, [], ano=1900).first()) == (0, 0)
+
+
 # --- aggregates by differences
 
 COMPANY = "cnpj_basico string, natureza_juridica_cod short, capital_social decimal(18,2)"
