@@ -1,9 +1,9 @@
 """Published bitmaps over dense branch numbers, and counts of branches from them alone.
 
-Branches are numbered in the order of their files. For each (column, code) and bucket of 32,768
-numbers there is a bitmap of the branches with that code, so a code of a third of all branches is
-many rows of four kilobytes each. Codes of one filter are united, those of different filters intersected,
-bucket by bucket, and bits are counted; branches themselves are not read.
+Branches are numbered in the order of their files. For each (column, code) there are the numbers of the
+branches with that code as words of 64 bits; words without any have no row, so a rare code takes no more
+rows than it has branches. Codes of one filter are united, those of different filters intersected, word by
+word, and bits are counted; branches themselves are not read.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiscope.functions.ids import optional_int
+from regiscope.functions.words import PLACE, size, word
 from regiscope.operators.dedup import with_dense_id
 from regiscope.plans.publish import BITMAPS, write_version
 from regiscope.session import work_path
@@ -38,9 +39,9 @@ def write_bitmaps(root: str, estab: DataFrame, bridge: DataFrame, version: str |
         F.struct(F.lit(c).alias("coluna"), F.col(c).cast("string").alias("codigo")) for c in COLUMNS))))
     listed = bridge.select("cnpj", F.col("cnae_cod").cast("string").alias("codigo")).join(numbers.select("cnpj", "linha"), "cnpj")
     codes = codes.unionByName(listed.select("linha", F.lit(SECONDARY).alias("coluna"), "codigo"))
-    bits = codes.groupBy("coluna", "codigo", F.bitmap_bucket_number("linha").alias("balde")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("linha")).alias("bits"))
-    return {BITMAPS: write_version(bits, root, BITMAPS, cluster_by=("coluna", "codigo", "balde"), version=version)}
+    words = codes.select("coluna", "codigo", *word("linha"))
+    bits = words.groupBy("coluna", "codigo", *PLACE).agg(F.bit_or("bits").alias("bits"))
+    return {BITMAPS: write_version(bits, root, BITMAPS, cluster_by=("coluna", "codigo", *PLACE), version=version)}
 
 
 def _filters(uf: str | None, cnae: object, situacao: object, municipio: object, secondary: bool) -> list[Mapping[str, Sequence[str]]]:
@@ -63,34 +64,33 @@ def _one(codes: Mapping[str, Sequence[str]]) -> Column:
 
 
 def selected(bits: DataFrame, filters: Sequence[Mapping[str, Sequence[str]]]) -> DataFrame:
-    """``(balde, bits)`` of the branches that pass all filters; empty buckets are left out.
+    """``(balde, palavra, bits)`` of the branches that pass all filters; empty words are left out.
 
     Without filters, of all branches: each has one state, be it NULL.
     """
     if not filters:
-        return bits.filter(F.col("coluna") == "uf").groupBy("balde").agg(F.bitmap_or_agg("bits").alias("bits"))
+        return bits.filter(F.col("coluna") == "uf").groupBy(*PLACE).agg(F.bit_or("bits").alias("bits"))
     which = reduce(lambda c, i: c.when(_one(filters[i]), i), range(1, len(filters)), F.when(_one(filters[0]), 0))
     read = bits.filter(reduce(Column.__or__, map(_one, filters))).withColumn("filtro", which)
-    each = read.groupBy("balde", "filtro").agg(F.bitmap_or_agg("bits").alias("bits"))
-    both = each.groupBy("balde").agg(F.bitmap_and_agg("bits").alias("bits"), F.count(F.lit(1)).alias("n"))
-    return both.filter(F.col("n") == len(filters)).select("balde", "bits").filter(F.bitmap_count("bits") > 0)
+    each = read.groupBy(*PLACE, "filtro").agg(F.bit_or("bits").alias("bits"))
+    both = each.groupBy(*PLACE).agg(F.bit_and("bits").alias("bits"), F.count(F.lit(1)).alias("n"))
+    return both.filter(F.col("n") == len(filters)).select(*PLACE, "bits").filter("bits <> 0")
 
 
 def count_branches(tables: dict[str, DataFrame], uf: str | None = None, cnae: object = None, situacao: object = None,
                    municipio: object = None, secondary: bool = False) -> DataFrame:
     """One row ``total``, as ``count_establishments`` gives it, with secondary activities if wanted."""
     found = selected(tables[BITMAPS], _filters(uf, cnae, situacao, municipio, secondary))
-    return found.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).cast("long").alias("total"))
+    return found.agg(size("bits").alias("total"))
 
 
 def count_by(tables: dict[str, DataFrame], column: str, uf: str | None = None, cnae: object = None, situacao: object = None,
              municipio: object = None, secondary: bool = False) -> DataFrame:
     """``(codigo, qtd)``: the branches that pass the filters, by the codes of a column or of ``SECONDARY``."""
     bits = tables[BITMAPS]
-    own = bits.filter(F.col("coluna") == column).select("codigo", "balde", "bits")
+    own = bits.filter(F.col("coluna") == column).select("codigo", *PLACE, "bits")
     filters = _filters(uf, cnae, situacao, municipio, secondary)
     if filters:
         wanted = selected(bits, filters).withColumnRenamed("bits", "_wanted")
-        pairs = own.join(wanted, "balde").select("codigo", "balde", F.explode(F.array("bits", "_wanted")).alias("bits"))
-        own = pairs.groupBy("codigo", "balde").agg(F.bitmap_and_agg("bits").alias("bits"))
-    return own.groupBy("codigo").agg(F.sum(F.bitmap_count("bits")).alias("qtd")).filter("qtd > 0")
+        own = own.join(wanted, list(PLACE)).select("codigo", F.col("bits").bitwiseAND(F.col("_wanted")).alias("bits"))
+    return own.groupBy("codigo").agg(size("bits").alias("qtd")).filter("qtd > 0")

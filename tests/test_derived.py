@@ -162,6 +162,20 @@ def test_bitmaps_over_several_buckets(spark):
     assert bitmaps.count_branches(publish.tables(spark, empty), uf="SP").first().total == 0
 
 
+def test_rare_codes_take_no_more_than_their_branches(spark):
+    rows = spark.range(20_000).selectExpr(
+        "lpad(cast(id as string), 14, '0') cnpj", "lpad(cast(id div 4 as string), 8, '0') cnpj_basico", "'SP' uf",
+        "cast(id % 30 as int) municipio_cod", "cast(id * 7 % 5000 as int) cnae_fiscal_principal", "cast(2 as short) situacao_cadastral")
+    root = work_path(spark, "rare")
+    publish.commit(spark, root, bitmaps.write_bitmaps(root, rows, rows.selectExpr("cnpj", "cnae_fiscal_principal + 1 cnae_cod")))
+    t = publish.tables(spark, root)
+    stored = t[publish.BITMAPS].groupBy("coluna").agg(F.count("*"), F.sum(F.length(F.col("bits").cast("string")))).collect()
+    assert all(n <= 20_000 and length <= 20 * n for _, n, length in stored)
+    assert {r.coluna: r["count(1)"] for r in stored}["uf"] == 20_000 // 64 + 1
+    assert bitmaps.count_branches(t, cnae=70, secondary=True).first().total == 8
+    assert {r.qtd for r in bitmaps.count_by(t, "cnae_fiscal_principal", uf="SP").collect()} == {4}
+
+
 # --- sketches
 
 
