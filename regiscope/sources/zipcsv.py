@@ -194,7 +194,10 @@ class ZipCsvWriter(DataSourceArrowWriter):
         self.header, self.zipped, self.numbered = (options.get(k, d).lower() == "true" for k, d in (
             ("header", "false"), ("zipped", "true"), ("numbered", "true")))
         self.ending = "zip" if self.zipped else "csv"
+        # Made here alone: a task that outlives the job's failure must not make it again.
         self.pending = f"{self.folder}/_pending-{uuid.uuid4().hex}"
+        files, pending = open_fs(self.pending)
+        files.create_dir(pending, recursive=True)
 
     def write(self, iterator):
         from contextlib import nullcontext
@@ -209,7 +212,6 @@ class ZipCsvWriter(DataSourceArrowWriter):
         number = f"{TaskContext.get().partitionId():06d}" if self.numbered else ""
         name = f"{self.prefix}{number}.{self.ending}"
         files, pending = open_fs(self.pending)
-        files.create_dir(pending, recursive=True)
         path = f"{pending}/{uuid.uuid4().hex}"
         size = -(-first.num_rows // self.members)
         parts = [[first.slice(i * size, size)] for i in range(self.members)]
@@ -250,8 +252,13 @@ class ZipCsvWriter(DataSourceArrowWriter):
         from pyarrow import fs
 
         files, pending = open_fs(self.pending)
-        if files.get_file_info(pending).type != fs.FileType.NotFound:
-            files.delete_dir(pending)
+        if files.get_file_info(pending).type == fs.FileType.NotFound:
+            return
+        if isinstance(files, fs.LocalFileSystem):
+            # By another name, tasks that still run add nothing while it is deleted.
+            files.move(pending, f"{pending}-gone")
+            pending = f"{pending}-gone"
+        files.delete_dir(pending)
 
 
 class ZipCsvSource(DataSource):

@@ -71,6 +71,24 @@ def test_a_repeated_task_leaves_one_file(tmp_path, monkeypatch):
     assert files_below(tmp_path / "v") == []
 
 
+def test_a_task_that_outlives_its_job_leaves_no_file(tmp_path):
+    import pyarrow as pa
+
+    writer = zipcsv.ZipCsvWriter(TEXT, {"path": str(tmp_path / "w"), "numbered": "false"}, False)
+    batch = pa.RecordBatch.from_pydict({"a": ["1"], "b": [None]})
+
+    def batches():
+        yield batch
+        writer.abort([])
+        yield batch
+
+    writer.write(batches())
+    assert os.listdir(tmp_path / "w") == []
+    with pytest.raises(OSError):
+        writer.write(iter([batch]))
+    assert os.listdir(tmp_path / "w") == []
+
+
 # --- filters
 
 
