@@ -1234,10 +1234,10 @@ def _snapshot(spark, sf) -> str:
     if made in _SNAPSHOTS:
         return _SNAPSHOTS[made]
     folder = work_path(spark, "snapshot")
-    for feed, rows in star.staging(spark, sf, *_FEEDS).items():
+    for feed in _FEEDS:
         # Archives follow the order of the rows, as arrival decides between copies of a key.
         many = "*" in FEED_GLOBS[feed]
-        rows = rows.repartitionByRange(_archives(rows, 3) if many else 1, *ARRIVAL).sortWithinPartitions(*ARRIVAL)
+        rows = star.arriving(spark, sf, feed, lambda table: _archives(table, 3) if many else 1)
         name, text = _ARCHIVES[feed], rows.drop(*ARRIVAL)
         if feed == "regime":
             write_archives(text, folder, name, sep=",", charset="utf8", header=True, members=2)

@@ -36,11 +36,11 @@ def zero_to_null(c: Column) -> Column:
 
 
 def checked(raw: Column, value: Column, what: str, strict: bool) -> Column:
-    """``value``, or in strict mode an error when a present ``raw`` did not parse."""
+    """``value``, or in strict mode an error when a present ``raw`` did not parse. A value is worked out once."""
     if not strict:
         return value
     message = F.concat(F.lit(f"cannot read {what} from '"), raw, F.lit("'"))
-    return F.when(raw.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+    return F.coalesce(value, F.when(raw.isNotNull(), F.raise_error(message)))
 
 
 def to_number(c: Column, type_name: str, strict: bool = True) -> Column:
@@ -57,10 +57,16 @@ def to_money(c: Column, strict: bool = True) -> Column:
 
 
 def parse_date(c: Column, strict: bool = True) -> Column:
-    """``AAAAMMDD`` text to date; NULL, blank and all-zero spellings give NULL."""
+    """``AAAAMMDD`` text to date; NULL, blank and all-zero spellings give NULL.
+
+    Eight digits are cast, which takes a fraction of the time of a pattern; anything else goes by the pattern.
+    """
     text = F.btrim(c)
     raw = F.when(~text.isin(*NO_DATE), text)
-    return checked(raw, F.try_to_date(raw, DATE_FORMAT), "date", strict)
+    plain = raw.rlike(r"^[0-9]{8}\z") & ~raw.startswith("0000")
+    dashed = F.concat_ws("-", F.substring(raw, 1, 4), F.substring(raw, 5, 2), F.substring(raw, 7, 2))
+    value = F.when(plain, dashed.try_cast("date")).otherwise(F.try_to_date(raw, DATE_FORMAT))
+    return checked(raw, value, "date", strict)
 
 
 def yes_no(c: Column) -> Column:
@@ -79,7 +85,9 @@ def phone(area: Column, number: Column) -> Column:
 
 
 def digits_only(c: Column) -> Column:
-    return F.regexp_replace(c, r"[^0-9]", "")
+    """The digits alone. The usual punctuation goes without a pattern; one takes out what else there is."""
+    plain = F.translate(c, "./-", "")
+    return F.when(plain.rlike(r"^[0-9]*\z"), plain).otherwise(F.regexp_replace(plain, r"[^0-9]", ""))
 
 
 def base_id(c: Column) -> Column:

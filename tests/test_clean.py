@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from regiscope.functions import clean, ids
 from regiscope.functions.sql import register_functions
+from tests.conftest import plan_of
 
 
 def one(spark, expression):
@@ -144,3 +145,25 @@ def test_split_registry_id(spark, raw, basico, asked, valid):
 ])
 def test_clamp_limit(value, limit):
     assert ids.clamp_limit(value, 10, 200) == limit
+
+
+def test_eight_digits_read_as_the_pattern_reads_them(spark):
+    odd = ["20240229", "20230229", "00000101", "00010101", "99991231", "20241301", "20240100", "2024021\t", "\t20240215", " 20240215 ",
+           "2024 215", "+2024021", "-2024021", "+120240101", "202402291", "2024-2-1", "２０２４０２２９", "20240215\n", "abcd0101", "0", None]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string")
+    raw = F.when(~F.btrim("t").isin(*clean.NO_DATE), F.btrim("t"))
+    got = rows.select("t", clean.parse_date(F.col("t"), strict=False).alias("d"), F.try_to_date(raw, clean.DATE_FORMAT).alias("e"))
+    assert got.filter(~F.col("d").eqNullSafe(F.col("e"))).select("t", F.col("d").cast("string"), F.col("e").cast("string")).collect() == []
+
+
+def test_digits_with_any_other_characters(spark):
+    odd = ["00.000.000/0001-91", "12345678000195", "", "a1b2", "1 2", "１2", "./-", "1\n2", "€3.", None]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string")
+    got = rows.select(clean.digits_only(F.col("t")).alias("d"), F.regexp_replace("t", "[^0-9]", "").alias("e")).collect()
+    assert [r.d for r in got] == [r.e for r in got]
+
+
+def test_a_strict_value_is_worked_out_once(spark):
+    rows = spark.range(3).select(F.col("id").cast("string").alias("t"))
+    assert plan_of(rows.select(clean.parse_date(F.col("t")).alias("d"))).lower().count("gettimestamp") == 1
+    assert plan_of(rows.select(clean.to_number(F.col("t"), "smallint").alias("n"))).lower().count("try_cast(") == 1
