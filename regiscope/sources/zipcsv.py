@@ -18,6 +18,7 @@ The module imports nothing from the package, so that it can be shipped to worker
 
 from __future__ import annotations
 
+import codecs
 import fnmatch
 import io
 import uuid
@@ -62,21 +63,32 @@ class Member(InputPartition):
 
 
 class _Without(io.RawIOBase):
-    """A byte stream with some bytes left out."""
+    """A byte stream in UTF-8 with some bytes left out, read and recoded in small pieces: whole blocks in several
+    forms at once are most of what a reader holds."""
 
-    def __init__(self, raw, unwanted: bytes):
-        self._raw, self._unwanted = raw, unwanted
+    PIECE = 1 << 18
+
+    def __init__(self, raw, unwanted: bytes, charset: str = "utf8"):
+        self._raw, self._unwanted, self._rest = raw, unwanted, memoryview(b"")
+        plain = codecs.lookup(charset).name == "utf-8"
+        self._decoder = None if plain else codecs.getincrementaldecoder(charset)()
 
     def readable(self):
         return True
 
     def readinto(self, buffer):
-        while chunk := self._raw.read(len(buffer)):
+        while not self._rest:
+            chunk = self._raw.read(self.PIECE)
             kept = chunk.translate(None, self._unwanted)
-            if kept:
-                buffer[: len(kept)] = kept
-                return len(kept)
-        return 0
+            if self._decoder:
+                kept = self._decoder.decode(kept, final=not chunk).encode()
+            self._rest = memoryview(kept)
+            if not chunk and not kept:
+                return 0
+        size = min(len(buffer), len(self._rest))
+        buffer[:size] = self._rest[:size]
+        self._rest = self._rest[size:]
+        return size
 
 
 class ZipCsvReader(DataSourceReader):
@@ -124,7 +136,7 @@ class ZipCsvReader(DataSourceReader):
         files, path = open_fs(partition.archive)
         with files.open_input_file(path) as handle, zipfile.ZipFile(handle) as zipped:
             with zipped.open(partition.name) as raw:
-                text = io.BufferedReader(_Without(raw, self.unwanted), 1 << 20)
+                text = io.BufferedReader(_Without(raw, self.unwanted, self.charset), _Without.PIECE)
                 if text.peek(1):
                     yield from self._batches(text, f"{partition.archive}!{partition.name}")
 
@@ -142,7 +154,7 @@ class ZipCsvReader(DataSourceReader):
             text,
             read_options=csv.ReadOptions(
                 column_names=self.columns, skip_rows=int(self.header),
-                encoding=self.charset, block_size=8 << 20, use_threads=False,
+                block_size=8 << 20, use_threads=False,
             ),
             parse_options=csv.ParseOptions(
                 delimiter=self.sep, quote_char='"', double_quote=True, newlines_in_values=True,

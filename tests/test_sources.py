@@ -1,13 +1,17 @@
 import io
+import tracemalloc
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from fixtures import star
 from fixtures.archives import write_archives
 from regiscope.schemas import DOMAINS, STAGING_SCHEMAS
 from regiscope.sources import feeds, zipcsv
 from regiscope.sources.domains import domain_dim
+from tests.conftest import plan_of
 
 TWO = StructType([StructField("a", StringType()), StructField("b", StringType())])
 
@@ -161,3 +165,34 @@ def test_domains(spark):
         got = domain_dim(spark, name)
         assert [tuple(r) for r in got.orderBy("codigo").collect()] == list(values)
         assert got.schema["codigo"].dataType.simpleString() == "smallint"
+
+
+def test_a_reader_holds_its_block_in_one_form(tmp_path):
+    line = '"00000001";"2";"Supplier é €";"***000001**";"03";"19980412";"105";"";"";"00";"7"\n'.encode("iso8859-15")
+    archive(tmp_path / "Socios0.zip", **{"one.csv": line * 300_000})
+    reader = zipcsv.ZipCsvReader(STAGING_SCHEMAS["socios"], {"path": f"{tmp_path}/S*.zip"})
+    tracemalloc.start()
+    rows = sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 300_000 and most < 48 << 20, most
+
+
+@pytest.mark.parametrize("charset", ["shift_jis", "gb18030", "utf8", "iso8859-15"])
+def test_characters_across_pieces(spark, tmp_path, monkeypatch, charset):
+    monkeypatch.setattr(zipcsv._Without, "PIECE", 3)
+    told = [("x", "é€" if charset == "iso8859-15" else "表示のテ"), ("longer than one piece", "y")] * 5
+    archive(tmp_path / "F0.zip", **{"a.csv": "".join(f'"{a}";"{b}"\n' for a, b in told).encode(charset)})
+    r = zipcsv.ZipCsvReader(TWO, {"path": f"{tmp_path}/F*.zip", "charset": charset})
+    assert [tuple(x.values()) for p in r.partitions() for b in r.read(p) for x in b.to_pylist()] == told
+
+
+def test_archives_are_ranged_before_rows_become_text(spark, sf):
+    for feed in ("socios", "estabelecimentos", "regime"):
+        plan = plan_of(star.arriving(spark, sf, feed, lambda rows: 3))
+        assert plan.index("Project") < plan.index("Exchange rangepartitioning")
+        found, all_rows = star.arriving(spark, sf, feed, lambda rows: 3), star.staging(spark, sf, feed)[feed]
+        assert found.exceptAll(all_rows).isEmpty() and all_rows.exceptAll(found).isEmpty()
+        split = found.select(F.spark_partition_id().alias("p"), "_line").groupBy("p").agg(F.min("_line").alias("a"), F.max("_line").alias("b"))
+        ends = [(r.a, r.b) for r in split.orderBy("p").collect()]
+        assert all(b <= c for (_, b), (c, _) in zip(ends, ends[1:]))
