@@ -32,8 +32,6 @@ SEED = 42
 SUBTREE = 20_000
 # Bits by which a large subtree is cut.
 STEP = 6
-# Candidates of a row that are listed for a test at first, and times as many in each further round.
-MOST = 128
 # Pairs of rows compared at a time.
 PAIRS = 1 << 16
 # Pairs of rows of two leaves up to which all are compared.
@@ -175,16 +173,17 @@ def _rotate(x: Column, by: int, bits: int = BITS) -> Column:
 @dataclass(frozen=True)
 class Wide:
     """What a pair of wide fingerprints is tested for: at most ``total`` differing bits in ``names``, and sizes
-    ``n`` of sets that can be as similar as ``similarity``. ``most``: links to list for a row, see ``_listed``."""
+    ``n`` of sets that can be as similar as ``similarity``. ``exact``: rows of one ``group`` are joined already, and
+    a pair of two groups must be as similar by its sets."""
 
     names: list[str]
     total: int
     similarity: float
-    most: int = 0
+    exact: bool = False
 
     @property
     def columns(self) -> list[str]:
-        return [*self.names, "n", *(["group"] if self.most else [])]
+        return [*self.names, "n", *(["group"] if self.exact else [])]
 
     def test(self, rows: pd.DataFrame):
         bits, n = rows[self.names].to_numpy().view(np.uint64), rows["n"].to_numpy()
@@ -195,13 +194,19 @@ class Wide:
 
         return near
 
+    def alike(self, x: np.ndarray, y: np.ndarray) -> bool:
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return both >= self.similarity * (len(x) + len(y) - both) - 1e-9
 
-def _trie_links(rows: DataFrame, depth: int, bits: int, budget: int, subtree: int, wide: Wide | None = None) -> DataFrame:
+
+def _trie_links(rows: DataFrame, depth: int, bits: int, budget: int, subtree: int, wide: Wide | None = None,
+                sets: DataFrame | None = None) -> DataFrame:
     """Links among rows ``(id, rot, turned, ...)``: one trie per ``rot``, the subtrees at ``depth``
     joined independently. With ``wide`` a pair must also pass its test of the further columns.
     Each task hands on a spanning forest of the links it finds, so that a crowded subtree
     gives a row per value and not one per pair: components are those of all links. The links of a
-    ``wide`` forest are links found; with ``wide.most`` they are listed instead (``_listed``).
+    ``wide`` forest are links found; with ``wide.exact`` they pass the test of their ``sets`` as well, which
+    come to the rows after the last cut.
     """
     top = F.shiftrightunsigned("turned", BITS - depth).cast("string")
     rows = rows.withColumn("node", top).withColumn("side", F.lit(0)).withColumn("spent", F.lit(0))
@@ -221,7 +226,11 @@ def _trie_links(rows: DataFrame, depth: int, bits: int, budget: int, subtree: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _forests(batches, budget, wide)
 
-    placed = rows.select("rot", "node", "side", "turned", "id", *(wide.columns if wide else [])).repartition("rot", "node")
+    columns = ["rot", "node", "side", "turned", "id", *(wide.columns if wide else [])]
+    if sets is not None:
+        columns.append("hashes")
+        rows = rows.join(sets.select(F.col("id").alias("_id"), "hashes"), F.col("id") == F.col("_id"))
+    placed = rows.select(*columns).repartition("rot", "node")
     return placed.sortWithinPartitions("rot", "node", "side").mapInArrow(lean(run), "a long, b long")
 
 
@@ -282,12 +291,18 @@ def _forest(rows: pd.DataFrame, budget: int, wide: Wide | None) -> pa.RecordBatc
     one, two = one[i], two[j]
     crossed = np.stack([edge[one], end[one], edge[two], end[two]], axis=1)
     found = walk(turned, np.concatenate([alone, crossed]), budget)
-    if wide and wide.most:
-        return _listed(found, near, ids, rows["group"].to_numpy()[order], wide.most)
     forest, kept = Forest(len(ids)), []
+    if wide and wide.exact:
+        _, first, member = np.unique(rows["group"].to_numpy()[order], return_index=True, return_inverse=True)
+        forest.union(first[member], np.arange(len(ids)))
+        raw = rows["hashes"].to_numpy()[order]
 
     def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         linked = near(a, b) if wide else np.ones(len(a), bool)
+        if wide and wide.exact:
+            linked = _confirmed_links(a, b, linked, forest, raw, wide)
+            kept.append(np.stack([a[linked], b[linked]], axis=1))
+            return linked
         a, b = a[linked], b[linked]
         if wide:
             used = forest.span(a, b)
@@ -312,32 +327,24 @@ def _forest(rows: pd.DataFrame, budget: int, wide: Wide | None) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array(ids[root[linked]]), pa.array(ids[linked])], names=["a", "b"])
 
 
-def _listed(found: Iterator[np.ndarray], near, ids: np.ndarray, group: np.ndarray, most: int) -> pa.RecordBatch:
-    """The links found between rows of different groups, ``most`` for a row; where a row has more, a row
-    with a NULL end says so."""
-    given, kept, more = np.zeros(len(ids), np.int64), [], False
+def _confirmed_links(a: np.ndarray, b: np.ndarray, near: np.ndarray, forest: Forest, raw: np.ndarray, wide: Wide) -> np.ndarray:
+    """Which of the near pairs join two trees of the forest and are as similar by their sets; joins them."""
+    out = np.zeros(len(a), bool)
+    near = np.flatnonzero(near)
+    near = near[forest.roots(a[near]) != forest.roots(b[near])]
+    parent = forest.parent
 
-    def offer(a: np.ndarray, b: np.ndarray) -> None:
-        nonlocal more
-        apart = group[a] != group[b]
-        a, b = a[apart], b[apart]
-        linked = near(a, b)
-        a, b = a[linked], b[linked]
-        order = np.argsort(a, kind="stable")
-        a, b = a[order], b[order]
-        rank = np.arange(len(a)) - np.searchsorted(a, a) + given[a]
-        np.add.at(given, a, 1)
-        more |= bool((rank >= most).any())
-        kept.append(np.stack([a[rank < most], b[rank < most]], axis=1))
+    def root(x: int) -> int:
+        while parent[x] != x:
+            x = parent[x]
+        return x
 
-    for leaves in found:
-        for a, b in _crossed(leaves):
-            offer(a, b)
-    pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *kept]), axis=0)
-    a, b = ids[pairs[:, 0]].tolist(), ids[pairs[:, 1]].tolist()
-    if more:
-        a.append(int(ids[0])), b.append(None)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    for i in near.tolist():
+        x, y = root(a[i]), root(b[i])
+        if x != y and wide.alike(np.frombuffer(raw[a[i]], np.uint64), np.frombuffer(raw[b[i]], np.uint64)):
+            parent[max(x, y)] = min(x, y)
+            out[i] = True
+    return out
 
 
 def _crossed(leaves: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -471,19 +478,19 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, text:
 def _confirmed(docs: DataFrame, classes: DataFrame, wide: Wide, words: int, text: str, key: str, subtree: int) -> DataFrame:
     """Links ``(a, b)`` with the components of all candidates whose sets are similar enough.
 
-    First a spanning forest of the candidates is tested. Where a link of it fails, the candidates
-    between the groups so far are listed and tested, ``MOST`` for a row and then ever more, until
-    none is left out. What is one group already is not compared again.
+    First a spanning forest of the candidates is tested. Where a link of it fails, the tries are walked
+    again with the sets at hand: all candidates between the groups so far are tested in the tasks, which hand
+    on a spanning forest of the links that hold, so no pair that fails becomes a row.
     """
-    def candidates(classes: DataFrame, wide: Wide) -> DataFrame:
+    def candidates(classes: DataFrame, wide: Wide, sets: DataFrame | None = None) -> DataFrame:
         half = F.lit(-1 << 32)
         tries = []
         for k in range(2 * WORDS):
             slice_ = (F.shiftleft(wide.names[k // 2], 32) if k % 2 else F.col(wide.names[k // 2]).bitwiseAND(half))
             tries += [F.struct(F.lit(4 * k + b).alias("rot"), _rotate(slice_, 8 * b, 32).alias("turned")) for b in range(4)]
         rows = classes.select("id", *wide.columns, F.explode(F.array(*tries)).alias("t")).select("id", *wide.columns, "t.*")
-        out = written(_trie_links(rows, 8, 32, 3, subtree, wide), "candidates")
-        return out.select(F.least("a", "b").alias("a"), F.when(F.col("b").isNotNull(), F.greatest("a", "b")).alias("b"))
+        out = written(_trie_links(rows, 8, 32, 3, subtree, wide, sets), "candidates", batch=1_000 if wide.exact else None)
+        return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     pairs = written(candidates(classes, wide).distinct(), "pairs")
     ends = pairs.select(F.col("a").alias("_end")).unionByName(pairs.select(F.col("b").alias("_end"))).distinct()
@@ -493,19 +500,10 @@ def _confirmed(docs: DataFrame, classes: DataFrame, wide: Wide, words: int, text
     if found.count() == pairs.count():
         return found
     crowds = components(pairs).withColumnRenamed("component", "crowd")
-    most, tested = MOST, pairs
-    while True:
-        groups = components(found).select(F.col("node").alias("_node"), "component")
-        groups = crowds.join(groups, F.col("node") == F.col("_node"), "left").select(
-            "node", "crowd", F.coalesce("component", "node").alias("group"))
-        groups = written(groups, "groups")
-        open_ = groups.groupBy("crowd").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high")
-        left = written(touched.join(groups.join(open_, "crowd", "left_semi").select("node", "group"),
-                                    F.col("id") == F.col("node")), "left")
-        listed = candidates(left, replace(wide, most=most))
-        pairs = written(listed.filter("b is not null").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = written(found.unionByName(_similar(pairs, sets, wide.similarity)), "similar")
-        if listed.filter("b is null").isEmpty():
-            return found
-        tested = tested.unionByName(pairs)
-        most *= MOST
+    groups = components(found).select(F.col("node").alias("_node"), "component")
+    groups = written(crowds.join(groups, F.col("node") == F.col("_node"), "left").select(
+        "node", "crowd", F.coalesce("component", "node").alias("group")), "groups")
+    open_ = groups.groupBy("crowd").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high")
+    left = written(touched.join(groups.join(open_, "crowd", "left_semi").select("node", "group"),
+                                F.col("id") == F.col("node")), "left")
+    return written(found.unionByName(candidates(left, replace(wide, exact=True), sets).distinct()), "similar")
