@@ -320,6 +320,9 @@ def _forest(rows: pd.DataFrame, budget: int, wide: Wide | None) -> pa.RecordBatc
             _grown(rest, join, forest.roots)
     if wide:
         used = np.concatenate([np.zeros((0, 2), np.int64), *kept])
+        if not wide.exact:
+            close = lambda a, b: near(a, b) & (np.bitwise_count(turned[a] ^ turned[b]) <= budget)
+            used = _starred(used, forest, close, ids)
         return pa.RecordBatch.from_arrays([pa.array(ids[used[:, 0]]), pa.array(ids[used[:, 1]])], names=["a", "b"])
     at = np.arange(len(ids))
     root = forest.roots(at)
@@ -327,6 +330,26 @@ def _forest(rows: pd.DataFrame, budget: int, wide: Wide | None) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array(ids[root[linked]]), pa.array(ids[linked])], names=["a", "b"])
 
 
+def _starred(used: np.ndarray, forest: Forest, near, ids: np.ndarray) -> np.ndarray:
+    """The same trees by links to the row with the smallest id of each, where they are links, and as many of the
+    links found as join the rest: the forests of several tries then have most links in common."""
+    rows = np.unique(used)
+    order = rows[np.argsort(ids[rows], kind="stable")]
+    _, first, member = np.unique(forest.roots(order), return_index=True, return_inverse=True)
+    star = np.stack([order[first[member]], order], axis=1)
+    star = star[star[:, 0] != star[:, 1]]
+    links = np.concatenate([star[near(star[:, 0], star[:, 1])], used])
+    return links[Forest(len(ids)).span(links[:, 0], links[:, 1])] if len(links) else links
+
+
+def _thinned(pairs: DataFrame) -> DataFrame:
+    """Fewer of the links ``(a, b)``, ``a`` below ``b``, with the same components: each ``b`` keeps its smallest
+    ``a``, and two such neighbours of a row are held together by one row of those that have both."""
+    lowest = pairs.groupBy(F.col("b").alias("_b")).agg(F.min("a").alias("low"))
+    rest = pairs.join(lowest, F.col("b") == F.col("_b")).filter("a <> low").groupBy("low", "a").agg(F.min("b").alias("b"))
+    return lowest.select(F.col("low").alias("a"), F.col("_b").alias("b")).unionByName(rest.select("a", "b")).distinct()
+
+
 def _confirmed_links(a: np.ndarray, b: np.ndarray, near: np.ndarray, forest: Forest, raw: np.ndarray, wide: Wide) -> np.ndarray:
     """Which of the near pairs join two trees of the forest and are as similar by their sets; joins them."""
     out = np.zeros(len(a), bool)
@@ -492,7 +515,7 @@ def _confirmed(docs: DataFrame, classes: DataFrame, wide: Wide, words: int, text
         out = written(_trie_links(rows, 8, 32, 3, subtree, wide, sets), "candidates", batch=1_000 if wide.exact else None)
         return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-    pairs = written(candidates(classes, wide).distinct(), "pairs")
+    pairs = written(_thinned(candidates(classes, wide).distinct()), "pairs")
     ends = pairs.select(F.col("a").alias("_end")).unionByName(pairs.select(F.col("b").alias("_end"))).distinct()
     touched = written(classes.join(ends, F.col("id") == F.col("_end"), "left_semi"), "touched")
     sets = written(shingle_sets(docs, touched.select(F.col("first").alias("_first")), words, text, key), "shingle-sets", batch=1_000)

@@ -565,3 +565,44 @@ def test_pipeline_runs(spark):
 
     check = p.run(spark, SF_DIR)
     assert check.count() > 0 and check.filter("length < 1 or offset + length > 2048").count() == 0
+
+
+def test_thinned_links_keep_their_components(spark):
+    rng = np.random.default_rng(5)
+    ends = rng.integers(0, 60, (400, 2)) + 100 * rng.integers(0, 5, (400, 1))
+    crowd = np.stack([np.repeat(np.arange(3), 200), 1000 + np.tile(np.arange(200), 3)], axis=1) + 10_000
+    pairs = np.concatenate([ends[ends[:, 0] < ends[:, 1]], crowd])
+    links = spark.createDataFrame(pairs.tolist(), "a long, b long").distinct()
+    thin = simhash._thinned(links)
+    assert thin.exceptAll(links).isEmpty()
+    assert thin.filter("a >= 10000").count() == 200 + 2
+    assert {tuple(r) for r in components(thin).collect()} == {tuple(r) for r in components(links).collect()}
+
+
+def test_near_copies_that_fail_the_sets_make_no_rows(spark, monkeypatch):
+    """A crowd whose texts are candidates of each other, but similar to the first few only."""
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(120)]
+
+    def changed(n):
+        words = list(base)
+        for at in rng.choice(120, n, replace=False):
+            words[at] = f"x{rng.integers(1 << 40)}"
+        return " ".join(words)
+
+    texts = [changed(int(rng.integers(1, 4))) for _ in range(400)]
+    rows, made = [(i, t) for i, t in enumerate(texts)], {}
+    kept = simhash.written
+
+    def counted(df, name, batch=None):
+        out = kept(df, name, batch)
+        made.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "written", counted)
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    for i, c in got.items():
+        assert c == i or any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in range(400) if j != i and got[j] == c)
+    assert len(made["pairs"]) == 1 and made["pairs"][0] < 8 * 400 and len(made["candidates"]) <= 2
+    assert all(n <= 32 * 400 for n in made["candidates"])
