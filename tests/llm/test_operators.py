@@ -421,6 +421,35 @@ def test_encoder_equals_library_on_random_texts(name, monkeypatch):
     assert all(np.frombuffer(enc.encode(t), enc.dtype).tolist() == w for t, w in zip(texts[-2000:], want[-2000:]))
 
 
+def test_a_vocabulary_is_held_once():
+    enc = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert enc.spaced is not enc and enc.spaced.tokenizer is enc.tokenizer and enc.spaced.model is enc.model
+    assert enc.spaced.plain is enc and enc.spaced.spaced is enc.spaced
+
+
+def test_stages_hand_texts_on_in_small_batches(spark, sf):
+    import corpus_pipeline as p
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], names=["size", "n"])
+
+    texts = spark.range(0, 600, 1, 1).select(F.repeat(F.lit("ab cd "), 5_000).alias("text"))
+    for name, stage in p.STAGES:
+        for key in p.BATCHES:
+            spark.conf.unset(key)
+        stage(spark, spark.read.parquet(f"{sf}/documents.parquet").limit(20), sf)
+        got = texts.mapInArrow(sizes, "size long, n long").collect()
+        assert sum(r.n for r in got) == 600 and max(r.size for r in got) < 3 << 20, name
+    for key in p.BATCHES:  # an application's own setting stays
+        spark.conf.set(key, "7777")
+        p.small_batches(spark)
+        assert spark.conf.get(key).startswith("7777")
+        spark.conf.unset(key)
+
+
 def test_records_round_trip(spark, odd, empty, tmp_path):
     path = public_tokenizers.path("word_bpe_49k.json")
     lib = Tokenizer.from_file(path)
